@@ -5,6 +5,21 @@ from __future__ import annotations
 from .common import read_table
 
 
+def op1_decontamination(spark, sf_dir):
+    from .decontamination import decontaminate
+
+    return decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("spans")
+
+
+def op2_quality_rules(spark, sf_dir):
+    from .quality_rules import labelled_sample, learn_rules, quality_verdicts
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = learn_rules(labelled_sample(docs, read_table(spark, sf_dir, "labels")))
+    out = quality_verdicts(docs, rules)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
 def op10_best_fit_packing(spark, sf_dir):
     from .packing import best_fit_packing
 
@@ -16,4 +31,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from .oracles import SQL
+
+    return SQL
