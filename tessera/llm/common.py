@@ -61,7 +61,7 @@ def chunks_of(values, limit: int):
     """(start, stop) of runs of values whose summed length is about limit; one long value is a run."""
     start = total = 0
     for i, v in enumerate(values):
-        n = len(v) if v else 0
+        n = 0 if v is None else len(v)
         if total and total + n > limit:
             yield start, i
             start, total = i, 0

@@ -20,6 +20,17 @@ def op2_quality_rules(spark, sf_dir):
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def op3_language_id(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from .language_id import identify_language, train_prototypes
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False)))
+    prototypes = train_prototypes(docs.where(~F.col("held_out")))
+    return identify_language(docs, prototypes, keep=("doc_id", "held_out"))
+
+
 def op10_best_fit_packing(spark, sf_dir):
     from .packing import best_fit_packing
 
