@@ -31,6 +31,12 @@ def op3_language_id(spark, sf_dir):
     return identify_language(docs, prototypes, keep=("doc_id", "held_out"))
 
 
+def op8_ngram_jaccard(spark, sf_dir):
+    from .jaccard_join import jaccard_components
+
+    return jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark, sf_dir):
     from .packing import best_fit_packing
 
