@@ -31,6 +31,12 @@ def op3_language_id(spark, sf_dir):
     return identify_language(docs, prototypes, keep=("doc_id", "held_out"))
 
 
+def op6_suffix_dedup(spark, sf_dir):
+    from .suffix_dedup import remove_repeats
+
+    return remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_jaccard(spark, sf_dir):
     from .jaccard_join import jaccard_components
 
