@@ -43,6 +43,16 @@ def op8_ngram_jaccard(spark, sf_dir):
     return jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+def op9_secret_scan(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from .secrets import scan, train
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = scan(docs, train(docs))
+    return out.select("doc_id", F.size("found").cast("long").alias("n_candidates"), F.size("secrets").cast("long").alias("n_secrets"), F.sha2(F.array_join("secrets", ","), 256).alias("secrets_sha256"))
+
+
 def op10_best_fit_packing(spark, sf_dir):
     from .packing import best_fit_packing
 
