@@ -17,4 +17,15 @@ SELECT doc_id, CAST(len(w) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
-SQL = {"op1_decontamination": OP1}
+OP7 = """
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, role IS NULL AS nr, text IS NULL AS nt,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS i FROM conversations),
+c AS (SELECT conv_id, count(*) AS n, list({'r': role, 't': text, 'nr': nr, 'nt': nt} ORDER BY i) AS l FROM t GROUP BY conv_id),
+kept AS (SELECT conv_id, n FROM c a WHERE NOT EXISTS (
+    SELECT 1 FROM c b WHERE b.l[1] = a.l[1] AND ((b.n > a.n AND b.l[1:a.n] = a.l) OR (b.l = a.l AND b.conv_id < a.conv_id)))),
+s AS (SELECT t.conv_id, CAST(i - 1 AS int) AS turn_index, n AS n_turns, concat('<|', role, '|>', chr(10), trim(text, ' '), '<|end|>', chr(10)) AS segment
+      FROM t JOIN kept ON t.conv_id IS NOT DISTINCT FROM kept.conv_id)
+SELECT conv_id, turn_index, n_turns, CAST(sum(length(segment)) OVER (PARTITION BY conv_id ORDER BY turn_index) - length(segment) AS bigint) AS start, segment FROM s
+"""
+
+SQL = {"op1_decontamination": OP1, "op7_chat_format": OP7}

@@ -37,6 +37,12 @@ def op6_suffix_dedup(spark, sf_dir):
     return remove_repeats(read_table(spark, sf_dir, "documents"))
 
 
+def op7_chat_format(spark, sf_dir):
+    from .chat_format import render, turns_of_maximal
+
+    return render(turns_of_maximal(read_table(spark, sf_dir, "conversations")))
+
+
 def op8_ngram_jaccard(spark, sf_dir):
     from .jaccard_join import jaccard_components
 
@@ -59,8 +65,14 @@ def op10_best_fit_packing(spark, sf_dir):
     return best_fit_packing(read_table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
-    return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
+    return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)} | {"pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
