@@ -31,6 +31,12 @@ def op3_language_id(spark, sf_dir):
     return identify_language(docs, prototypes, keep=("doc_id", "held_out"))
 
 
+def op4_token_counts(spark, sf_dir):
+    from .token_counts import token_counts
+
+    return token_counts(read_table(spark, sf_dir, "documents"))
+
+
 def op6_suffix_dedup(spark, sf_dir):
     from .suffix_dedup import remove_repeats
 
