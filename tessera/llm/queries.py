@@ -37,6 +37,12 @@ def op4_token_counts(spark, sf_dir):
     return token_counts(read_table(spark, sf_dir, "documents"))
 
 
+def op5_token_output(spark, sf_dir):
+    from .token_output import token_round_trip
+
+    return token_round_trip(read_table(spark, sf_dir, "documents"))
+
+
 def op6_suffix_dedup(spark, sf_dir):
     from .suffix_dedup import remove_repeats
 
