@@ -45,22 +45,14 @@ def build_edges(triples: DataFrame, props: tuple[str, ...] = (), seq: str = "seq
 
 def flatten_attributes(payloads: DataFrame, max_depth: int = 8) -> DataFrame:
     """payloads(entity, key, json) to (entity, key, value): nested objects become a_b keys, lists stay JSON text."""
-    level = payloads.select("entity", "key", F.expr("try_parse_json(json)").alias("v"), "json")
-    out = None
+    empty = F.expr("map()").cast("map<string,string>")
+    level, out = payloads.select("entity", "key", F.col("json").alias("v")), None
     for depth in range(max_depth + 1):
-        kind = F.schema_of_variant("v")
-        is_object = F.coalesce(kind.startswith("OBJECT"), F.lit(False)) & (F.lit(depth) < max_depth)
-        text = F.coalesce(F.expr("try_variant_get(v, '$', 'string')"), F.to_json("v"), "json")
-        leaf = level.where(~is_object).select("entity", "key", text.alias("value"))
+        inner = F.when(F.ltrim("v").startswith("{"), F.from_json("v", "map<string,string>")) if depth < max_depth else F.lit(None).cast("map<string,string>")
+        inner = level.withColumn("_m", inner)
+        leaf = inner.where("_m is null").select("entity", "key", F.col("v").alias("value"))
         out = leaf if out is None else out.union(leaf)
-        if depth == max_depth:
-            return out
-        level.createOrReplaceTempView("_flatten_level")
-        nested = level.where(is_object)
-        if nested.isEmpty():
-            return out
-        nested.createOrReplaceTempView("_flatten_level")
-        level = payloads.sparkSession.sql("SELECT entity, concat_ws('_', key, x.key) AS key, x.value AS v, CAST(NULL AS string) AS json FROM _flatten_level, LATERAL variant_explode(v) AS x")
+        level = inner.select("entity", "key", F.explode(F.coalesce("_m", empty)).alias("_k", "_v")).select("entity", F.concat_ws("_", "key", "_k").alias("key"), F.col("_v").alias("v"))
     return out
 
 

@@ -26,7 +26,7 @@ def seed_items(raw: DataFrame) -> DataFrame:
 def read_seed_items(spark: SparkSession, path: str) -> DataFrame:
     """By ending: .json (list, object or string), .csv (first column) or lines of text."""
     if path.endswith(".json"):
-        text = F.trim(spark.read.text(path, wholetext=True)["value"])
+        text = F.trim("value")
         rows = spark.read.text(path, wholetext=True).select(F.explode(F.when(text.startswith("["), F.from_json(text, "array<string>")).otherwise(F.array(text))).alias("json"))
         return seed_items(rows.withColumn("json", F.regexp_replace("json", '^"(.*)"$', "$1")))
     if path.endswith(".csv"):
