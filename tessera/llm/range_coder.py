@@ -14,11 +14,15 @@ from __future__ import annotations
 import numpy as np
 
 U = np.uint64
-_SLOTS = 12  # bits of a table place
+_SLOTS = 11  # bits of a table place
 _BUCKET = 10  # bits of an id within its bucket
 _BUCKETS = 64
 _SCALE = 12  # bits of order-0 shares
-_LOW32, _B16, _B32, _B48 = U(0xFFFFFFFF), U(16), U(32), U(48)
+_CLASS = 12  # bits of the shares of order 2, order 1 and order 0
+_INNER = _SCALE + _BUCKET  # bits of an id within order 0
+_STEP = U(_CLASS + _INNER)  # bits that one id takes of the range at most
+_B16, _B48 = U(16), U(48)
+_LOW = U((1 << 40) - 1)  # a range up to this is renewed
 _REBUILD = 128
 
 
@@ -38,23 +42,33 @@ class _Model:
         self.cum = np.zeros((len(total), _BUCKETS + 1), dtype=np.int64)
         self.cum[:, 1:] = total * spare // total[:, -1:] + np.arange(1, _BUCKETS + 1)
         self.flat = self.cum.reshape(-1)
+        self.eighths = np.ascontiguousarray(self.cum[:, 8:_BUCKETS:8])
+        self.inner = np.ascontiguousarray(self.cum[:, :_BUCKETS].reshape(-1, 8, 8)[:, :, 1:])
+
+    def bucket(self, k: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The bucket that holds place y, of lanes k: first its eighth of the table."""
+        part = (self.eighths[k] <= y[:, None]).sum(axis=1)
+        return part * 8 + (self.inner[k, part] <= y[:, None]).sum(axis=1)
 
     def predict(self, m: int) -> None:
-        """Sets ids two, one and the shares a (order 2 right) and b (order 1 right), of 2**16."""
+        """Sets the ids c2 and c1 and the shares a (order 2 right), b (order 1 right) and c (neither), of 2**_CLASS."""
         last = self.last[:m]
         mask = (1 << _SLOTS) - 1
         self.i2 = self.slots[:m] + ((last * 40503 + self.before[:m] * 10007 >> 2) & mask)
         self.i1 = self.slots[:m] + (last & mask)
         self.e2, self.e1 = self.two[self.i2], self.one[self.i1]
         self.q = self.shares[:m] + ((self.e2 & 3) << 2 | (self.e1 & 3))
-        self.a, self.s1 = self.p2[self.q], self.p1[self.q]
-        self.b = (65536 - self.a) * self.s1 >> 16
+        self.s2, self.s1 = self.p2[self.q], self.p1[self.q]
+        self.a = self.s2 >> 4
+        left = (1 << _CLASS) - self.a
+        self.b = np.maximum(left * self.s1 >> 16, 1)
+        self.c = left - self.b
         self.c2, self.c1 = self.e2 >> 2, self.e1 >> 2
 
     def update(self, m: int, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, missed: np.ndarray) -> None:
         """ids coded at this step; missed: lanes that order 0 coded."""
         ids32 = ids.astype(np.int32)
-        self.p2[self.q] = self.a + ((np.where(hit2, 65000, 300) - self.a) >> 4)
+        self.p2[self.q] = self.s2 + ((np.where(hit2, 65000, 300) - self.s2) >> 4)
         self.p1[self.q] = np.where(hit2, self.s1, self.s1 + ((np.where(hit1, 65000, 300) - self.s1) >> 4))
         new = ids32 << 2
         for table, i, e, right in ((self.two, self.i2, self.e2, hit2), (self.one, self.i1, self.e1, self.c1 == ids32)):
@@ -73,7 +87,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     for k, b in enumerate(blocks):
         ids[: len(b), k] = b
     model = _Model(lanes)
-    low, wide = np.zeros(lanes, dtype=U), np.full(lanes, 1 << 48, dtype=U)
+    low, wide = np.zeros(lanes, dtype=U), np.full(lanes, 1 << 56, dtype=U)
     out, at = np.zeros((lanes, int(sizes[0]) * 3 + 16), dtype="<u2"), np.zeros(lanes, dtype=np.int64)
 
     def renew(k: np.ndarray) -> None:
@@ -81,11 +95,11 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         while len(k):
             lo, w = low[k], wide[k]
             over = (lo ^ (lo + w)) >> _B48 != 0
-            w = np.where(over, (~lo + U(1)) & _LOW32, w)
+            w = np.where(over, (~lo + U(1)) & _LOW, w)
             out[k, at[k]] = lo >> _B48
             at[k] += 1
             low[k], wide[k] = lo << _B16, w << _B16
-            k = k[w << _B16 <= _LOW32]
+            k = k[w << _B16 <= _LOW]
 
     active = np.searchsorted(-sizes, -np.arange(len(ids)), side="left")
     for t, m in enumerate(active.tolist()):
@@ -95,24 +109,18 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         model.predict(m)
         hit2 = model.c2 == now
         hit1 = (model.c1 == now) & ~hit2
-        a, b = model.a, model.b
-        start = np.where(hit2, 0, np.where(hit1, a, a + b))
-        size = np.where(hit2, a, np.where(hit1, b, 65536 - a - b))
-        part = wide[:m] >> _B16
+        missed = ~(hit2 | hit1)
+        a, b, c = model.a, model.b, model.c
+        row = model.rows[:m] + (now >> _BUCKET)
+        first = model.flat[row]
+        share = model.flat[row + 1] - first
+        start = np.where(missed, (a + b << _INNER) + ((first << _BUCKET) + (now & ((1 << _BUCKET) - 1)) * share) * c, np.where(hit2, 0, a << _INNER))
+        size = np.where(missed, share * c, np.where(hit2, a, b) << _INNER)
+        part = wide[:m] >> _STEP
         low[:m] += part * start.astype(U)
         wide[:m] = part * size.astype(U)
-        renew(np.flatnonzero(wide[:m] <= _LOW32))
-        k = np.flatnonzero(~(hit2 | hit1))
-        if len(k):
-            some = now[k]
-            row = model.rows[k] + (some >> _BUCKET)
-            first = model.flat[row]
-            share = model.flat[row + 1] - first
-            part = wide[k] >> U(_SCALE + _BUCKET)
-            low[k] += part * ((first << _BUCKET) + (some & ((1 << _BUCKET) - 1)) * share).astype(U)
-            wide[k] = part * share.astype(U)
-            renew(k[wide[k] <= _LOW32])
-        model.update(m, now, hit2, hit1, k)
+        renew(np.flatnonzero(wide[:m] <= _LOW))
+        model.update(m, now, hit2, hit1, np.flatnonzero(missed))
     for _ in range(4):
         out[np.arange(lanes), at] = low >> _B48
         at += 1
@@ -129,7 +137,7 @@ def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     for k, p in enumerate(payloads):
         words[k, : len(p) // 2] = np.frombuffer(p, dtype="<u2")
     model = _Model(lanes)
-    low, wide, code, at = np.zeros(lanes, dtype=U), np.full(lanes, 1 << 48, dtype=U), np.zeros(lanes, dtype=U), np.full(lanes, 4)
+    low, wide, code, at = np.zeros(lanes, dtype=U), np.full(lanes, 1 << 56, dtype=U), np.zeros(lanes, dtype=U), np.full(lanes, 4)
     for k in range(4):
         code = code << _B16 | words[:, k]
     ids = np.zeros((int(sizes[0]), lanes), dtype=np.int64)
@@ -138,41 +146,41 @@ def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
         while len(k):
             lo, w = low[k], wide[k]
             over = (lo ^ (lo + w)) >> _B48 != 0
-            w = np.where(over, (~lo + U(1)) & _LOW32, w)
+            w = np.where(over, (~lo + U(1)) & _LOW, w)
             code[k] = code[k] << _B16 | words[k, at[k]]
             at[k] += 1
             low[k], wide[k] = lo << _B16, w << _B16
-            k = k[w << _B16 <= _LOW32]
+            k = k[w << _B16 <= _LOW]
 
     active = np.searchsorted(-sizes, -np.arange(len(ids)), side="left")
     for t, m in enumerate(active.tolist()):
         if t % _REBUILD == 0 and t:
             model.rebuild()
         model.predict(m)
-        a, b = model.a, model.b
-        part = wide[:m] >> _B16
-        x = np.minimum((code[:m] - low[:m]) // part, U(65535)).astype(np.int64)
-        hit2 = x < a
-        hit1 = (x < a + b) & ~hit2
-        start = np.where(hit2, 0, np.where(hit1, a, a + b))
-        size = np.where(hit2, a, np.where(hit1, b, 65536 - a - b))
-        low[:m] += part * start.astype(U)
-        wide[:m] = part * size.astype(U)
-        renew(np.flatnonzero(wide[:m] <= _LOW32))
+        a, b, c = model.a, model.b, model.c
+        part = wide[:m] >> _STEP
+        x = np.minimum((code[:m] - low[:m]) // part, U((1 << int(_STEP)) - 1)).astype(np.int64)
+        of = x >> _INNER
+        hit2 = of < a
+        missed = of >= a + b
+        hit1 = ~(hit2 | missed)
         now = np.where(hit2, model.c2, model.c1).astype(np.int64)
-        k = np.flatnonzero(~(hit2 | hit1))
+        start, size = np.where(hit2, 0, a << _INNER), np.where(hit2, a, b) << _INNER
+        k = np.flatnonzero(missed)
         if len(k):
-            part = wide[k] >> U(_SCALE + _BUCKET)
-            y = np.minimum((code[k] - low[k]) // part, U((1 << _SCALE + _BUCKET) - 1)).astype(np.int64)
-            bucket = (model.cum[k, 1:] <= (y >> _BUCKET)[:, None]).sum(axis=1)
+            ck, above = c[k], (a + b)[k] << _INNER
+            y = (x[k] - above) // ck
+            bucket = model.bucket(k, y >> _BUCKET)
             row = model.rows[k] + bucket
             first = model.flat[row]
             share = model.flat[row + 1] - first
             place = (y - (first << _BUCKET)) // share
-            low[k] += part * ((first << _BUCKET) + place * share).astype(U)
-            wide[k] = part * share.astype(U)
-            renew(k[wide[k] <= _LOW32])
+            start[k] = above + ((first << _BUCKET) + place * share) * ck
+            size[k] = share * ck
             now[k] = bucket << _BUCKET | place
+        low[:m] += part * start.astype(U)
+        wide[:m] = part * size.astype(U)
+        renew(np.flatnonzero(wide[:m] <= _LOW))
         model.update(m, now, hit2, hit1, k)
         ids[t, :m] = now
     return [ids[: sizes[k], k] for k in range(lanes)]

@@ -31,8 +31,8 @@ from .common import chunks_of, stage_root
 from .range_coder import decode_blocks, encode_blocks
 from .tokens import END_ID, encoder, tokenizer_path
 
-BLOCK = 4096
-_LANES = 1024
+BLOCK = 2048
+_LANES = 2048
 _SCHEMA = "part int, block long, first long, n_ids int, crc32 long, rows array<long>, docs array<long>, lengths array<int>, payload binary"
 _POLY = 0xEDB88320
 

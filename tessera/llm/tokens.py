@@ -2,29 +2,52 @@
 
 The ids of a text are the ids of its words between ASCII white space, one after the other, as neither
 the normalizer nor the pre-tokenizer of the file looks across white space. So each distinct word goes
-through the library once and the rest is look-up.
+through the library once and the rest is look-up. A word of Latin letters with ASCII punctuation after
+them is put together from the ids of its letters in lower case and of the punctuation: the file lower-cases,
+and cuts there.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 
 END_ID = 1
+#: Letters that lower-case to one letter and are not composed with what follows; punctuation without the apostrophe, and without the signs of special tokens.
+_PARTED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:;=?-@\[-`{}~]*)")
 _encoders: dict[tuple, "WordEncoder"] = {}
 
 
 class WordEncoder:
     """text -> little-endian unsigned 32-bit ids. Holds at most about max_words words."""
 
-    def __init__(self, path: str, max_words: int = 1_000_000):
+    def __init__(self, path: str, max_words: int = 1_500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer, self.max_words, self.known = Tokenizer.from_file(path), max_words, {}
 
     def learn(self, missing: list[bytes]) -> None:
+        """Adds words to the table: put together from their parts where they have such."""
+        parted, new = [], set()
+        for w in missing:
+            m = _PARTED.fullmatch(w.decode())
+            if m is None:
+                new.add(w)
+                continue
+            parts = [p.encode() for p in (m[1].lower(), m[2]) if p]
+            if parts == [w]:
+                new.add(w)
+            else:
+                parted.append((w, parts))
+                new.update(p for p in parts if p not in self.known)
+        self.look_up(list(new))
+        for w, parts in parted:
+            self.known[w] = b"".join(self.known[p] for p in parts)
+
+    def look_up(self, missing: list[bytes]) -> None:
         """Encodes words joined by blanks, a few hundred at a time, and splits the ids by offset."""
         groups = [missing[i : i + 512] for i in range(0, len(missing), 512)]
         for start in range(0, len(groups), 64):
@@ -49,7 +72,7 @@ class WordEncoder:
         return [b"".join(map(get, ws)) for ws in split]
 
 
-def encoder(path: str, max_words: int = 1_000_000) -> WordEncoder:
+def encoder(path: str, max_words: int = 1_500_000) -> WordEncoder:
     """One for each worker process, kept over its tasks."""
     key = (path, max_words)
     if key not in _encoders:
