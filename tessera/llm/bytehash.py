@@ -41,7 +41,7 @@ def substring_hashes(sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> n
     return mix((sums[stop] - sums[start]) * powers(len(sums))[1][start] + (stop - start).astype(np.uint64))
 
 
-def word_hashes(text: bytes, piece: int = 4_000_000) -> np.ndarray:
+def word_hashes(text: bytes, piece: int = 1_000_000) -> np.ndarray:
     """Of each word between ASCII white space, A-Z as a-z, in order."""
     text = text.translate(_LOWER)
     out, at = [], 0
@@ -61,7 +61,7 @@ def word_hashes(text: bytes, piece: int = 4_000_000) -> np.ndarray:
 def many_word_hashes(texts: list[str | None]) -> list[np.ndarray]:
     """word_hashes of each text; short texts are hashed together."""
     raw = [(t or "").encode() for t in texts]
-    joined = word_hashes(b" ".join(raw), 1 << 62) if sum(map(len, raw)) <= 8_000_000 else None
+    joined = word_hashes(b" ".join(raw), 1 << 62) if sum(map(len, raw)) <= 2_000_000 else None
     if joined is None:
         return [word_hashes(r) for r in raw]
     counts = np.array([len(r.split()) for r in raw])

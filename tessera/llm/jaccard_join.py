@@ -3,14 +3,16 @@
 A text's set is its distinct word shingles. Texts with equal sets are one member. Members meet where
 they share a prefix token: of each set the ``n - ceil(t n) + 1`` tokens that come first in one order of
 all tokens, rare ones first (an order by a count sketch of the whole corpus, then by hash); two sets with
-Jaccard t or more share one. Members of such a block have a signature, a bitmap of their tokens. A
+Jaccard t or more share one. Members of such a block have a signature, a bitmap of their tokens as long as their size class asks for. A
 signature tree over the block has OR-combined bitmaps, size ranges and the greatest surplus of tokens
 over bits in its nodes; a dual traversal drops node pairs whose possible overlap is too small. Pairs of
 members that stay are compared on their whole sets.
 
-Groups of very many near copies don't become all pairs: members are first compared with the smallest of
-their block and joined to components; the trees then only look for pairs between components. Blocks of
-more than ``max_block`` members are dealt to several tasks by parts, each pair of parts once.
+What a block gives is not pairs but its members that may link with another one in it. Blocks that such
+members share make up a group, which meets once, with whole sets: members are compared with the first of
+the group, then only across components, so a group of very many near copies doesn't become all pairs, and
+only links leave the task. Groups of more than ``max_block`` members are dealt to several tasks by parts,
+each pair of parts once.
 
 Defined cases: null texts and texts without words have an empty set and link with nothing; repeated
 rows and texts with equal sets are in one component; a component without any doc_id has a null id;
@@ -31,8 +33,8 @@ from .common import chunks_of, staged
 from .components import components
 
 SKETCH = 1 << 20
-BITS = 1024
-_GROUP = 2_000_000
+BITS = 1024  # of a bitmap of up to 256 tokens; twice as many for each doubling
+_GROUP = 500_000
 _FAN = 16
 
 
@@ -66,35 +68,37 @@ def token_sketch(docs: DataFrame, size: int = 4) -> np.ndarray:
     return np.log2(out + 1).astype(np.uint8)
 
 
-def _bitmap(s: np.ndarray) -> bytes:
-    out = np.zeros(BITS, dtype=bool)
-    out[(mix(s) >> np.uint64(54)).astype(np.int64)] = True
+def _size_class(n: int) -> int:
+    return max(0, (n - 1).bit_length() - 8)
+
+
+def _bitmap(s: np.ndarray, size_class: int) -> bytes:
+    """A bit for each token; that of a lower class is the same as two halves ORed."""
+    out = np.zeros(BITS << size_class, dtype=bool)
+    out[(mix(s) & np.uint64((BITS << size_class) - 1)).astype(np.int64)] = True
     return np.packbits(out).tobytes()
 
 
 def signatures(docs: DataFrame, sketch: np.ndarray, size: int = 4, percent: int = 85) -> DataFrame:
-    """(doc_id, n, h1, h2, tokens, bits) of each row: set size, set hash, prefix tokens, bitmap."""
+    """(doc_id, n, h1, h2, tokens, class, bits, low) of each row: set size, set hash, prefix tokens, bitmap of its size class, and that of the class below if sets of it may link."""
     ranks = docs.sparkSession.sparkContext.broadcast(sketch)  # SKETCH bytes
 
     def sign(batches):
         rank = ranks.value
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            cols = [[], [], [], [], []]
+            cols = [[], [], [], [], [], [], []]
             for _, s in _sets(texts, size):
-                n = len(s)
+                n, k = len(s), _size_class(len(s))
                 order = np.lexsort((s, rank[(s >> np.uint64(44)).astype(np.int64)]))[: n - (percent * n + 99) // 100 + 1]
-                h1, h2 = (mix(s ^ np.uint64(k)).sum(dtype=np.uint64).view(np.int64) for k in (11, 12))
-                for col, v in zip(cols, (n, int(h1), int(h2), s[order].view(np.int64) if n else [], _bitmap(s))):
+                h1, h2 = (mix(s ^ np.uint64(x)).sum(dtype=np.uint64).view(np.int64) for x in (11, 12))
+                below = k and percent * n <= 100 << (k + 7)
+                for col, v in zip(cols, (n, int(h1), int(h2), s[order].view(np.int64) if n else [], k, _bitmap(s, k), _bitmap(s, k - 1) if below else None)):
                     col.append(v)
-            types = (pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64())] + [pa.array(c, t) for c, t in zip(cols, types)], names=["doc_id", "n", "h1", "h2", "tokens", "bits"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, "doc_id long, n int, h1 long, h2 long, tokens array<long>, bits binary")
-
+            types = (pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64())] + [pa.array(c, t) for c, t in zip(cols, types)], names=["doc_id", "n", "h1", "h2", "tokens", "class", "bits", "low"])
 
-def _near_size(a, b, percent):
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, "doc_id long, n int, h1 long, h2 long, tokens array<long>, class int, bits binary, low binary")
 
 
 def _need(na, nb, percent):
@@ -103,7 +107,8 @@ def _need(na, nb, percent):
 
 
 def _words(bits) -> np.ndarray:
-    return np.frombuffer(b"".join(bits), dtype=np.uint64).reshape(-1, BITS // 64)
+    """Rows of 64-bit words of bitmaps of one size."""
+    return np.frombuffer(b"".join(bits), dtype=np.uint64).reshape(len(bits), -1)
 
 
 def _bound(or_a, or_b, sur_a, sur_b, max_a, max_b):
@@ -123,18 +128,28 @@ class SignatureTree:
             at = np.arange(0, len(b), _FAN)
             self.levels.append((np.bitwise_or.reduceat(b, at), np.maximum.reduceat(sur, at), np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)))
 
-    def pairs(self, other: "SignatureTree", percent: int, same: bool):
-        """(i, j) of members that may link; with same, those with i < j of one tree. Works level by level in pieces of bounded size."""
+    def pairs(self, other: "SignatureTree", percent: int, same: bool, done=None):
+        """(i, j) of members that may link; with same, those with i < j of one tree. Works level by level in pieces of bounded size, near members first.
+
+        Node pairs of which done(members of i, members of j) says so are left out.
+        """
         top = min(len(self.levels), len(other.levels)) - 1
         na, nb = len(self.levels[top][0]), len(other.levels[top][0])
         first = np.stack(np.meshgrid(np.arange(na), np.arange(nb), indexing="ij"), axis=-1).reshape(-1, 2)
         work = [(top, first[first[:, 0] <= first[:, 1]] if same else first)]
         while work:
             level, at = work.pop()
-            if len(at) > 65_536:
-                work += [(level, at[i : i + 65_536]) for i in range(0, len(at), 65_536)]
+            if same and level and len(at) > 1 and (own := at[:, 0] == at[:, 1]).any() and not own.all():
+                work += [(level, at[~own]), (level, at[own])]
+                continue
+            piece = 512 if level else 65_536  # a pair of nodes becomes _FAN * _FAN
+            if len(at) > piece:
+                work += [(level, at[i : i + piece]) for i in range(0, len(at), piece)]
                 continue
             i, j = at[:, 0], at[:, 1]
+            if done is not None:
+                left = ~done(level, i, j)
+                i, j = i[left], j[left]
             ba, sa, la, ha = self.levels[level]
             bb, sb, lb, hb = other.levels[level]
             fits = (100 * ha[i] >= percent * lb[j]) & (100 * hb[j] >= percent * la[i])
@@ -155,39 +170,168 @@ class SignatureTree:
                 work.append((level - 1, down))
 
 
-def _block_pairs(percent):
-    """Pairs between components in each block of frames sorted by (block, i, j)."""
-
-    def of_block(f: pd.DataFrame):
-        same = f["i"].iloc[0] == f["j"].iloc[0]
-        sides = [f] if same else [f[f["part"] == f["i"]], f[f["part"] == f["j"]]]
-        sides = [s.sort_values(["n", "rid"]) for s in sides]
-        if any(not len(s) for s in sides):
-            return
-        trees = [SignatureTree(_words(s["bits"]), s["n"].to_numpy(np.int64)) for s in sides]
-        ids = [(s["rid"].to_numpy(), s["comp"].to_numpy()) for s in sides]
-        for i, j in trees[0].pairs(trees[-1], percent, same):
-            a, b, ca, cb = ids[0][0][i], ids[-1][0][j], ids[0][1][i], ids[-1][1][j]
-            apart = ca != cb
-            if apart.any():
-                a, b = a[apart], b[apart]
-                yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+def _groups(frames, keys, run):
+    """run(rows of one key) over frames sorted by keys."""
+    held = None
+    for f in frames:
+        f = f if held is None else pd.concat([held, f], ignore_index=True)
+        if not len(f):
+            continue
+        new = np.zeros(len(f), dtype=bool)
+        for k in keys:
+            new[1:] |= f[k].to_numpy()[1:] != f[k].to_numpy()[:-1]
+        cuts = np.r_[0, np.flatnonzero(new)].tolist()
+        for a, b in zip(cuts, cuts[1:]):
+            yield from run(f.iloc[a:b])
+        held = f.iloc[cuts[-1] :]
+    if held is not None and len(held):
+        yield from run(held)
+
+
+def _sides(f: pd.DataFrame):
+    """The rows of a task's one part, or its two."""
+    same = f["i"].iloc[0] == f["j"].iloc[0]
+    sides = [f] if same else [f[f["part"] == f["i"]], f[f["part"] == f["j"]]]
+    return same, [s.sort_values(["n", "rid"]) for s in sides]
+
+
+def _mark_small(starts, size, bits, n, own, percent, marked):
+    """Marks, in all blocks of a few members at once, those that may link with another."""
+    at = starts[:, None] + np.arange(size)
+    for p in range(size):
+        for q in range(p + 1, size):
+            i, j = at[:, p], at[:, q]
+            yes = _bound(bits[i], bits[j], n[i] - own[i], n[j] - own[j], n[i], n[j]) >= _need(n[i], n[j], percent)
+            marked[i[yes]] = marked[j[yes]] = True
+
+
+def _mark_tree(rows, other, bits, n, percent, marked):
+    """The same for one block, or two parts of it, by signature trees. rows and other are places, sorted by size."""
+    trees = [SignatureTree(bits[r], n[r]) for r in ([rows] if other is None else [rows, other])]
+    marks = [np.zeros(len(r), dtype=bool) for r in ([rows] if other is None else [rows, other])]
+
+    def done(level, i, j):
+        """Nodes all of whose members are marked."""
+        full = []
+        for m in marks:
+            for _ in range(level):
+                m = np.logical_and.reduceat(m, np.arange(0, len(m), _FAN))
+            full.append(m)
+        return full[0][i] & full[-1][j]
+
+    for i, j in trees[0].pairs(trees[-1], percent, other is None, done):
+        marks[0][i] = True
+        marks[-1][j] = True
+    for r, m in zip([rows] if other is None else [rows, other], marks):
+        marked[r] |= m
+
+
+def _may_link(percent):
+    """(token, rid) of members that may link with another of their block, from frames sorted by block."""
+
+    def whole_blocks(f: pd.DataFrame, cuts: np.ndarray):
+        bits, n = _words(f["bits"]), f["n"].to_numpy(np.int64)
+        own = np.bitwise_count(bits).sum(axis=1).astype(np.int64)
+        i, j, part = (f[k].to_numpy() for k in ("i", "j", "part"))
+        marked = np.zeros(len(f), dtype=bool)
+        starts, sizes = cuts[:-1], np.diff(cuts)
+        alone = i[starts] == j[starts]
+        for size in np.unique(sizes[alone & (sizes <= _FAN)]):
+            _mark_small(starts[alone & (sizes == size)], int(size), bits, n, own, percent, marked)
+        for a, size, one in zip(starts, sizes, alone):
+            if one and size <= _FAN:
+                continue
+            rows = a + np.argsort(n[a : a + size], kind="stable")
+            if one:
+                _mark_tree(rows, None, bits, n, percent, marked)
+            else:
+                left, right = rows[part[rows] == i[a]], rows[part[rows] == j[a]]
+                if len(left) and len(right):
+                    _mark_tree(left, right, bits, n, percent, marked)
+        return f.loc[marked, ["token", "rid"]]
+
+    def borders(f: pd.DataFrame) -> np.ndarray:
+        new = np.zeros(len(f), dtype=bool)
+        for k in ("class", "token", "i", "j"):
+            new[1:] |= f[k].to_numpy()[1:] != f[k].to_numpy()[:-1]
+        return np.r_[0, np.flatnonzero(new), len(f)]
+
+    def by_class(f: pd.DataFrame):
+        for _, some in f.groupby("class", sort=False):
+            some = some.reset_index(drop=True)
+            yield whole_blocks(some, borders(some))
 
     def run(frames):
         held = None
         for f in frames:
             f = f if held is None else pd.concat([held, f], ignore_index=True)
-            key = list(zip(f["block"], f["i"], f["j"]))
-            cuts = [0] + [k for k in range(1, len(key)) if key[k] != key[k - 1]]
-            for a, b in zip(cuts, cuts[1:]):
-                yield from of_block(f.iloc[a:b])
-            held = f.iloc[cuts[-1] :] if len(f) else None
+            if len(f):
+                last = borders(f)[-2]  # the last block may go on
+                yield from by_class(f.iloc[:last])
+                held = f.iloc[last:]
         if held is not None and len(held):
-            yield from of_block(held)
+            yield from by_class(held)
 
     return run
 
 
+class _Overlaps:
+    """Exact overlaps of the sets of a group, by lists of the sets that hold each token; tokens of one set are left out."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        owner = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
+        tokens = np.concatenate(sets)
+        order = np.argsort(tokens, kind="stable")
+        tokens = tokens[order]
+        first = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
+        count = np.diff(np.r_[first, len(tokens)])
+        shared = np.repeat(count > 1, count)
+        self.holders, count = owner[order][shared], count[count > 1]
+        self.ends = np.cumsum(count)
+        token = np.repeat(np.arange(len(count), dtype=np.int32), count)
+        by_set = np.argsort(self.holders, kind="stable")
+        self.tokens, self.count, self.size = token[by_set], count, len(sets)
+        self.sets = np.r_[0, np.cumsum(np.bincount(self.holders, minlength=len(sets)))]
+
+    def with_all(self, i: int) -> np.ndarray:
+        t = self.tokens[self.sets[i] : self.sets[i + 1]]
+        n = self.count[t]
+        at = np.arange(n.sum()) + np.repeat(self.ends[t] - n - (np.cumsum(n) - n), n)
+        return np.bincount(self.holders[at], minlength=self.size)
+
+
+def _group_links(percent):
+    """Links that make up the components of each group of whole sets."""
+
+    def of_group(f: pd.DataFrame):
+        same, sides = _sides(f)
+        if any(not len(s) for s in sides):
+            return
+        rows = sides[0] if same else pd.concat(sides, ignore_index=True)
+        sets, n, rid = [np.frombuffer(w, dtype=np.uint64) for w in rows["whole"]], rows["n"].to_numpy(np.int64), rows["rid"].to_numpy()
+        exact, root, found = _Overlaps(sets), np.arange(len(sets)), []
+        # the one in the middle of the sizes first: a group of near copies is mostly one component after it
+        middle = len(sets) // 2
+        for i in [middle, *range(len(sets))]:
+            near = (100 * np.minimum(n[i], n) >= percent * np.maximum(n[i], n)) & (root != root[i])
+            if near.any():
+                j = np.flatnonzero(near & (exact.with_all(i) >= _need(n[i], n, percent)))
+                for r in np.unique(root[j]):
+                    found.append((rid[i], rid[j[root[j] == r][0]]))
+                    root[root == r] = root[i]
+        if found:
+            yield pd.DataFrame(found, columns=["a", "b"])
+
+    return lambda frames: _groups(frames, ["root", "i", "j"], of_group)
+
+
+def _parted(df: DataFrame, size: str, max_block: int) -> DataFrame:
+    """df with part, and i <= j: a row for each pair of parts that it belongs to."""
+    df = df.withColumn("_parts", F.ceil(F.col(size) / F.lit(max_block)).cast("int"))
+    df = df.withColumn("part", F.pmod(F.xxhash64("rid"), F.col("_parts")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    return df.withColumns({"i": F.least("part", "_other"), "j": F.greatest("part", "_other")}).drop("_parts", "_other")
+
+
 def _with_sets(docs: DataFrame, ids: DataFrame, size: int, broadcast_rows: int) -> DataFrame:
     """(rid, whole) for ids(rid, doc_id, h1, h2): the tokens of these members, from the texts again."""
     wanted = ids.select(F.col("doc_id").alias("_want")).distinct()
@@ -205,65 +349,35 @@ def _with_sets(docs: DataFrame, ids: DataFrame, size: int, broadcast_rows: int)
     return found.join(ids.select("rid", "h1", "h2"), ["h1", "h2"]).groupBy("rid").agg(F.first("whole").alias("whole"))
 
 
-def verified(docs: DataFrame, members: DataFrame, pairs: DataFrame, size: int, percent: int, broadcast_rows: int) -> DataFrame:
-    """Those of pairs(a, b) whose whole sets link."""
-    ids = staged(pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct().join(members.select("rid", "doc_id", "h1", "h2"), "rid"), "pair-members")
-    sets = _with_sets(docs, ids, size, broadcast_rows)
-    sets = staged(sets, "pair-sets")
-    both = pairs.join(sets.select(F.col("rid").alias("a"), F.col("whole").alias("wa")), "a").join(sets.select(F.col("rid").alias("b"), F.col("whole").alias("wb")), "b")
-
-    def compare(frames):
-        for f in frames:
-            keep = []
-            for x, y in zip(f["wa"], f["wb"]):
-                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                keep.append(len(np.intersect1d(x, y, assume_unique=True)) >= _need(len(x), len(y), percent))
-            yield f.loc[keep, ["a", "b"]]
-
-    return both.mapInPandas(compare, "a long, b long")
-
-
 def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, max_block: int = 20_000, broadcast_rows: int = 1_000_000) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of docs(doc_id, text)."""
     signs = staged(signatures(docs, token_sketch(docs, size), size, percent), "signatures")
-    own = signs.where("n > 0").groupBy("h1", "h2", "n").agg(F.min(F.struct("doc_id", "tokens", "bits")).alias("s"))
+    own = signs.where("n > 0").groupBy("h1", "h2", "n").agg(F.min(F.struct("doc_id", "tokens", "class", "bits", "low")).alias("s"))
     members = staged(own.select("h1", "h2", "n", "s.*").withColumn("rid", F.monotonically_increasing_id()), "members")
 
     # Blocks: tokens that several members have in their prefix; of blocks with the same members, one.
     w = W.partitionBy("token")
     met = members.select("rid", "n", F.explode("tokens").alias("token"))
-    met = met.withColumns({"_cnt": F.count("*").over(w), "_mix": F.expr("bit_xor(xxhash64(rid)) OVER (PARTITION BY token)"), "center": F.min("rid").over(w)}).where("_cnt > 1")
+    met = met.withColumns({"_cnt": F.count("*").over(w), "_mix": F.bit_xor(F.xxhash64("rid")).over(w), "_low": F.min("rid").over(w)}).where("_cnt > 1")
     met = staged(met, "met")
-    chosen = met.groupBy("_cnt", "_mix", "center").agg(F.min("token").alias("token")).select("token")
-    blocks = staged(met.join(chosen, "token", "left_semi").drop("_mix"), "blocks")
-
-    bits = members.select("rid", "n", "bits")
-    star = blocks.where("rid != center").select(F.col("center").alias("a"), F.col("rid").alias("b")).distinct()
-    side = lambda k: bits.select(F.col("rid").alias(k), F.col("n").alias("n" + k), F.col("bits").alias("bits" + k))
-    star = star.join(side("a"), "a").join(side("b"), "b").where(_near_size(F.col("na"), F.col("nb"), percent))
-
-    def possible(frames):
-        for f in frames:
-            if len(f):
-                ba, bb, na, nb = _words(f["bitsa"]), _words(f["bitsb"]), f["na"].to_numpy(np.int64), f["nb"].to_numpy(np.int64)
-                own = lambda b: np.bitwise_count(b).sum(axis=1).astype(np.int64)
-                yield f.loc[_bound(ba, bb, na - own(ba), nb - own(bb), na, nb) >= _need(na, nb, percent), ["a", "b"]]
-
-    star = staged(star.mapInPandas(possible, "a long, b long"), "star-pairs")
-    links = staged(verified(docs, members, star, size, percent, broadcast_rows), "star-links")
-
-    # Pairs between components, by the trees of blocks that still hold several.
-    comps = staged(components(links), "components")
-    parted = blocks.join(comps.withColumnRenamed("node", "rid"), "rid", "left").withColumn("comp", F.coalesce("root", "rid")).drop("root", "n")
-    several = parted.groupBy("token").agg(F.min("comp").alias("_low"), F.max("comp").alias("_high")).where("_low != _high").select("token")
-    parted = parted.join(several, "token", "left_semi").join(bits, "rid")
-    parts = F.ceil(F.col("_cnt") / F.lit(max_block)).cast("int")
-    parted = parted.withColumn("_parts", parts).withColumn("part", F.pmod(F.xxhash64("rid"), F.col("_parts")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-    parted = parted.select(F.col("token").alias("block"), F.least("part", "_other").alias("i"), F.greatest("part", "_other").alias("j"), "part", "rid", "comp", "n", "bits")
-    between = parted.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j").mapInPandas(_block_pairs(percent), "a long, b long").distinct()
-    between = staged(between.join(star, ["a", "b"], "left_anti"), "tree-pairs")
-    more = verified(docs, members, between, size, percent, broadcast_rows)
-    whole = staged(components(staged(links.union(more), "links")), "components")
+    chosen = met.groupBy("_cnt", "_mix", "_low").agg(F.min("token").alias("token")).select("token")
+    blocks = staged(met.join(chosen, "token", "left_semi").drop("_mix", "_low"), "blocks")
+
+    # Members that may link, by the blocks' trees; those that share a block with such are a group.
+    own, low = members.select("rid", "class", "bits"), members.where("low is not null").select("rid", (F.col("class") - 1).alias("class"), F.col("low").alias("bits"))
+    rows = _parted(blocks.join(own.union(low), "rid"), "_cnt", max_block).select("class", "token", "i", "j", "part", "rid", "n", "bits")
+    maybe = rows.repartition("class", "token", "i", "j").sortWithinPartitions("class", "token", "i", "j").mapInPandas(_may_link(percent), "token long, rid long")
+    maybe = staged(maybe.distinct(), "may-link")
+    centers = maybe.groupBy("token").agg(F.min("rid").alias("b"))
+    group = staged(components(maybe.join(centers, "token").select(F.col("rid").alias("a"), "b")), "groups").select(F.col("node").alias("rid"), "root")
+
+    # Whole sets of these members, once each, and the links within groups.
+    ids = staged(group.join(members.select("rid", "n", "doc_id", "h1", "h2"), "rid"), "group-members")
+    sets = _with_sets(docs, ids, size, broadcast_rows).join(ids.select("rid", "root", "n"), "rid")
+    sets = _parted(sets.join(ids.groupBy("root").agg(F.count("*").alias("_size")), "root"), "_size", max_block // 8)
+    sets = sets.select("root", "i", "j", "part", "rid", "n", "whole").repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
+    links = staged(sets.mapInPandas(_group_links(percent), "a long, b long"), "links")  # one Python step a stage, as each holds a worker
+    whole = staged(components(links), "components")
 
     named = members.select("h1", "h2", "n", "rid", F.col("doc_id").alias("_low")).join(whole.withColumnRenamed("node", "rid"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
     lows = named.groupBy("root").agg(F.min("_low").alias("component_id"))
