@@ -356,9 +356,16 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, max_bl
     members = staged(own.select("h1", "h2", "n", "s.*").withColumn("rid", F.monotonically_increasing_id()), "members")
 
     # Blocks: tokens that several members have in their prefix; of blocks with the same members, one.
-    w = W.partitionBy("token")
-    met = members.select("rid", "n", F.explode("tokens").alias("token"))
-    met = met.withColumns({"_cnt": F.count("*").over(w), "_mix": F.bit_xor(F.xxhash64("rid")).over(w), "_low": F.min("rid").over(w)}).where("_cnt > 1")
+    # At the first token that two sets share, at place p of the smaller set x, they can have n - p more: so p is at
+    # most n(x) less what sets of its size need. A row stays if it may be such an x below the next larger set,
+    # or lies over the nearest such x.
+    w, up = W.partitionBy("token"), W.partitionBy("token").orderBy("n")
+    met = members.select("rid", "n", F.posexplode("tokens").alias("_p", "token"))
+    least = F.ceil((2 * percent * F.col("n")) / F.lit(100 + percent))
+    met = met.withColumn("_x", F.when(F.col("_p") <= F.col("n") - least, F.col("n")))
+    met = met.withColumns({"_over": F.last("_x", ignorenulls=True).over(up.rowsBetween(W.unboundedPreceding, -1)), "_next": F.lead("n").over(up)})
+    pairs = F.coalesce(100 * F.col("_over") >= percent * F.col("n"), F.lit(False)) | F.coalesce(F.col("_x").isNotNull() & (100 * F.col("n") >= percent * F.col("_next")), F.lit(False))
+    met = met.where(pairs).select("rid", "n", "token").withColumns({"_cnt": F.count("*").over(w), "_mix": F.bit_xor(F.xxhash64("rid")).over(w), "_low": F.min("rid").over(w)}).where("_cnt > 1")
     met = staged(met, "met")
     chosen = met.groupBy("_cnt", "_mix", "_low").agg(F.min("token").alias("token")).select("token")
     blocks = staged(met.join(chosen, "token", "left_semi").drop("_mix", "_low"), "blocks")
