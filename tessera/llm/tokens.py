@@ -23,7 +23,7 @@ _encoders: dict[tuple, "WordEncoder"] = {}
 class WordEncoder:
     """text -> little-endian unsigned 32-bit ids. Holds at most about max_words words."""
 
-    def __init__(self, path: str, max_words: int = 1_500_000):
+    def __init__(self, path: str, max_words: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -72,7 +72,7 @@ class WordEncoder:
         return [b"".join(map(get, ws)) for ws in split]
 
 
-def encoder(path: str, max_words: int = 1_500_000) -> WordEncoder:
+def encoder(path: str, max_words: int = 500_000) -> WordEncoder:
     """One for each worker process, kept over its tasks."""
     key = (path, max_words)
     if key not in _encoders:
