@@ -24,19 +24,26 @@ def language(spark, docs, sf_dir):
     return named.where(F.col("lang_pred") != UNDETERMINED).select(*docs.columns)
 
 
+def _numbered(docs):
+    """docs staged with _row, a number of each row: doc_id may be null or stand at several texts."""
+    return staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered-documents")
+
+
 def near_duplicates(spark, docs, sf_dir):
-    """Of each component of near copies the document with the smallest doc_id stays, as one row."""
-    found = jaccard_components(docs.select("doc_id", "text"), size=5, percent=80)
-    found = staged(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("n")), "kept-ids")
-    kept = docs.join(found.select(F.col("doc_id").alias("_kept")), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return kept if found.where("n > 1").isEmpty() else kept.dropDuplicates(["doc_id"])
+    """Of each component of near copies one row stays, that with the smallest doc_id (null ones last). Rows go by their text alone: others of the same or a null doc_id stay."""
+    rows = _numbered(docs)
+    found = jaccard_components(rows.select(F.col("_row").alias("doc_id"), "text"), size=5, percent=80).select(F.col("doc_id").alias("_row"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
+    kept = found.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id").agg(first.alias("first")).select("first._row")
+    return rows.join(staged(kept, "kept-rows"), "_row", "left_semi").select(*docs.columns)
 
 
 def without_benchmarks(spark, docs, sf_dir):
-    """Documents that hold a window of a benchmark item go."""
-    found = decontaminate(docs.select("doc_id", "text"), read_table(spark, sf_dir, "benchmark"))
-    hit = staged(found.where("contaminated").select(F.col("doc_id").alias("_hit")).distinct(), "contaminated")
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti")
+    """Rows whose text holds a window of a benchmark item go; others of the same or a null doc_id stay."""
+    rows = _numbered(docs)
+    found = decontaminate(rows.select(F.col("_row").alias("doc_id"), "text"), read_table(spark, sf_dir, "benchmark"))
+    hit = staged(found.where("contaminated").select(F.col("doc_id").alias("_row")), "contaminated")
+    return rows.join(hit, "_row", "left_anti").select(*docs.columns)
 
 
 def without_secrets(spark, docs, sf_dir):

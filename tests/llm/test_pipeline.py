@@ -33,3 +33,18 @@ def test_stages_against_brute_force(spark, docs, tmp_path):
     assert sum(r.length for r in packed) == sum(len(ids(t)) for t in kept[3].values())
     ran = corpus_pipeline.run(spark, sf).collect()
     assert sorted((r.doc_id, r.piece, r.ids_crc32) for r in ran) == sorted((r.doc_id, r.piece, r.ids_crc32) for r in packed)
+
+
+def test_rows_of_one_or_no_doc_id(spark, tmp_path):
+    a, b, c = words(60), words(60), words(60)
+    passage = words(30)
+    rows = [(None, a), (None, b), (None, b), (7, a + " tail"), (7, c), (8, c), (8, f"{words(20)} {passage}"), (None, f"{passage} {words(20)}"), (9, None), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    docs.write.parquet(f"file://{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"file://{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"file://{tmp_path}/benchmark.parquet")
+    order = lambda found: sorted(found, key=str)
+    got = corpus_pipeline.near_duplicates(spark, docs, f"file://{tmp_path}")
+    assert order(map(tuple, got.collect())) == order([(7, a + " tail"), (None, b), (7, c), *rows[6:]])
+    got = corpus_pipeline.without_benchmarks(spark, docs, f"file://{tmp_path}")
+    assert order(map(tuple, got.collect())) == order(r for r in rows if passage not in (r[1] or ""))
