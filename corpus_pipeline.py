@@ -16,12 +16,44 @@ from tessera.llm.packing import best_fit_packing
 from tessera.llm.secrets import redact, train
 
 
+#: Labelled texts that a threshold of the language stage needs at least, and its share of their median cosine.
+LEAST_TEXTS, LEAST_SHARE = 100, 0.2
+
+
+def _size_class():
+    return F.floor(F.log2(F.length("text"))).cast("int")
+
+
+def least_scores(named):
+    """{language: [(size class, threshold)]} of named(text, lang, lang_pred, score).
+
+    A class holds texts of 2^k characters up to twice that. Its threshold is a fifth of the median cosine of
+    all labelled texts that got their own language, at least LEAST_TEXTS. That is above other scripts and
+    letter noise (about 0, with a deviation of 1/32) and under texts of the language that repeat a word;
+    a language never learned that shares most trigrams with a learned one isn't told apart by it.
+    """
+    right = named.where("lang = lang_pred").groupBy("lang_pred", _size_class().alias("k"))
+    found = right.agg(F.count("*").alias("n"), F.percentile_approx("score", 0.5).alias("mid")).where(F.col("n") >= LEAST_TEXTS).collect()
+    return {x: sorted((r.k, r.mid * LEAST_SHARE) for r in found if r.lang_pred == x) for x in {r.lang_pred for r in found}}
+
+
 def language(spark, docs, sf_dir):
-    """Documents whose language is not determined (no text, no letter) go. Learns from two thirds of the documents."""
+    """Texts without a letter go, and those whose cosine is under the threshold of their language and size.
+
+    Prototypes are learned from two thirds of the documents, thresholds from the scores of all labelled
+    ones (least_scores). A size class without a threshold has that of the next smaller class (longer texts
+    score higher); where there is none either, or no document has a lang, texts with a letter stay.
+    """
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     prototypes = train_prototypes(docs.select("doc_id", "text", "lang").where(~held_out))
+    if not prototypes:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    least = F.lit(0.0)
+    for lang, classes in least_scores(identify_language(docs, prototypes, keep=("text", "lang"))).items():
+        for k, cut in classes:
+            least = F.when((F.col("lang_pred") == lang) & (_size_class() >= k), cut).otherwise(least)
     named = identify_language(docs, prototypes, keep=tuple(docs.columns))
-    return named.where(F.col("lang_pred") != UNDETERMINED).select(*docs.columns)
+    return named.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select(*docs.columns)
 
 
 def _numbered(docs):

@@ -48,3 +48,12 @@ def test_rows_of_one_or_no_doc_id(spark, tmp_path):
     assert order(map(tuple, got.collect())) == order([(7, a + " tail"), (None, b), (7, c), *rows[6:]])
     got = corpus_pipeline.without_benchmarks(spark, docs, f"file://{tmp_path}")
     assert order(map(tuple, got.collect())) == order(r for r in rows if passage not in (r[1] or ""))
+
+
+def test_language_stage_rejects_by_cosine(spark):
+    latin = [(k, words(40), "en") for k in range(300)]
+    noise = [(1000, "q" * 300, None), (1001, "q" * 300, "en"), (None, "日本語テキスト漢字" * 30, None), (1002, "漢" * 20_000, None), (1003, "1234 " * 60, "en")]
+    docs = spark.createDataFrame(latin + noise, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in corpus_pipeline.language(spark, docs, "").collect()} == {r[0] for r in latin}
+    blank = spark.createDataFrame([(k, t, None) for k, t, _ in latin + noise], docs.schema)
+    assert corpus_pipeline.language(spark, blank, "").count() == len(latin) + 4
