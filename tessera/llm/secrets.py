@@ -1,13 +1,14 @@
 """Secret scans: candidate strings judged by a random forest, in DataFrame functions throughout.
 
-Candidates are runs of 16 or more of ``[A-Za-z0-9+/_-]`` (and ``=`` at the end) with a digit or an issuer's opening. Their
-features are length, character transitions, dictionary coverage, path signs and the neighbouring words.
+Candidates are runs of 16 or more of ``[A-Za-z0-9+/_-]`` (and ``=`` at the end), and of 8 to 15 where a naming
+word and an assignment stand before, unless it is a plain word after ``:`` (no quote, digit or inner capital).
+Their features are length, character transitions, dictionary coverage, path signs and the neighbouring words.
 Spark's random forest is fitted to labelled findings and then written out as conditional expressions, so
 a scan is a projection: no text is shuffled or leaves the JVM.
 
 Where a corpus has no labelled findings, ``assigned_findings`` labels them: a candidate that a naming
-word and ``=`` or ``:`` stand before, or that opens as an issuer's keys do, is a secret, any other is
-not. The forest sees these signs apart, beside the others.
+word and ``=``, ``:`` or a scheme word (``Bearer``, ``Basic``) stand before, or that opens as an issuer's
+keys do, is a secret, any other is not. The forest sees these signs apart, beside the others.
 
 Defined cases: null and empty texts have no candidates; a candidate that repeats is judged at each
 place; repeated rows are scanned each; without findings of both classes the rule for labels decides; of
@@ -25,8 +26,11 @@ from pyspark.sql import functions as F
 
 from .common import staged, words
 
-CANDIDATE = r"[A-Za-z0-9+/_-]{16,}={0,2}"
-KEYWORDS = r"(?i)token|secret|passw|credential|api.?key|access.?key|private.?key|bearer|auth"
+CANDIDATE = r"[A-Za-z0-9+/_-]{8,}={0,2}"
+LONG = 16
+KEYWORDS = r"(?i)token|secret|passw|credential|api.?key|access.?key|private.?key|bearer|auth(?!ors?\b)"
+#: At the end of what stands before a candidate.
+ASSIGNED = r"(?:[=:]|\b(?:[Bb]earer|BEARER|[Bb]asic|BASIC)\s)\s*[\"'`(\[]*$"
 #: Openings of keys whose issuers publish them.
 ISSUED = r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}$|gh[opsur]_|github_pat_|glpat-|sk[-_]|xox[abops]-|AIza|eyJ)"
 FEATURES = ("length", "digit_share", "upper_share", "turns", "distinct_share", "hex", "dictionary", "path_share", "keyword", "assigned", "issued", "quoted", "prose")
@@ -41,12 +45,22 @@ def _count(s: Column, others: str) -> Column:
     return F.length(F.regexp_replace(s, others, ""))
 
 
+def _before(w: Column, at: Column, s: Column) -> Column:
+    """Three words and the opening of its own before candidate s in word number at of the words w."""
+    return F.concat_ws(" ", F.get(w, at - 3), F.get(w, at - 2), F.get(w, at - 1), F.split_part(F.get(w, at), s, F.lit(1)))
+
+
+def _is_candidate(w: Column, at: Column, s: Column) -> Column:
+    before = _before(w, at, s)
+    shape = s.rlike("[0-9]|[a-z][A-Z]") | F.get(w, at).rlike("[\"'`]") | before.rlike(r"=\s*$")
+    return (F.length(s) >= LONG) | shape & before.rlike(ASSIGNED) & before.rlike(KEYWORDS)
+
+
 def _features(w: Column, at: Column, s: Column, dictionary: list[str]) -> dict[str, Column]:
     """Of candidate s in word number at of the words w."""
     n = F.length(s)
     own = F.get(w, at)
-    head = F.split_part(own, s, F.lit(1))
-    before = F.concat_ws(" ", F.get(w, at - 3), F.get(w, at - 2), F.get(w, at - 1), head)
+    before = _before(w, at, s)
     turn = r"(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])|(?<=[a-z])(?=[A-Z])"
     near = F.concat_ws(" ", F.get(w, at - 1), F.get(w, at + 1))
     known = _ratio(n - F.length(F.regexp_replace(F.lower(s), "|".join(dictionary), "")), n) if dictionary else F.lit(0.0)
@@ -60,7 +74,7 @@ def _features(w: Column, at: Column, s: Column, dictionary: list[str]) -> dict[s
         "dictionary": known,
         "path_share": _ratio(_count(s, "[^/_-]+"), n),
         "keyword": before.rlike(KEYWORDS).cast("double"),
-        "assigned": before.rlike(r"[=:]\s*[\"'`(\[]*$").cast("double"),
+        "assigned": before.rlike(ASSIGNED).cast("double"),
         "issued": s.rlike(ISSUED).cast("double"),
         "quoted": own.rlike("[\"'`]").cast("double"),
         "prose": _ratio(_count(near, r"[^\p{Ll}]+"), F.length(near)),
@@ -71,10 +85,11 @@ def candidates(docs: DataFrame, dictionary: list[str], text: str = "text") -> Da
     """docs with found: array of (at, string, FEATURES), in order of place."""
     w = F.col("_w")
     df = docs.drop("found").withColumn("_w", words(F.col(text)))
-    long = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: (F.length(F.get(w, i)) >= 16) & F.get(w, i).rlike(CANDIDATE))
+    shape = lambda i: F.get(w, i).rlike("[=:\"'`0-9]|[a-z][A-Z]") | F.get(w, i - 1).rlike("=$")
+    long = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: (F.length(F.get(w, i)) >= LONG) | (F.length(F.get(w, i)) >= 8) & shape(i))
     df = df.withColumn("_at", F.when(F.size(w) > 0, long).otherwise(F.array().cast("array<int>")))
     strings = F.flatten(F.transform("_at", lambda i: F.transform(F.regexp_extract_all(F.get(w, i), F.lit(CANDIDATE), F.lit(0)), lambda s: F.struct(i.alias("at"), s.alias("string")))))
-    df = df.withColumn("_s", F.filter(strings, lambda c: c.string.rlike("[0-9]") | c.string.rlike(ISSUED)))
+    df = df.withColumn("_s", F.filter(strings, lambda c: _is_candidate(w, c.at, c.string)))
     found = F.transform("_s", lambda c: F.struct(c.at.alias("at"), c.string.alias("string"), *[v.alias(k) for k, v in _features(w, c.at, c.string, dictionary).items()]))
     return df.withColumn("found", found).drop("_w", "_at", "_s")
 
