@@ -155,11 +155,9 @@ def fit_forest(labelled: DataFrame, dictionary: list[str] = (), max_findings: in
     return Forest(tuple(_parse(t.toDebugString) for t in model.trees), tuple(dictionary))
 
 
-def frequent_words(docs: DataFrame, max_docs: int = 2_000, size: int = 300) -> list[str]:
-    """The classifier's dictionary: of at most max_docs texts, those with the smallest hashes of doc_id, the words of 4 to 12 lower-case letters in most texts."""
-    some = docs.select("doc_id", "text").where("text is not null")
-    ids = some.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
-    rows = some.join(F.broadcast(ids.distinct()), "doc_id").select(F.explode(F.array_distinct(words(F.lower("text"), "[a-z]{4,12}"))).alias("w"))
+def frequent_words(docs: DataFrame, size: int = 300) -> list[str]:
+    """The classifier's dictionary: the words of 4 to 12 lower-case letters that are in most texts, counted over all."""
+    rows = docs.where("text is not null").select(F.explode(F.array_distinct(words(F.lower("text"), "[a-z]{4,12}"))).alias("w"))
     return sorted(r["w"] for r in rows.groupBy("w").count().orderBy(F.desc("count"), "w").limit(size).collect())
 
 

@@ -65,3 +65,12 @@ def test_secrets_without_digits_of_schemes_and_short_ones(spark):
     assert all(len(rule[2000 + k]) == (k < len(more)) for k in range(len(more + prose)))
     out = {r.doc_id: r.secrets for r in S.scan(docs, S.train(docs)).collect()}
     assert all(len(out[2000 + k]) == (k < len(more)) for k in range(len(more + prose))), out
+
+
+def test_dictionary_counts_all_documents(spark):
+    docs = spark.range(6_000).selectExpr("if(id % 2 = 0, null, id) as doc_id", "concat(if(id % 3 = 0, 'fewer fewer fewer ', ''), if(id % 2 = 0, 'among nulls ', ''), 'every') as text")
+    docs = docs.union(spark.createDataFrame([(None, None)], "doc_id long, text string"))
+    assert S.frequent_words(docs, 3) == ["among", "every", "nulls"]
+    assert S.frequent_words(docs.where("doc_id is null"), 1) == ["among"]
+    late = docs.select("doc_id", "text").union(spark.createDataFrame([(k, "single") for k in range(10**6, 10**6 + 3)], "doc_id long, text string"))
+    assert "single" in S.frequent_words(late)
