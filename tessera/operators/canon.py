@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import count
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -124,12 +125,13 @@ def judge_requests(requests: DataFrame, judge: Callable[[str, str, list], str |
     return keyed.join(once.mapInPandas(run, "_key string, choice string"), "_key").drop("_key")
 
 
-def canonicalize_terms(terms: DataFrame, threshold: float = 0.7, k: int = 5, judge: Callable | None = None, term_type: str = "entity", max_rounds: int = 50) -> DataFrame:
+def canonicalize_terms(terms: DataFrame, threshold: float = 0.7, k: int = 5, judge: Callable | None = None, term_type: str = "entity", max_rounds: int | None = None) -> DataFrame:
     """(raw, canonical) of terms(term, n): greedy leaders in order of frequency, then name.
 
     A term joins a leader that comes before it and is accepted, else leads itself. It is decided once all
     accepted terms before it are, so terms that don't touch are decided in one round; the result is that of
-    the greedy scan. Without a judge the leader with an equal slug, else the nearest, is taken.
+    the greedy scan. Without a judge the leader with an equal slug, else the nearest, is taken. Rounds go on
+    until no term is left, as each decides one at least; with max_rounds, terms left after it are an error.
     """
     vec = sparse_embedding(terms)
     order = terms.select("term", F.struct((-F.col("n")).alias("n"), "term").alias("o"))
@@ -137,7 +139,7 @@ def canonicalize_terms(terms: DataFrame, threshold: float = 0.7, k: int = 5, jud
     pairs = pairs.join(order.select(F.col("term").alias("a"), F.col("o").alias("oa")), "a").join(order.select(F.col("term").alias("b"), F.col("o").alias("ob")), "b").where("ob < oa")
     pairs = staged(pairs.select("a", "b", F.round("score", 9).alias("score"), (slugify("a") == slugify("b")).alias("same"), "ob"), "accepted-pairs")
     done = staged(terms.select("term").join(pairs.select(F.col("a").alias("term")), "term", "left_anti").select("term", F.col("term").alias("leader")), "decided")
-    for _ in range(max_rounds):
+    for n in count():
         left = pairs.join(done.select(F.col("term").alias("a")), "a", "left_anti")
         seen = left.join(done.select(F.col("term").alias("b"), "leader"), "b", "left")
         # a leader is its own leader; a decided member is no candidate
@@ -150,6 +152,8 @@ def canonicalize_terms(terms: DataFrame, threshold: float = 0.7, k: int = 5, jud
         new = staged(new, "decided-now")
         if new.isEmpty():
             break
+        if n == max_rounds:
+            raise RuntimeError("canonicalize_terms did not settle")
         done = staged(done.union(new), "decided")
     return done.select(F.col("term").alias("raw"), F.col("leader").alias("canonical"))
 

@@ -2,28 +2,37 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.text import clean_wiki_markup, is_excluded_section, is_section_text
+from .stage import staged
 
 SNAK = "struct<mainsnak:struct<datatype:string,datavalue:struct<value:string>>>"
 
 
-def section_tree_flatten(sections: DataFrame, max_depth: int = 6) -> DataFrame:
+def section_tree_flatten(sections: DataFrame, max_depth: int | None = None) -> DataFrame:
     """(doc, id, path, depth, text) of sections(doc, id, parent, title, text); an excluded section drops its subtree.
 
-    path is 'parent > child'. One equi-join a level.
+    path is 'parent > child'. One equi-join a level, until a level is empty; with max_depth, deeper sections are
+    left out. A level deeper than a doc has sections is an error, as a section is below itself then.
     """
     level = sections.where(F.col("parent").isNull() & ~is_excluded_section("title")).select("doc", "id", F.col("title").alias("path"), F.lit(0).alias("depth"), "text")
-    out = level
+    out = level = staged(level, "section-level")
     kids = sections.where(F.col("parent").isNotNull() & ~is_excluded_section("title"))
-    for depth in range(1, max_depth + 1):
+    most = kids.groupBy("doc").count().agg(F.max("count")).first()[0] or 0
+    for depth in count(1):
+        if max_depth is not None and depth > max_depth or level.isEmpty():
+            return out
+        if depth > most + 1:
+            raise RuntimeError("section_tree_flatten: a section is below itself")
         up = level.select("doc", F.col("id").alias("parent"), F.col("path").alias("_up"))
         level = kids.join(up, ["doc", "parent"]).select("doc", "id", F.concat_ws(" > ", "_up", "title").alias("path"), F.lit(depth).alias("depth"), "text")
+        level = staged(level, "section-level")
         out = out.union(level)
-    return out
 
 
 def section_texts(sections: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import canon, evaluate, graph, vectors
@@ -105,6 +106,14 @@ def test_canonicalize(spark):
     assert never == {t: t for t in terms}
 
 
+def test_canonicalize_long_cluster(spark):
+    terms = spark.createDataFrame([(f"very long common name of a star{' x' * k}", 100 - k) for k in range(54)], "term string, n long")
+    loose = dict(judge=lambda kind, term, options: None)
+    assert {r.raw for r in canon.canonicalize_terms(terms, 0.1, **loose).collect()} == {r.term for r in terms.collect()}
+    with pytest.raises(RuntimeError):
+        canon.canonicalize_terms(terms, 0.1, max_rounds=2, **loose)
+
+
 def test_mapping_tools(spark):
     r = spark.createDataFrame([(1, ["a", "x", "a"]), (2, [])], "id int, l array<string>")
     m = spark.createDataFrame([("a", "A")], "raw string, canonical string")

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import chunk, html, parse
@@ -131,6 +132,17 @@ def test_sections_and_claims(spark):
     assert {r.code for r in claims.unknown_codes(df, labels).collect()} == {"P2", "P3", "P4", "P5", "P6", "P7", "Q6"}
 
 
+def test_deep_sections(spark):
+    rows = [("d", k, k - 1 if k else None, f"S{k}", "t") for k in range(10)]
+    s = spark.createDataFrame(rows, "doc string, id int, parent int, title string, text string")
+    assert {(r.id, r.depth) for r in claims.section_tree_flatten(s).collect()} == {(k, k) for k in range(10)}
+    assert claims.section_tree_flatten(s, 6).count() == 7
+    assert claims.section_tree_flatten(s.limit(0)).count() == 0
+    loop = s.union(spark.createDataFrame([("d", 0, 9, "S0", "t")], s.schema))
+    with pytest.raises(RuntimeError):
+        claims.section_tree_flatten(loop)
+
+
 def test_responses(spark):
     rel = {"is_relevant": True, "relations": [{"subject": "Mars", "predicate": "near", "object": "Jupiter", "confidence": 0.9, "attributes": {"a": "b"}}, {"subject": "Mars", "predicate": "near", "object": "5 km", "confidence": 1}, {"subject": "Mars"}]}
     att = {"is_relevant": True, "attributes": [{"attribute": "mass", "value": "5", "confidence": 0.9}, {"attribute": "x"}]}
