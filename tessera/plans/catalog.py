@@ -201,7 +201,9 @@ def url_filter_score_topk(spark, sf_dir):
 
 @query(_L + f", o AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY seq) AS k FROM l WHERE NOT {D.matches('lower(url)', any_of(fixed.BLOCKED_LINK_WORDS))}) SELECT query, url, seq FROM o WHERE k <= 5 AND NOT {D.matches('lower(snippet)', 'just a moment|to ensure we keep this website safe|cookies|enable javascript')}")
 def blocked_text_filter(spark, sf_dir):
-    return links.blocked_text_filter(link_rows(spark, sf_dir).withColumn("text", F.col("snippet"))).select("query", "url", "seq")
+    p = table(spark, sf_dir, "pages")
+    pages = p.select((F.col("page_id") % 20).alias("query"), "url", T.extract_all_text("html").alias("text"), F.col("page_id").alias("seq"))
+    return links.blocked_text_filter(pages).select("query", "url", "seq")
 
 
 @query(_L + """, s AS (SELECT query, CASE WHEN regexp_matches(url, '\\.edu|\\.gov|\\.org') THEN 0.3 WHEN contains(url, 'wikipedia') THEN 0.25 WHEN regexp_matches(url, '\\.com|\\.net') THEN 0.15 ELSE 0 END::double

@@ -63,3 +63,10 @@ def test_query_against_sql(spark, duck, name):
         assert show(got).equals(show(want))
     else:
         assert len(got) > 0
+
+
+def test_blocked_text_is_looked_for_in_whole_pages(spark, tmp_path):
+    body = "<p>" + "plain words " * 60
+    rows = [(1, "https://a.org/x", f"<html>{body}</p><div>We use Cookies</div></html>"), (2, "https://a.org/y", f"<html>{body}</html>"), (3, "https://a.org/z", "<script>var cookies = 1</script>" + body), (4, "https://a.org/w", None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"file://{tmp_path}/pages.parquet")
+    assert {r.seq for r in catalog.queries()["blocked_text_filter"](spark, f"file://{tmp_path}").collect()} == {2, 3, 4}
