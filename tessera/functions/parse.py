@@ -90,7 +90,7 @@ def facts_from_responses(responses: DataFrame, chunks: DataFrame, default: float
 
 
 def render_requests(chunks: DataFrame, tasks: DataFrame) -> DataFrame:
-    """(custom_id, prompt): each chunk with text by each of a few tasks(task, prefix, template with one %s)."""
+    """(custom_id, task, prompt): each chunk with text by each of tasks(task, prefix, template with one %s). Up to 1,000 tasks are broadcast."""
     some = chunks.where(F.coalesce(F.trim("text"), F.lit("")) != "")
-    both = some.join(F.broadcast(tasks.limit(1000)))  # tasks are a handful of templates
+    both = some.crossJoin(F.broadcast(tasks) if tasks.count() <= 1000 else tasks)
     return both.select(F.concat_ws("_", "prefix", F.lit("section"), F.col("block_id").cast("string")).alias("custom_id"), "task", F.replace("template", F.lit("%s"), F.col("text")).alias("prompt"))

@@ -43,17 +43,16 @@ def build_edges(triples: DataFrame, props: tuple[str, ...] = (), seq: str = "seq
     return dedupe_triples(triples, seq).select(F.col("subject").alias("src"), "predicate", F.col("object").alias("dst"), own.alias("props"))
 
 
-def flatten_attributes(payloads: DataFrame, max_depth: int = 8) -> DataFrame:
-    """payloads(entity, key, json) to (entity, key, value): nested objects become a_b keys, lists stay JSON text."""
-    empty = F.expr("map()").cast("map<string,string>")
-    level, out = payloads.select("entity", "key", F.col("json").alias("v")), None
-    for depth in range(max_depth + 1):
-        inner = F.when(F.ltrim("v").startswith("{"), F.from_json("v", "map<string,string>")) if depth < max_depth else F.lit(None).cast("map<string,string>")
-        inner = level.withColumn("_m", inner)
+def flatten_attributes(payloads: DataFrame) -> DataFrame:
+    """payloads(entity, key, json) to (entity, key, value): nested objects become a_b keys, lists stay JSON text. A level at a time, until no object is left."""
+    level, out = staged(payloads.select("entity", "key", F.col("json").alias("v")), "attributes-level"), None
+    while True:
+        inner = level.withColumn("_m", F.when(F.ltrim("v").startswith("{"), F.from_json("v", "map<string,string>")))
         leaf = inner.where("_m is null").select("entity", "key", F.col("v").alias("value"))
         out = leaf if out is None else out.union(leaf)
-        level = inner.select("entity", "key", F.explode(F.coalesce("_m", empty)).alias("_k", "_v")).select("entity", F.concat_ws("_", "key", "_k").alias("key"), F.col("_v").alias("v"))
-    return out
+        level = staged(inner.where("_m is not null").select("entity", "key", F.explode("_m").alias("_k", "_v")).select("entity", F.concat_ws("_", "key", "_k").alias("key"), F.col("_v").alias("v")), "attributes-level")
+        if level.isEmpty():
+            return out
 
 
 def link_attributes(attributes: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -170,14 +169,14 @@ def fold_edge(state: dict, dst: str, cs: float, ts: float, tolerance: float = 0.
 
 
 def resolve_conflicts(claims: DataFrame, existing: DataFrame | None = None, seq: str = "seq") -> DataFrame:
-    """Versioned edges of claims(src, predicate, dst, cs, ts, seq), folded in order of seq, over existing edges.
+    """Versioned edges of claims(src, predicate, dst, cs, ts, seq), folded in order of seq as its type orders it, over existing edges.
 
     Rows stream through each task in order of key and seq, after one shuffle; what is held is the state of
     one key, its distinct targets, whatever the number of claims.
     """
-    rows = claims.select("src", "predicate", "dst", F.coalesce("cs", F.lit(0.0)).alias("cs"), F.coalesce("ts", F.lit(0.0)).alias("ts"), F.lit(1).alias("_new"), F.col(seq).cast("string").alias("_seq"), *[F.lit(None).cast(t).alias(c) for c, t in (("status", "string"), ("is_contested", "boolean"), ("valid_from", "double"), ("valid_to", "double"))])
+    rows = claims.select("src", "predicate", "dst", F.coalesce("cs", F.lit(0.0)).alias("cs"), F.coalesce("ts", F.lit(0.0)).alias("ts"), F.lit(1).alias("_new"), F.col(seq).alias("_seq"), *[F.lit(None).cast(t).alias(c) for c, t in (("status", "string"), ("is_contested", "boolean"), ("valid_from", "double"), ("valid_to", "double"))])
     if existing is not None:
-        rows = rows.unionByName(existing.withColumns({"_new": F.lit(0), "_seq": F.lit("")}))
+        rows = rows.unionByName(existing.withColumns({"_new": F.lit(0), "_seq": F.lit(None).cast(claims.schema[seq].dataType)}))
 
     def run(frames):
         key, state, out = None, {}, []

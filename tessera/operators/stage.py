@@ -5,20 +5,25 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 _local: dict[str, str] = {}
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Cuts lineage; the folder is spark.checkpoint.dir, or a temporary one for local masters without it, or else the warehouse."""
-    spark = df.sparkSession
+def stage_root(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, or a temporary folder for local masters without it, or else one in the warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root and spark.sparkContext.master.startswith("local"):
         app = spark.sparkContext.applicationId
         if app not in _local:
             _local[app] = "file://" + tempfile.mkdtemp(prefix="spark-stage-")
         root = _local[app]
-    path = f"{root or spark.conf.get('spark.sql.warehouse.dir') + '/_staging'}/{label}-{uuid.uuid4().hex}"
+    return root or spark.conf.get("spark.sql.warehouse.dir") + "/_staging"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """df written to the shared folder and read again: cuts lineage."""
+    spark = df.sparkSession
+    path = f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

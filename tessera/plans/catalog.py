@@ -11,33 +11,14 @@ from ..functions.text import any_of
 from ..operators import canon, evaluate, graph, links, provenance, quality, vectors
 from ..sources import io
 from . import sql as D
-from .tables import LINKS, TRIPLES, derive, event_facts, plain, price_claims, table, triples
+from .registry import oracle_sql, queries, query  # noqa: F401
+from .tables import LINKS, TRIPLES, derive, event_facts, plain, table, triples
 from .tables import links as link_rows
 
-_QUERIES: dict = {}
-_SQL: dict[str, str] = {}
 _T = f"WITH t AS ({plain(TRIPLES)}) "
 _L = f"WITH l AS ({plain(LINKS, flag=', ' + D.q('g'))}) "
 
 
-def query(sql: str | None = None):
-    def add(f):
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def queries() -> dict:
-    return dict(_QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
-
-
 # --- triples: quality ----------------------------------------------------------------------------
 _SIG = ", ".join(f"lower({D.component(c)}) AS g{i}" for i, c in enumerate(quality.TERMS))
 _RANKED = f"r AS (SELECT *, {D.reason()} AS reason, {_SIG} FROM t), v AS (SELECT *, row_number() OVER (PARTITION BY g0, g1, g2 ORDER BY seq) AS k FROM r WHERE reason = 'valid')"
@@ -164,7 +145,7 @@ def section_quality(spark, sf_dir):
 @query(f"WITH p AS (SELECT doc_id, {D.meaningful('text')} AS good FROM documents), j AS (SELECT quality = 1 AS gold, good FROM labels JOIN p USING (doc_id)), c AS (SELECT count(*) FILTER (gold AND good) AS tp, count(*) FILTER (good AND NOT gold) AS fp, count(*) FILTER (gold AND NOT good) AS fn FROM j), r AS (SELECT *, tp::double / (tp + fp) AS precision, tp::double / (tp + fn) AS recall FROM c) SELECT tp, fp, fn, round(precision, 6) AS precision, round(recall, 6) AS recall, round(2 * precision * recall / (precision + recall), 6) AS f1 FROM r")
 def prf_quality_labels(spark, sf_dir):
     gold = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    pred = gold.select("doc_id").join(table(spark, sf_dir, "documents").where(T.is_meaningful("text")).select("doc_id"), "doc_id")
+    pred = table(spark, sf_dir, "documents").select("doc_id", "text").join(gold.select("doc_id"), "doc_id").where(T.is_meaningful("text")).select("doc_id")
     out = evaluate.exact_prf(gold.where("quality = 1"), pred, [], row="doc_id")
     return out.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
 
@@ -199,7 +180,10 @@ def url_filter_score_topk(spark, sf_dir):
     return best.select("query", "url", F.round("score", 6).alias("score"), "rank")
 
 
-@query(_L + f", o AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY seq) AS k FROM l WHERE NOT {D.matches('lower(url)', any_of(fixed.BLOCKED_LINK_WORDS))}) SELECT query, url, seq FROM o WHERE k <= 5 AND NOT {D.matches('lower(snippet)', 'just a moment|to ensure we keep this website safe|cookies|enable javascript')}")
+_STRIP = D.sub(D.sub(D.sub(D.sub("coalesce(html, '')", r"(?is)<script\b.*?</script\s*>", " "), r"(?is)<style\b.*?</style\s*>", " "), r"(?s)<!--.*?-->", " "), "<[^>]+>", " ")
+
+
+@query(f"WITH o AS (SELECT page_id % 20 AS query, url, html, page_id AS seq, row_number() OVER (PARTITION BY page_id % 20 ORDER BY page_id) AS k FROM pages WHERE NOT {D.matches('lower(url)', any_of(fixed.BLOCKED_LINK_WORDS))}) SELECT query, url, seq FROM o WHERE k <= 5 AND NOT {D.matches(f'lower({_STRIP})', 'just a moment|to ensure we keep this website safe|cookies|enable javascript')}")
 def blocked_text_filter(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
     pages = p.select((F.col("page_id") % 20).alias("query"), "url", T.extract_all_text("html").alias("text"), F.col("page_id").alias("seq"))
@@ -231,9 +215,6 @@ def html_main_text(spark, sf_dir):
     return chunk.join_meaningful_blocks(blocks).select("page_id", "pos", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"))
 
 
-_STRIP = D.sub(D.sub(D.sub(D.sub("coalesce(html, '')", r"(?is)<script\b.*?</script\s*>", " "), r"(?is)<style\b.*?</style\s*>", " "), r"(?s)<!--.*?-->", " "), "<[^>]+>", " ")
-
-
 @query(f"SELECT page_id, md5(trim({D.sub(_STRIP, chr(92) + 's+', ' ')}, ' ')) AS text_md5 FROM pages")
 def html_all_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.md5(T.extract_all_text("html")).alias("text_md5"))
@@ -351,24 +332,13 @@ def orphan_synthetic(spark, sf_dir):
 _ORDER = "concat(lpad(CAST(l_orderkey AS string), 10, '0'), lpad(CAST(l_linenumber AS string), 3, '0'), lpad(CAST(l_suppkey AS string), 10, '0'), CAST(l_quantity AS string), CAST(l_extendedprice AS string))"
 
 
-@query(f"WITH c AS (SELECT 'Part#' || p_partkey AS entity, 'size' AS attribute, CAST(p_size AS varchar) AS value FROM part WHERE p_partkey % 3 = 0), x AS (SELECT 'Part#' || l_partkey AS entity, unnest(['size', 'flag']) AS attribute, l_returnflag AS value, l_discount, {_ORDER} AS seq FROM lineitem), g AS (SELECT entity, attribute, arg_min(value, seq) AS value FROM x WHERE 1 - l_discount >= 0.9 GROUP BY 1, 2) SELECT entity, attribute, coalesce(c.value, g.value) AS value FROM c FULL JOIN g USING (entity, attribute)")
+@query(f"WITH c AS (SELECT 'Part#' || p_partkey AS entity, 'size' AS attribute, CAST(p_size AS varchar) AS value FROM part), x AS (SELECT 'Part#' || l_partkey AS entity, unnest(['size', 'flag']) AS attribute, l_returnflag AS value, l_discount, {_ORDER} AS seq FROM lineitem), g AS (SELECT entity, attribute, arg_min(value, seq) AS value FROM x WHERE 1 - l_discount >= 0.9 GROUP BY 1, 2) SELECT entity, attribute, coalesce(c.value, g.value) AS value FROM c FULL JOIN g USING (entity, attribute)")
 def merge_attributes(spark, sf_dir):
-    cat = table(spark, sf_dir, "part").where("p_partkey % 3 = 0").select(F.concat(F.lit("Part#"), F.col("p_partkey").cast("string")).alias("entity"), F.lit("size").alias("attribute"), F.col("p_size").cast("string").alias("value"), F.col("p_partkey").alias("seq"))
+    cat = table(spark, sf_dir, "part").select(F.concat(F.lit("Part#"), F.col("p_partkey").cast("string")).alias("entity"), F.lit("size").alias("attribute"), F.col("p_size").cast("string").alias("value"), F.col("p_partkey").alias("seq"))
     txt = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("Part#"), F.col("l_partkey").cast("string")).alias("entity"), F.explode(F.array(F.lit("size"), F.lit("flag"))).alias("attribute"), F.col("l_returnflag").alias("value"), (1 - F.col("l_discount")).alias("confidence"), F.expr(_ORDER).alias("seq"))
     return graph.merge_structured_attributes(cat, txt)
 
 
-@query()
-def numeric_conflict_fold(spark, sf_dir):
-    return graph.resolve_conflicts(price_claims(spark, sf_dir))
-
-
-@query()
-def current_contested_counts(spark, sf_dir):
-    e = graph.resolve_conflicts(price_claims(spark, sf_dir))
-    return e.groupBy("status", "is_contested").agg(F.count("*").alias("n"), F.count_distinct("src").alias("n_subjects"))
-
-
 _PLACES = "SELECT n_name AS src, 'locatedIn' AS predicate, r_name AS dst FROM {nation} JOIN {region} ON n_regionkey = r_regionkey UNION ALL SELECT c_name, 'home', n_name FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey"
 
 
@@ -392,3 +362,7 @@ def enrich_for_conflicts(spark, sf_dir):
     facts = d.select("doc_id", provenance.source_id("text").alias("source_id"), F.col("doc_id").cast("double").alias("timestamp"))
     out = provenance.enrich_for_conflicts(facts, docs, 5000.0)
     return out.select("doc_id", "source_id", "source_url", "source_authority", F.round("confidence_score", 6).alias("confidence_score"))
+
+
+# The other modules of queries register theirs when they are imported.
+from . import extraction, structured  # noqa: E402, F401

@@ -29,10 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def derive(spark: SparkSession, sf_dir: str, sql: str, **texts: str) -> DataFrame:
     """sql over the given tables, by the names in braces."""
-    used = {n: table(spark, sf_dir, n) for n in NAMES if "{" + n + "}" in sql}
     for k, v in texts.items():
         sql = sql.replace("{" + k + "}", v)
-    return spark.sql(sql, **used)
+    for n in NAMES:
+        if "{" + n + "}" in sql:
+            table(spark, sf_dir, n).createOrReplaceTempView(f"given_{n}")
+            sql = sql.replace("{" + n + "}", f"given_{n}")
+    return spark.sql(sql)
 
 
 def plain(sql: str, **texts: str) -> str:
@@ -64,5 +67,5 @@ def price_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = [F.lpad(F.col(c).cast("string"), 10, "0") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
     weight = F.element_at(F.array(*[F.lit(x) for x in (1.0, 0.9, 0.7, 0.5, 0.6)]), (F.col("l_suppkey") % 5 + 1).cast("int"))
     ts = F.unix_timestamp(F.col("l_shipdate").cast("timestamp"))
-    price = F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2).cast("string")
+    price = F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100).cast("string")  # cents, as two engines round halves differently
     return li.select(F.concat(F.lit("Part#"), F.col("l_partkey").cast("string")).alias("src"), F.lit("unitPrice").alias("predicate"), price.alias("dst"), weight.alias("cs"), ts.cast("double").alias("ts"), F.concat(F.lpad(ts.cast("string"), 12, "0"), *order).alias("seq"))

@@ -44,6 +44,14 @@ def test_fold_table_equals_scan(spark):
     assert graph.current_view(step).count() + graph.history_view(step).count() == step.count() and graph.contested_view(step).count() > 0
 
 
+def test_fold_orders_numbers_as_numbers(spark):
+    rows = [("a", "p", "x", 0.5, 1.0, 2), ("a", "p", "y", 0.9, 2.0, 10), ("a", "p", "z", 0.95, 3.0, 100)]
+    got = {r.dst: (r.status, r.valid_to) for r in graph.resolve_conflicts(spark.createDataFrame(rows, CLAIM)).collect()}
+    assert got == {"x": ("History", 2.0), "y": ("History", 3.0), "z": ("Current", None)}
+    half = [spark.createDataFrame(r, CLAIM) for r in (rows[:1], rows[1:])]
+    assert {r.dst: (r.status, r.valid_to) for r in graph.resolve_conflicts(half[1], graph.resolve_conflicts(half[0])).collect()} == got
+
+
 def test_edges_and_nodes(spark):
     t = spark.createDataFrame([("Messier7", "in", "Scorpius", 1, {"k": "v"}), ("Messier7", "in", "Scorpius", 2, None), ("Messier7", "type", "cluster", 3, None), ("X", "is", "X", 4, None), ("messier7", "in", "scorpius", 5, None)], "subject string, predicate string, object string, seq int, attributes map<string,string>")
     e = graph.build_edges(t, ("seq",))
@@ -63,6 +71,8 @@ def test_edges_and_nodes(spark):
 def test_flatten(spark):
     p = spark.createDataFrame([("e", "raw", '{"a": {"b": 1, "c": [1, 2]}, "d": "x"}'), ("e", "n", "5"), ("e", "bad", "{oops")], "entity string, key string, json string")
     assert {(r.key, r.value) for r in graph.flatten_attributes(p).collect()} == {("raw_a_b", "1"), ("raw_a_c", "[1,2]"), ("raw_d", "x"), ("n", "5"), ("bad", "{oops")}
+    deep = '{"k": ' * 12 + "1" + "}" * 12
+    assert [tuple(r) for r in graph.flatten_attributes(spark.createDataFrame([("e", "a", deep)], p.schema)).collect()] == [("e", "a" + "_k" * 12, "1")]
 
 
 def test_events(spark):
