@@ -35,12 +35,55 @@ def stage_root(spark: SparkSession) -> str:
     return _local_stage[app]
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """df written to the shared folder and read again: cuts lineage, survives lost executors."""
+def _stage(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """df written to the shared folder and read again: cuts lineage, survives lost executors. The table stays."""
+    return _stage(df, label)[0]
+
+
+class Staging:
+    """Tables staged for the length of a with block, or until they are dropped.
+
+    A table may go once all that is made from it is written.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._paths = spark, []
+
+    def __call__(self, df: DataFrame, label: str) -> DataFrame:
+        out, path = _stage(df, label)
+        self._paths.append((out, path))
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes the folders of these tables."""
+        gone = [x for x in self._paths if any(x[0] is t for t in tables)]
+        self._paths = [x for x in self._paths if not any(x[0] is t for t in tables)]
+        for _, path in gone:
+            where = self._spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(where, True)
+
+    def __enter__(self) -> "Staging":
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop(*[t for t, _ in self._paths])
+
+
+def text_keys(text: Column) -> tuple[Column, Column]:
+    """Two independent 64-bit hashes that stand for a text."""
+    return F.xxhash64(F.lit(1), text), F.xxhash64(F.lit(2), text)
+
+
+def broadcast_within(df: DataFrame, rows: int, limit: int = 1_000_000) -> DataFrame:
+    """df to be broadcast if it has at most limit rows; beyond that Spark shuffles."""
+    return F.broadcast(df) if rows <= limit else df
 
 
 def ascii_lower(text: Column) -> Column:
@@ -57,6 +100,13 @@ def words(text: Column, pattern: str = SPACE_WORD) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
 
 
+def sliced(batches, rows: int = 500):
+    """Arrow batches in slices of at most so many rows, so that few of their values are Python objects at once."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def chunks_of(values, limit: int):
     """(start, stop) of runs of values whose summed length is about limit; one long value is a run."""
     start = total = 0

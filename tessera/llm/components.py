@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import Staging, staged
 
 
 def _contract(batches):
@@ -45,16 +45,18 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a != b").distinct()
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, root) for the nodes of edges(a long, b long): root is the smallest node that is linked. Nulls and loops are left out."""
+def components(edges: DataFrame, keep: Staging | None = None, max_rounds: int = 60) -> DataFrame:
+    """(node, root) for the nodes of edges(a long, b long): root is the smallest node that is linked. Nulls and loops are left out. The result is a table of keep's, or one that stays."""
     edges = edges.select(F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b")).where("a != b")
-    edges = staged(edges.mapInArrow(_contract, "a long, b long").distinct(), "edges")
-    for _ in range(max_rounds):
-        # done when every node has one edge, to a node that has none to a smaller one
-        ends = edges.groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("b"))
-        if ends.where("n > 1").isEmpty() and edges.select("a").join(edges.select(F.col("b").alias("a")), "a", "left_semi").isEmpty():
-            break
-        edges = staged(_star(_star(edges, True), False), "edges")
-    else:
-        raise RuntimeError("components did not settle")
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    with Staging(edges.sparkSession) as stage:
+        edges = stage(edges.mapInArrow(_contract, "a long, b long").distinct(), "edges")
+        for _ in range(max_rounds):
+            # done when every node has one edge, to a node that has none to a smaller one
+            ends = edges.groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("b"))
+            if ends.where("n > 1").isEmpty() and edges.select("a").join(edges.select(F.col("b").alias("a")), "a", "left_semi").isEmpty():
+                break
+            before, edges = edges, stage(_star(_star(edges, True), False), "edges")
+            stage.drop(before)
+        else:
+            raise RuntimeError("components did not settle")
+        return (keep or staged)(edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()), "components")
