@@ -57,6 +57,37 @@ def test_long_texts_in_slices():
     assert found.tolist() == want
 
 
+def test_longest_previous_factors():
+    import numpy as np
+
+    rng = random.Random(8)
+    for n, width in ((1, 4), (60, 6), (300, 9)):
+        text = [bytes(rng.choice(b"abc") for _ in range(width)) for _ in range(n)]
+        rows = np.frombuffer(b"".join(text), dtype=np.uint8).reshape(n, width)
+        common = lambda a, b: next((i for i in range(width) if a[i] != b[i]), width)
+        want = [max((common(text[i], text[j]) for j in range(i)), default=0) for i in range(n)]
+        assert suffix_dedup.longest_previous_factors(rows, np.full(n, width)).tolist() == want
+        order = np.argsort([t for t in rows.view(f"S{width}").ravel()], kind="stable")
+        before, after = suffix_dedup.smaller_positions(order)
+        assert before.tolist() == [max((j for j in range(r) if order[j] < order[r]), default=-1) for r in range(n)]
+        assert after.tolist() == [min((j for j in range(r + 1, n) if order[j] < order[r]), default=n) for r in range(n)]
+
+
+def test_texts_of_one_or_no_doc_id_are_documents_of_their_own(spark):
+    a, b = words(60), words(60)
+    rows = [(7, a), (7, b), (7, a), (None, a + " x"), (None, b[:50] + a), (9, b + "!"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    hashes = {r[1] or "": h for r, h in zip(rows, [x.h for x in df.selectExpr("xxhash64(coalesce(text, '')) as h").collect()])}
+    docs = sorted({(-1 if d is None else d, hashes[t or ""], t or "") for d, t in rows})
+    seen, want = set(), {}
+    for d, _, t in docs:
+        raw = t.encode()
+        hit = {q for p in range(len(raw) - 99) if raw[p : p + 100] in seen or seen.add(raw[p : p + 100]) for q in range(p, p + 100)}
+        want[d, t] = len(hit)
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed) for r in remove_repeats(df.repartition(3)).collect())
+    assert got == sorted((-1 if d is None else d, len((t or "").encode()), want[-1 if d is None else d, t or ""]) for d, t in rows)
+
+
 def shingles(text, size):
     w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOW))
     k = min(size, len(w))
@@ -80,7 +111,7 @@ def brute_components(rows, size, percent):
 
 @pytest.mark.parametrize("most", [20_000, 8])
 def test_jaccard(spark, docs, no_docs, most):
-    got = sorted(tuple(r) for r in jaccard_components(docs, max_block=most).collect())
+    got = sorted(tuple(r) for r in jaccard_components(docs, max_block=most, max_group=most).collect())
     assert got == brute_components(ROWS, 4, 85)
     assert jaccard_components(no_docs).count() == 0
 
@@ -95,7 +126,7 @@ def test_jaccard_random_near_copies(spark, most):
         for _ in range(rng.randint(0, 4)):
             w[rng.randrange(len(w))] = f"new{rng.randint(0, 3)}"
         rows.append(row(i, " ".join(w)))
-    got = sorted(tuple(r) for r in jaccard_components(spark.createDataFrame(rows, DOCS).repartition(5), max_block=most, broadcast_rows=0).collect())
+    got = sorted(tuple(r) for r in jaccard_components(spark.createDataFrame(rows, DOCS).repartition(5), max_block=most, max_group=most, broadcast_rows=0).collect())
     assert got == brute_components(rows, 4, 85)
 
 
