@@ -5,8 +5,8 @@ row, so no text is shuffled; the learner counts candidate conditions with one gr
 
 Defined cases: a null or empty text has zero words and fails the base rules; null doc_ids keep their
 rows; repeated rows are judged each; labels that are null or without a document are not learned from;
-with no labels or only one class the list is empty and the base rules alone decide; of other columns
-only the caller's are kept, and clashing names are replaced.
+with no labels or only one class the list is empty and the base rules alone decide; other
+columns of the caller are kept, and clashing names are replaced.
 """
 
 from __future__ import annotations
@@ -29,35 +29,36 @@ def _kept_chars(text: Column, others: str) -> Column:
 
 def text_stats(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long) and FEATURES (double)."""
-    t, w, h = F.col("_t"), F.col("_w"), F.col("_h")
-    df = docs.drop("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *FEATURES).withColumn("_t", F.coalesce(F.col(text), F.lit("")))
-    df = df.withColumn("_w", words(t))
-    df = df.withColumn("_n", F.size(w)).withColumn("_h", F.transform(F.slice(w, 1, F.greatest(F.size(w) - 2, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2))))
+    t, w, h = F.col("__t"), F.col("__w"), F.col("__h")
+    caller = [c for c in docs.columns if c not in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *FEATURES)]
+    df = docs.drop("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *FEATURES).withColumn("__t", F.coalesce(F.col(text), F.lit("")))
+    df = df.withColumn("__w", words(t))
+    df = df.withColumn("__n", F.size(w)).withColumn("__h", F.transform(F.slice(w, 1, F.greatest(F.size(w) - 2, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2))))
     # Windows that occur again: equal neighbours after sorting; most texts have none and skip it.
-    df = df.withColumn("_s", F.when(F.size(F.array_distinct(h)) < F.size(h), F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))))
-    s = F.col("_s")
+    df = df.withColumn("__s", F.when(F.size(F.array_distinct(h)) < F.size(h), F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))))
+    s = F.col("__s")
     twice = F.zip_with(F.slice(s, 1, F.size(s) - 1), F.slice(s, 2, F.size(s) - 1), lambda a, b: F.when(a.h == b.h, F.array(a.i, b.i)).otherwise(F.array().cast("array<int>")))
-    df = df.withColumn("_p", F.array_sort(F.array_distinct(F.flatten(twice))))
-    p = F.col("_p")
+    df = df.withColumn("__p", F.array_sort(F.array_distinct(F.flatten(twice))))
+    p = F.col("__p")
     covered = F.aggregate(F.zip_with(p, F.slice(p, 2, F.size(p)), lambda a, b: F.coalesce(F.least(F.lit(3), b - a), F.lit(3))), F.lit(0), lambda a, x: a + x)
     df = df.withColumn("n_repeat_words", F.coalesce(F.when(F.size(p) > 0, covered), F.lit(0)).cast("long"))
-    df = df.withColumn("_lines", F.filter(F.split(t, "\n"), lambda x: x.rlike(SPACE_WORD)))
+    df = df.withColumn("__lines", F.filter(F.split(t, "\n"), lambda x: x.rlike(SPACE_WORD)))
     df = df.select(
-        *[c for c in df.columns if not c.startswith("_") and c != "n_repeat_words"],
-        F.col("_n").cast("long").alias("n_words"),
+        *[F.col(c) for c in caller],
+        F.col("__n").cast("long").alias("n_words"),
         _kept_chars(t, r"[\x20\x09-\x0D]+").cast("long").alias("word_chars"),
         _kept_chars(t, r"[^#*$%&|<>]+").cast("long").alias("n_symbols"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
-        F.size("_lines").alias("_n_lines"),
-        F.size(F.array_distinct(w)).alias("_n_distinct"),
-        _kept_chars(t, r"[^\p{Lu}]+").alias("_upper"),
-        _kept_chars(t, r"[^!?]+").alias("_marks"),
-        _kept_chars(t, r"[^0-9]+").alias("_digits"),
+        F.size("__lines").alias("__n_lines"),
+        F.size(F.array_distinct(w)).alias("__n_distinct"),
+        _kept_chars(t, r"[^\p{Lu}]+").alias("__upper"),
+        _kept_chars(t, r"[^!?]+").alias("__marks"),
+        _kept_chars(t, r"[^0-9]+").alias("__digits"),
     )
     share = lambda a, b: F.coalesce(F.try_divide(F.col(a).cast("double"), F.col(b).cast("double")), F.lit(0.0))
-    shares = {"mean_word": ("word_chars", "n_words"), "symbol_share": ("n_symbols", "word_chars"), "upper_share": ("_upper", "word_chars"), "mark_share": ("_marks", "word_chars"), "digit_share": ("_digits", "word_chars"), "dup_line_share": ("n_dup_lines", "_n_lines"), "repeat_share": ("n_repeat_words", "n_words"), "distinct_share": ("_n_distinct", "n_words")}
-    return df.withColumns({k: share(*v) for k, v in shares.items()}).drop("_n_lines", "_n_distinct", "_upper", "_marks", "_digits")
+    shares = {"mean_word": ("word_chars", "n_words"), "symbol_share": ("n_symbols", "word_chars"), "upper_share": ("__upper", "word_chars"), "mark_share": ("__marks", "word_chars"), "digit_share": ("__digits", "word_chars"), "dup_line_share": ("n_dup_lines", "__n_lines"), "repeat_share": ("n_repeat_words", "n_words"), "distinct_share": ("__n_distinct", "n_words")}
+    return df.withColumns({k: share(*v) for k, v in shares.items()}).drop("__n_lines", "__n_distinct", "__upper", "__marks", "__digits")
 
 
 @dataclass(frozen=True)
@@ -172,9 +173,11 @@ def learn_rules(labelled: DataFrame, bad: str = "bad", key: str = "doc_id", max_
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> DataFrame:
-    """Statistics and label of at most max_labelled labelled documents, those with the smallest hash of doc_id."""
+    """Statistics and label of labelled documents; of more than max_labelled about that many, those whose hashed doc_id falls below that share."""
     some = labels.where("quality is not null and doc_id is not null").select("doc_id", (F.col("quality") == 0).alias("bad"))
-    some = staged(some.orderBy(F.xxhash64("doc_id"), "doc_id", "bad").limit(max_labelled), "labelled-ids")
+    if (n := some.count()) > max_labelled:
+        some = some.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(max_labelled / n * (1 << 20)))
+    some = staged(some, "labelled-ids")
     return staged(text_stats(docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")), "labelled-stats")
 
 

@@ -35,6 +35,38 @@ def test_learns_and_keeps(spark):
     assert all(out[i] for i, _ in good) and not any(out[i] for i, _ in bad)
 
 
+def test_callers_columns_stay(spark):
+    rows = spark.createDataFrame([(1, "a b a b", "mine", "his", 7)], "doc_id long, text string, _w string, _lines string, n_words int")
+    got = text_stats(rows).first()
+    assert (got["_w"], got["_lines"], got["n_words"]) == ("mine", "his", 4)
+
+
+def test_first_condition_is_the_best_one(spark):
+    """The learner's first condition against all conditions tried one by one."""
+    import random
+
+    from tessera.llm import quality_rules as Q
+
+    rng = random.Random(3)
+    rows = [(i, *[float(rng.randint(0, 9)) for _ in Q.FEATURES]) for i in range(600)]
+    data = spark.createDataFrame([(*r, r[3] > 6 or rng.random() < 0.1) for r in rows], "doc_id long, " + ", ".join(f"{f} double" for f in Q.FEATURES) + ", bad boolean").cache()
+    first = Q.learn_rules(data, max_rules=1, max_conditions=1)[0].conditions[0]
+    grow = [(r, r.bad) for r in data.withColumn("_g", F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(3)) != 0).where("_g").collect()]
+    p, n = sum(b for _, b in grow), sum(not b for _, b in grow)
+
+    def gain(f, cut, above):
+        c = [b for r, b in grow if (r[f] > cut) == above]
+        return sum(c) * (Q._information(sum(c), len(c) - sum(c)) - Q._information(p, n)) if sum(c) >= 5 else 0
+
+    best = max(gain(f, float(cut), above) for f in Q.FEATURES for cut in range(10) for above in (True, False))
+    assert abs(gain(first.feature, first.threshold, first.above) - best) < 1e-9 and (first.feature, first.threshold, first.above) == (Q.FEATURES[2], 6.0, True)
+
+
+def test_large_label_tables_are_sampled_by_hash_share(spark, docs):
+    labels = docs.where("doc_id is not null").selectExpr("doc_id", "1 as quality")
+    assert labelled_sample(docs, labels, 10**6).count() >= labelled_sample(docs, labels, 5).count()
+
+
 def test_defined_cases(spark, docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert learn_rules(labelled_sample(docs, none)) == []
