@@ -1,12 +1,18 @@
 """An adaptive context-mixing range coder for blocks of token ids.
 
-Each block starts from an empty model. Orders 2 and 1 predict one id each, from tables of the block's
-past, with a confidence; the two confidences choose adaptive shares for "order 2 is right" and "order 1
-is right", which split the range with what is left for order 0. That holds adaptive counts of id
-buckets, and the place in the bucket is even.
+Three orders predict each id from the block's past:
 
-Blocks are coded side by side with numpy, a step for each id place, so the Python work is shared by as
-many blocks as there are. A block of ids below 65,536 comes back exactly.
+    order 2, order 1   counts of the last ids that followed the last two ids, or the last one, in a table of
+                       contexts: two ids a context; what its counts leave is an escape to order 0
+    order 0            all 32-bit ids: adaptive counts of runs of 256 ids, and one count for ids of over 16
+                       bits, which are even; in a run two sixteen-way choices with counts of their own
+
+The distributions are mixed: an id's probability is the weighted sum of what the orders give it, an order's
+escape included. The weights belong to a class of contexts (how much both have seen) and follow how well
+the orders predicted there: each goes towards its share in the probability of the id that came.
+
+Every block starts from an empty model and fresh weights, so each can be read alone. Blocks are coded side by
+side with numpy, a step for each id place, and a block's bytes don't depend on those beside it.
 """
 
 from __future__ import annotations
@@ -14,72 +20,215 @@ from __future__ import annotations
 import numpy as np
 
 U = np.uint64
-_SLOTS = 11  # bits of a table place
-_BUCKET = 10  # bits of an id within its bucket
-_BUCKETS = 64
-_SCALE = 12  # bits of order-0 shares
-_CLASS = 12  # bits of the shares of order 2, order 1 and order 0
-_INNER = _SCALE + _BUCKET  # bits of an id within order 0
-_STEP = U(_CLASS + _INNER)  # bits that one id takes of the range at most
+_SLOTS = 10  # bits of a table place
+_P, _W, _T = 15, 14, 16  # bits of probabilities, weights and the mixture's total
+_MOST = 60  # of a count
+_RECIP = [np.array([0] + [(1 << _P) // (t + d) for t in range(1, 2 * _MOST + 8)], dtype=np.int32) for d in (1, 2)]
+_CLASS = np.minimum(np.arange(2 * _MOST + 8) // 2, 3).astype(np.int64)
+_LEAST = 96  # of the mixture's total for order 0
+_EPS = 8  # of the order that has not the id which another one has
+_RUN, _RUNS = 8, 256  # bits of an id within its run, and runs; one more place is for longer ids
+_ZERO = 14  # bits of order 0's shares
+_REBUILD = 64  # steps after which these follow the counts
+_CONTEXTS = (256, 1024)  # of the two choices in a run: the run, and a hash of the run and the first choice
+_STEP, _HIGH = 12, 3600  # of their counts, and when such are halved
+_BELOW = np.triu(np.ones((16, 17), dtype=np.float32), 1)  # counts times it are sums of those before, and of all; exact, as they are small
 _B16, _B48 = U(16), U(48)
 _LOW = U((1 << 40) - 1)  # a range up to this is renewed
-_REBUILD = 128
+
+
+class _Order:
+    """Two ids with counts for each context of each lane, as id << 8 | count, side by side."""
+
+    def __init__(self, lanes: int, extra: int):
+        self.table, self.recip = np.zeros((lanes << _SLOTS, 2), dtype=np.int64), _RECIP[extra]
+
+    def look(self, at: np.ndarray) -> None:
+        self.at = at
+        both = self.table[at]
+        self.a, self.b = np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1])
+        self.ca, self.cb = (self.a & 255).astype(np.int32), (self.b & 255).astype(np.int32)
+        # an empty place has an id that is none
+        self.ia, self.ib = (self.a >> 8) - (self.a == 0), (self.b >> 8) - (self.b == 0)
+        self.total = self.ca + self.cb
+        each = self.recip[self.total]
+        self.pa, self.pb = self.ca * each, self.cb * each
+
+    def learn(self, x: np.ndarray, is_a: np.ndarray, is_b: np.ndarray) -> None:
+        a = np.where(is_a, self.a + 3, self.a - (self.ca >> 2))
+        b = np.where(is_b, self.b + 3, np.where(is_a, self.b, x << 8 | 3))
+        na, nb = a & 255, b & 255
+        swap = nb > na
+        a, b = np.where(swap, b, a), np.where(swap, a, b)
+        big = np.maximum(na, nb) > _MOST
+        if big.any():
+            a, b = np.where(big, a - ((a & 255) >> 1), a), np.where(big, b - ((b & 255) >> 1), b)
+        self.table[self.at, 0], self.table[self.at, 1] = a, b
 
 
 class _Model:
     def __init__(self, lanes: int):
         lane = np.arange(lanes, dtype=np.int64)
-        self.slots, self.shares, self.rows = lane << _SLOTS, lane << 4, lane * (_BUCKETS + 1)
-        self.two, self.one = np.zeros(lanes << _SLOTS, dtype=np.int32), np.zeros(lanes << _SLOTS, dtype=np.int32)
-        self.p2, self.p1 = np.full(lanes << 4, 4096, dtype=np.int64), np.full(lanes << 4, 4096, dtype=np.int64)
-        self.counts = np.full((lanes, _BUCKETS), 4, dtype=np.int64)
-        self.last, self.before = np.zeros(lanes, dtype=np.int64), np.zeros(lanes, dtype=np.int64)
+        self.slots, self.sets = lane << _SLOTS, lane << 4
+        self.two, self.one = _Order(lanes, 0), _Order(lanes, 1)
+        self.w2, self.w1 = np.full(lanes << 4, 1 << _W - 1, dtype=np.int64), np.full(lanes << 4, 5 << _W - 4, dtype=np.int64)
+        self.rows = lane * (_RUNS + 2)
+        self.counts = np.ones((lanes, _RUNS + 1), dtype=np.int64)
+        self.choices = [np.ones((lanes * c, 16), dtype=np.int16) for c in _CONTEXTS]
         self.rebuild()
+        self.last, self.before = np.zeros(lanes, dtype=np.int64), np.zeros(lanes, dtype=np.int64)
 
     def rebuild(self) -> None:
         total = np.cumsum(self.counts, axis=1)
-        spare = (1 << _SCALE) - _BUCKETS
-        self.cum = np.zeros((len(total), _BUCKETS + 1), dtype=np.int64)
-        self.cum[:, 1:] = total * spare // total[:, -1:] + np.arange(1, _BUCKETS + 1)
+        self.cum = np.zeros((len(total), _RUNS + 2), dtype=np.int64)
+        self.cum[:, 1:] = total * ((1 << _ZERO) - _RUNS - 1) // total[:, -1:] + np.arange(1, _RUNS + 2)
         self.flat = self.cum.reshape(-1)
-        self.eighths = np.ascontiguousarray(self.cum[:, 8:_BUCKETS:8])
-        self.inner = np.ascontiguousarray(self.cum[:, :_BUCKETS].reshape(-1, 8, 8)[:, :, 1:])
+        self.outer = np.ascontiguousarray(self.cum[:, 16:_RUNS:16])
+        self.inner = np.ascontiguousarray(self.cum[:, :_RUNS].reshape(-1, 16, 16)[:, :, 1:])
 
-    def bucket(self, k: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """The bucket that holds place y, of lanes k: first its eighth of the table."""
-        part = (self.eighths[k] <= y[:, None]).sum(axis=1)
-        return part * 8 + (self.inner[k, part] <= y[:, None]).sum(axis=1)
+    def run_of(self, k: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The run of lanes k that holds place y: first its sixteenth of the table."""
+        part = (self.outer[k] <= y[:, None]).sum(axis=1)
+        run = part * 16 + (self.inner[k, part] <= y[:, None]).sum(axis=1)
+        return np.where(y >= self.cum[k, _RUNS], _RUNS, run)
 
     def predict(self, m: int) -> None:
-        """Sets the ids c2 and c1 and the shares a (order 2 right), b (order 1 right) and c (neither), of 2**_CLASS."""
-        last = self.last[:m]
-        mask = (1 << _SLOTS) - 1
-        self.i2 = self.slots[:m] + ((last * 40503 + self.before[:m] * 10007 >> 2) & mask)
-        self.i1 = self.slots[:m] + (last & mask)
-        self.e2, self.e1 = self.two[self.i2], self.one[self.i1]
-        self.q = self.shares[:m] + ((self.e2 & 3) << 2 | (self.e1 & 3))
-        self.s2, self.s1 = self.p2[self.q], self.p1[self.q]
-        self.a = self.s2 >> 4
-        left = (1 << _CLASS) - self.a
-        self.b = np.maximum(left * self.s1 >> 16, 1)
-        self.c = left - self.b
-        self.c2, self.c1 = self.e2 >> 2, self.e1 >> 2
-
-    def update(self, m: int, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, missed: np.ndarray) -> None:
-        """ids coded at this step; missed: lanes that order 0 coded."""
-        ids32 = ids.astype(np.int32)
-        self.p2[self.q] = self.s2 + ((np.where(hit2, 65000, 300) - self.s2) >> 4)
-        self.p1[self.q] = np.where(hit2, self.s1, self.s1 + ((np.where(hit1, 65000, 300) - self.s1) >> 4))
-        new = ids32 << 2
-        for table, i, e, right in ((self.two, self.i2, self.e2, hit2), (self.one, self.i1, self.e1, self.c1 == ids32)):
-            sure = e & 3
-            table[i] = np.where(right, e + (sure < 3), np.where(sure > 0, e - 1, new))
-        self.counts[missed, ids[missed] >> _BUCKET] += 24
-        self.before[:m], self.last[:m] = self.last[:m], ids
+        """Sets shares of the mixture's total for the four ids: fa and fb of order 2, ga and gb of order 1 (none if order 2 has the id, too)."""
+        last, mask = self.last[:m], (1 << _SLOTS) - 1
+        mixed = (last * 40503 + self.before[:m] * 2654435) & 0xFFFFFFFF
+        two, one = self.two, self.one
+        two.look(self.slots[:m] + ((mixed ^ mixed >> 13) & mask))
+        one.look(self.slots[:m] + ((last ^ last >> 11) & mask))
+        self.q = self.sets[:m] + (_CLASS[two.total] << 2) + _CLASS[one.total]
+        self.v2, self.v1 = self.w2[self.q], self.w1[self.q]
+        shift = _P + _W - _T
+        fa, fb, ga, gb = (self.v2 * two.pa) >> shift, (self.v2 * two.pb) >> shift, (self.v1 * one.pa) >> shift, (self.v1 * one.pb) >> shift
+        self.aa, self.ab, self.ba, self.bb = one.ia == two.ia, one.ia == two.ib, one.ib == two.ia, one.ib == two.ib
+        fa, fb = fa + ga * self.aa + gb * self.ba, fb + ga * self.ab + gb * self.bb
+        ga, gb = ga * ~(self.aa | self.ab), gb * ~(self.ba | self.bb)
+        self.e1, self.e2, self.e3 = fa, fa + fb, fa + fb + ga
+        self.known = self.e3 + gb
+        over = self.known > (1 << _T) - _LEAST
+        if over.any():
+            for name in ("e1", "e2", "e3", "known"):
+                v = getattr(self, name)
+                setattr(self, name, np.where(over, v - (v >> 8), v))
+
+    def learn(self, m: int, x: np.ndarray, missed: np.ndarray) -> None:
+        two, one = self.two, self.one
+        a2, b2, a1, b1 = two.ia == x, two.ib == x, one.ia == x, one.ib == x
+        l2 = np.where(a2, two.pa, np.where(b2, two.pb, np.where(missed, (1 << _P) - two.pa - two.pb, _EPS)))
+        l1 = np.where(a1, one.pa, np.where(b1, one.pb, np.where(missed, (1 << _P) - one.pa - one.pb, _EPS)))
+        h2, h1 = self.v2 * l2 >> _P, self.v1 * l1 >> _P
+        h0 = np.where(missed, (1 << _W) - self.v2 - self.v1, 0)
+        scale = (1 << 28) // np.maximum(h2 + h1 + h0, 1)
+        least, half = 1 << _W - 7, 63 << _W - 7
+        self.w2[self.q] = np.clip(self.v2 + ((h2 * scale >> 14) - self.v2 >> 4), least, half)
+        self.w1[self.q] = np.clip(self.v1 + ((h1 * scale >> 14) - self.v1 >> 4), least, half)
+        two.learn(x, a2, b2)
+        one.learn(x, a1, b1)
+        self.before[:m], self.last[:m] = self.last[:m], x
+
+
+class _Coder:
+    """Ranges of lanes; a step narrows those of lanes k to a part of size of total, from start."""
+
+    def __init__(self, lanes: int):
+        self.low, self.wide = np.zeros(lanes, dtype=U), np.full(lanes, 1 << 56, dtype=U)
+
+    def narrow(self, k, part: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        self.low[k] += part * start.astype(U)
+        w = part * size.astype(U)
+        self.wide[k] = w
+        small = np.flatnonzero(w <= _LOW)
+        if len(small):
+            self.renew(small if isinstance(k, slice) else k[small])
+
+    def renew(self, k: np.ndarray) -> None:
+        """Lanes k whose range is small move on by 16 bits; a range over a carry is cut at it first."""
+        while len(k):
+            lo, w = self.low[k], self.wide[k]
+            over = (lo ^ (lo + w)) >> _B48 != 0
+            w = np.where(over, (~lo + U(1)) & _LOW, w)
+            self.move(k, lo)
+            self.low[k], self.wide[k] = lo << _B16, w << _B16
+            k = k[w << _B16 <= _LOW]
+
+
+class _Writer(_Coder):
+    def __init__(self, lanes: int, room: int):
+        super().__init__(lanes)
+        self.out, self.at = np.zeros((lanes, room), dtype="<u2"), np.zeros(lanes, dtype=np.int64)
+
+    def move(self, k, lo) -> None:
+        self.out[k, self.at[k]] = lo >> _B48
+        self.at[k] += 1
+
+
+class _Reader(_Coder):
+    def __init__(self, payloads: list[bytes]):
+        super().__init__(len(payloads))
+        self.words = np.zeros((len(payloads), max(len(p) for p in payloads) // 2 + 8), dtype="<u2")
+        for k, p in enumerate(payloads):
+            self.words[k, : len(p) // 2] = np.frombuffer(p, dtype="<u2")
+        self.code, self.at = np.zeros(len(payloads), dtype=U), np.full(len(payloads), 4)
+        for k in range(4):
+            self.code = self.code << _B16 | self.words[:, k].astype(U)
+
+    def move(self, k, lo) -> None:
+        self.code[k] = self.code[k] << _B16 | self.words[k, self.at[k]].astype(U)
+        self.at[k] += 1
+
+
+def _order0(model: _Model, coder: _Coder, k: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
+    """Writes ids of lanes k by order 0, or reads them."""
+    part = coder.wide[k] >> U(_ZERO)
+    run = np.minimum(ids >> _RUN, _RUNS) if ids is not None else model.run_of(k, np.minimum((coder.code[k] - coder.low[k]) // part, U((1 << _ZERO) - 1)).astype(np.int64))
+    row = model.rows[k] + run
+    first = model.flat[row]
+    coder.narrow(k, part, first, model.flat[row + 1] - first)
+    model.counts[k, run] += 20
+    short, long = np.flatnonzero(run < _RUNS), np.flatnonzero(run == _RUNS)
+    out = run << _RUN
+    if len(short):
+        r, own = run[short], None if ids is None else ids[short]
+        high = _choice(model.choices[0], k[short] * _CONTEXTS[0] + r, coder, k[short], None if own is None else own >> 4 & 15)
+        low = _choice(model.choices[1], k[short] * _CONTEXTS[1] + ((r << 4 | high) * 613 & _CONTEXTS[1] - 1), coder, k[short], None if own is None else own & 15)
+        out[short] |= high << 4 | low
+    if len(long):  # 32 bits instead
+        high = _even(coder, k[long], 16, None if ids is None else ids[long] >> 16)
+        out[long] = high << 16 | _even(coder, k[long], 16, None if ids is None else ids[long])
+    return out
+
+
+def _choice(table: np.ndarray, row: np.ndarray, coder: _Coder, k: np.ndarray, pick: np.ndarray | None) -> np.ndarray:
+    """One of sixteen by table's counts at row for lanes k: pick is written, or read if it is None."""
+    below = table[row].astype(np.float32) @ _BELOW
+    total = below[:, 16].astype(U)
+    part = coder.wide[k] // total
+    if pick is None:
+        y = np.minimum((coder.code[k] - coder.low[k]) // part, total - U(1)).astype(np.float32)
+        pick = (below[:, 1:] <= y[:, None]).sum(axis=1)
+    size = table[row, pick]
+    coder.narrow(k, part, below[np.arange(len(row)), pick], size)
+    table[row, pick] = size + _STEP
+    full = total > _HIGH
+    if full.any():
+        r = row[full]
+        table[r] = (table[r] >> 1) + 1
+    return pick
+
+
+def _even(coder: _Coder, k: np.ndarray, bits: int, ids: np.ndarray | None) -> np.ndarray:
+    """The low bits of ids of lanes k, all alike."""
+    part, mask = coder.wide[k] >> U(bits), (1 << bits) - 1
+    x = ids & mask if ids is not None else np.minimum((coder.code[k] - coder.low[k]) // part, U(mask)).astype(np.int64)
+    coder.narrow(k, part, x, np.ones(len(k), dtype=np.int64))
+    return x
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """A payload for each block; blocks must not get longer."""
+    """A payload for each block of ids below 2**32; blocks must not get longer."""
     lanes, sizes = len(blocks), np.array([len(b) for b in blocks])
     if not lanes or not sizes[0]:
         return [b""] * lanes
@@ -87,45 +236,29 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     for k, b in enumerate(blocks):
         ids[: len(b), k] = b
     model = _Model(lanes)
-    low, wide = np.zeros(lanes, dtype=U), np.full(lanes, 1 << 56, dtype=U)
-    out, at = np.zeros((lanes, int(sizes[0]) * 3 + 16), dtype="<u2"), np.zeros(lanes, dtype=np.int64)
-
-    def renew(k: np.ndarray) -> None:
-        """Lanes k whose range is small give 16 bits; a range over a carry is cut at it first."""
-        while len(k):
-            lo, w = low[k], wide[k]
-            over = (lo ^ (lo + w)) >> _B48 != 0
-            w = np.where(over, (~lo + U(1)) & _LOW, w)
-            out[k, at[k]] = lo >> _B48
-            at[k] += 1
-            low[k], wide[k] = lo << _B16, w << _B16
-            k = k[w << _B16 <= _LOW]
-
+    coder = _Writer(lanes, int(sizes[0]) * (6 if ids.max() >> 16 else 3) + 16)
     active = np.searchsorted(-sizes, -np.arange(len(ids)), side="left")
     for t, m in enumerate(active.tolist()):
         if t % _REBUILD == 0 and t:
             model.rebuild()
         now = ids[t, :m]
         model.predict(m)
-        hit2 = model.c2 == now
-        hit1 = (model.c1 == now) & ~hit2
-        missed = ~(hit2 | hit1)
-        a, b, c = model.a, model.b, model.c
-        row = model.rows[:m] + (now >> _BUCKET)
-        first = model.flat[row]
-        share = model.flat[row + 1] - first
-        start = np.where(missed, (a + b << _INNER) + ((first << _BUCKET) + (now & ((1 << _BUCKET) - 1)) * share) * c, np.where(hit2, 0, a << _INNER))
-        size = np.where(missed, share * c, np.where(hit2, a, b) << _INNER)
-        part = wide[:m] >> _STEP
-        low[:m] += part * start.astype(U)
-        wide[:m] = part * size.astype(U)
-        renew(np.flatnonzero(wide[:m] <= _LOW))
-        model.update(m, now, hit2, hit1, np.flatnonzero(missed))
+        two, one = model.two, model.one
+        in_a, in_b, in_c, in_d = two.ia == now, two.ib == now, one.ia == now, one.ib == now
+        start = np.where(in_a, 0, np.where(in_b, model.e1, np.where(in_c, model.e2, np.where(in_d, model.e3, model.known))))
+        stop = np.where(in_a, model.e1, np.where(in_b, model.e2, np.where(in_c, model.e3, np.where(in_d, model.known, 1 << _T))))
+        missed = ~(in_a | in_b | in_c | in_d) | (start == stop)
+        start, stop = np.where(missed, model.known, start), np.where(missed, 1 << _T, stop)
+        coder.narrow(slice(0, m), coder.wide[:m] >> U(_T), start, stop - start)
+        k = np.flatnonzero(missed)
+        if len(k):
+            _order0(model, coder, k, now[k])
+        model.learn(m, now, missed)
     for _ in range(4):
-        out[np.arange(lanes), at] = low >> _B48
-        at += 1
-        low <<= _B16
-    return [out[k, : at[k]].tobytes() for k in range(lanes)]
+        coder.out[np.arange(lanes), coder.at] = coder.low >> _B48
+        coder.at += 1
+        coder.low <<= _B16
+    return [coder.out[k, : coder.at[k]].tobytes() for k in range(lanes)]
 
 
 def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
@@ -133,54 +266,25 @@ def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     lanes, sizes = len(payloads), np.asarray(sizes)
     if not lanes or not sizes[0]:
         return [np.zeros(0, dtype=np.int64)] * lanes
-    words = np.zeros((lanes, max(len(p) for p in payloads) // 2 + 8), dtype=U)
-    for k, p in enumerate(payloads):
-        words[k, : len(p) // 2] = np.frombuffer(p, dtype="<u2")
-    model = _Model(lanes)
-    low, wide, code, at = np.zeros(lanes, dtype=U), np.full(lanes, 1 << 56, dtype=U), np.zeros(lanes, dtype=U), np.full(lanes, 4)
-    for k in range(4):
-        code = code << _B16 | words[:, k]
+    model, coder = _Model(lanes), _Reader(payloads)
     ids = np.zeros((int(sizes[0]), lanes), dtype=np.int64)
-
-    def renew(k: np.ndarray) -> None:
-        while len(k):
-            lo, w = low[k], wide[k]
-            over = (lo ^ (lo + w)) >> _B48 != 0
-            w = np.where(over, (~lo + U(1)) & _LOW, w)
-            code[k] = code[k] << _B16 | words[k, at[k]]
-            at[k] += 1
-            low[k], wide[k] = lo << _B16, w << _B16
-            k = k[w << _B16 <= _LOW]
-
     active = np.searchsorted(-sizes, -np.arange(len(ids)), side="left")
     for t, m in enumerate(active.tolist()):
         if t % _REBUILD == 0 and t:
             model.rebuild()
         model.predict(m)
-        a, b, c = model.a, model.b, model.c
-        part = wide[:m] >> _STEP
-        x = np.minimum((code[:m] - low[:m]) // part, U((1 << int(_STEP)) - 1)).astype(np.int64)
-        of = x >> _INNER
-        hit2 = of < a
-        missed = of >= a + b
-        hit1 = ~(hit2 | missed)
-        now = np.where(hit2, model.c2, model.c1).astype(np.int64)
-        start, size = np.where(hit2, 0, a << _INNER), np.where(hit2, a, b) << _INNER
+        two, one = model.two, model.one
+        part = coder.wide[:m] >> U(_T)
+        y = np.minimum((coder.code[:m] - coder.low[:m]) // part, U((1 << _T) - 1)).astype(np.int64)
+        missed = y >= model.known
+        a, b, c = y < model.e1, y < model.e2, y < model.e3
+        now = np.where(a, two.ia, np.where(b, two.ib, np.where(c, one.ia, one.ib)))
+        start = np.where(missed, model.known, np.where(a, 0, np.where(b, model.e1, np.where(c, model.e2, model.e3))))
+        stop = np.where(missed, 1 << _T, np.where(a, model.e1, np.where(b, model.e2, np.where(c, model.e3, model.known))))
+        coder.narrow(slice(0, m), part, start, stop - start)
         k = np.flatnonzero(missed)
         if len(k):
-            ck, above = c[k], (a + b)[k] << _INNER
-            y = (x[k] - above) // ck
-            bucket = model.bucket(k, y >> _BUCKET)
-            row = model.rows[k] + bucket
-            first = model.flat[row]
-            share = model.flat[row + 1] - first
-            place = (y - (first << _BUCKET)) // share
-            start[k] = above + ((first << _BUCKET) + place * share) * ck
-            size[k] = share * ck
-            now[k] = bucket << _BUCKET | place
-        low[:m] += part * start.astype(U)
-        wide[:m] = part * size.astype(U)
-        renew(np.flatnonzero(wide[:m] <= _LOW))
-        model.update(m, now, hit2, hit1, k)
+            now[k] = _order0(model, coder, k, None)
+        model.learn(m, now, missed)
         ids[t, :m] = now
     return [ids[: sizes[k], k] for k in range(lanes)]

@@ -1,6 +1,6 @@
 """Token ids in binary blocks, written in doc_id order and read back.
 
-Documents are range-partitioned by doc_id; each partition cuts its ids into blocks of ``block`` ids, which
+Documents are range-partitioned by doc_id, then by a hash of the text; each partition cuts its ids into blocks of ``block`` ids, which
 the context-mixing range coder codes on their own, from an empty model. A block is a row of a Parquet
 table: Spark commits its files, and a lost task writes them again. Its columns are
 
@@ -14,7 +14,8 @@ Reading checks each block's crc32. A document over several blocks is put togethe
 and lengths, without its ids in one place.
 
 Defined cases: null texts are empty and have the end id alone; null doc_ids come first; rows with the same
-doc_id come one after the other and are documents of their own; other columns are not read.
+doc_id come one after the other in order of their text's hash and of the text, and are documents of their
+own; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,12 +28,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import chunks_of, stage_root
+from .common import chunks_of, sliced, stage_root
 from .range_coder import decode_blocks, encode_blocks
 from .tokens import END_ID, encoder, tokenizer_path
 
 BLOCK = 2048
-_LANES = 2048
+_LANES = 1024  # blocks coded side by side; bounds a task's memory, not the results
+_WORDS = 250_000  # of the table of words, held beside the coder's
 _SCHEMA = "part int, block long, first long, n_ids int, crc32 long, rows array<long>, docs array<long>, lengths array<int>, payload binary"
 _POLY = 0xEDB88320
 
@@ -65,7 +67,7 @@ def _to_blocks(path: str, block: int):
     def run(batches):
         from pyspark import TaskContext
 
-        part, enc = TaskContext.get().partitionId(), encoder(path)
+        part, enc = TaskContext.get().partitionId(), encoder(path, _WORDS)
         held, size, number, first, row = [], 0, 0, 0, 0  # held: (row, doc, ids as bytes)
         ready: list[tuple] = []
 
@@ -83,9 +85,9 @@ def _to_blocks(path: str, block: int):
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in ready], t) for k, t in enumerate(types)] + [pa.array(coded, pa.binary())], names=[x.split()[0] for x in _SCHEMA.split(", ")])
                 ready = []
 
-        for batch in batches:
+        for batch in sliced(batches):
             docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in chunks_of(texts, 2_000_000):
+            for a, b in chunks_of(texts, 1_000_000):
                 for doc, ids in zip(docs[a:b], enc.encode(texts[a:b])):
                     ids, at = ids + end, 0
                     while at < len(ids):
@@ -106,7 +108,8 @@ def _to_blocks(path: str, block: int):
 
 def write_token_blocks(docs: DataFrame, where: str, path: str | None = None, block: int = BLOCK) -> None:
     """docs(doc_id, text) to a table of blocks in folder where."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_h"))
+    rows = rows.repartitionByRange("doc_id", "_h").sortWithinPartitions("doc_id", "_h", "text").select("doc_id", "text")
     rows.mapInArrow(_to_blocks(path or tokenizer_path(), block), _SCHEMA).write.option("compression", "uncompressed").parquet(where)
 
 

@@ -11,7 +11,7 @@ from .conftest import ROWS
 
 from tessera.llm.packing import best_fit_packing, plan_patterns
 from tessera.llm.range_coder import decode_blocks, encode_blocks
-from tessera.llm.token_counts import MARK, CountTrie, token_counts
+from tessera.llm.token_counts import MARK, CountTrie, best_pieces, fit_scores, token_counts
 from tessera.llm.token_output import crc32_joined, read_token_blocks, write_token_blocks
 from tessera.llm.tokens import WordEncoder, tokenizer_path
 
@@ -60,7 +60,7 @@ def test_plan(seed):
 
 
 @settings(max_examples=25, deadline=None)
-@given(st.lists(st.lists(st.one_of(st.integers(0, 65535), st.integers(0, 5)), max_size=300), min_size=1, max_size=6))
+@given(st.lists(st.lists(st.one_of(st.integers(0, 65535), st.integers(0, 5), st.integers(0, (1 << 32) - 1)), max_size=300), min_size=1, max_size=6))
 def test_coder_round_trip(blocks):
     blocks = sorted((np.array(b, dtype=np.int64) for b in blocks), key=len, reverse=True)
     back = decode_blocks(encode_blocks(blocks), [len(b) for b in blocks])
@@ -69,7 +69,27 @@ def test_coder_round_trip(blocks):
 
 def test_coder_gains_on_repeats():
     block = np.tile(np.arange(100, 160), 60)
-    assert len(encode_blocks([block])[0]) < len(block) // 2
+    assert len(encode_blocks([block])[0]) < len(block) // 4
+
+
+def test_coder_is_smaller_than_zlib_on_ids_of_texts():
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.001/documents.parquet", columns=["text"]).column("text").to_pylist()
+    data = np.concatenate([ids(t) for t in texts]).astype(np.int64)
+    blocks = [data[i : i + 2048] for i in range(0, len(data), 2048)]
+    coded = encode_blocks(blocks)
+    assert sum(map(len, coded)) < 0.9 * sum(len(zlib.compress(b.astype("<u2").tobytes(), 9)) for b in blocks)
+    assert encode_blocks(blocks[3:5])[0] == coded[3]  # a block's bytes are its own
+
+
+def test_ties_of_doc_id_have_an_order(spark, tmp_path):
+    rows = [(1, "b b"), (None, "c"), (1, "a"), (None, "d e f"), (1, "b b"), (2, None)]
+    found = []
+    for k in (1, 4):
+        write_token_blocks(spark.createDataFrame(rows, "doc_id long, text string").repartition(k), f"file://{tmp_path}/{k}")
+        found.append(sorted(map(str, read_token_blocks(spark, f"file://{tmp_path}/{k}").collect())))
+    assert found[0] == found[1] and len(found[0]) == 6
 
 
 @given(st.binary(max_size=50), st.binary(max_size=50))
@@ -122,7 +142,36 @@ def test_trie_counts_small_tables():
         assert trie.counts([t]) == [(len(ws), sum(best_cut(MARK + w, pieces) for w in ws))]
 
 
-def test_token_counts(docs, no_docs):
-    got = token_counts(docs).collect()
-    assert len(got) == len(ROWS) and all((r.n_tokens > 0) == (r.n_words > 0) for r in got)
+def test_long_words_need_no_trie():
+    pieces = {"a": -1.0, "ab": -1.5, "b": -1.0, MARK: -1.0, "bab": -2.0}
+    rng = random.Random(4)
+    for n in (1, 5, 300):
+        word = "".join(rng.choice("abc") for _ in range(n))
+        assert CountTrie(pieces, longest_word=2).counts([word]) == [(1, best_cut(MARK + word, pieces))]
+    trie = CountTrie(pieces)
+    assert trie.counts(["ab" * 300_000])[0][0] == 1 and len(trie.score) < 10
+
+
+def test_token_counts(spark, docs, no_docs):
+    """Against best cuts by scores fitted here in the same way."""
+    import math
+
+    pieces = {p: -2.0 - k / 10 for k, p in enumerate([MARK, MARK + "a", "lpha", "a", "b", "eta", "ta", "e", "m", "mu", "nu", "n", "u", "x", "i", "xi", "pi", "p", "z", "zz"])}
+    want = dict(pieces)
+    counts = {}
+    for r in ROWS:
+        for w in (r[1] or "").encode().split():
+            counts[w.decode()] = counts.get(w.decode(), 0) + 1
+    for _ in range(2):
+        seen = {}
+        for w, n in counts.items():
+            if len(w) <= 100:
+                for p in best_pieces(MARK + w, want, 6):
+                    seen[p] = seen.get(p, 0) + n
+        want = {p: math.log((seen.get(p, 0) + 1) / (sum(seen.values()) + len(want))) for p in want}
+    fitted = fit_scores(docs, pieces)
+    assert fitted == want and fitted != pieces
+    got = sorted((r.doc_id, r.n_words, r.n_tokens) for r in token_counts(docs, fitted).collect())
+    assert got == sorted((r[0], len((r[1] or "").encode().split()), sum(best_cut(MARK + w.decode(), fitted) for w in (r[1] or "").encode().split())) for r in ROWS)
+    assert all((r.n_tokens > 0) == (r.n_words > 0) for r in token_counts(docs).collect())
     assert token_counts(no_docs).count() == 0
