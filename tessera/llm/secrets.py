@@ -6,9 +6,10 @@ Their features are length, character transitions, dictionary coverage, path sign
 Spark's random forest is fitted to labelled findings and then written out as conditional expressions, so
 a scan is a projection: no text is shuffled or leaves the JVM.
 
-Where a corpus has no labelled findings, ``assigned_findings`` labels them: a candidate that a naming
-word and ``=``, ``:`` or a scheme word (``Bearer``, ``Basic``) stand before, or that opens as an issuer's
-keys do, is a secret, any other is not. The forest sees these signs apart, beside the others.
+Where a corpus has no labelled findings, ``generated_findings`` makes labelled texts: secrets of many forms as
+they are written (assigned, in headers, exported, as issued keys), and strings that look like them but are none
+(digests, commit and object ids, UUIDs, paths, images in base64, names, numbers, also behind ``=`` and ``:``).
+What was put in is known, so labels don't come from the features. The words around are the corpus's own.
 
 Defined cases: null and empty texts have no candidates; a candidate that repeats is judged at each
 place; repeated rows are scanned each; without findings of both classes the rule for labels decides; of
@@ -33,7 +34,7 @@ KEYWORDS = r"(?i)token|secret|passw|credential|api.?key|access.?key|private.?key
 ASSIGNED = r"(?:[=:]|\b(?:[Bb]earer|BEARER|[Bb]asic|BASIC)\s)\s*[\"'`(\[]*$"
 #: Openings of keys whose issuers publish them.
 ISSUED = r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}$|gh[opsur]_|github_pat_|glpat-|sk[-_]|xox[abops]-|AIza|eyJ)"
-FEATURES = ("length", "digit_share", "upper_share", "turns", "distinct_share", "hex", "dictionary", "path_share", "keyword", "assigned", "issued", "quoted", "prose")
+FEATURES = ("length", "digit_share", "upper_share", "turns", "distinct_share", "hex", "dictionary", "path_share", "keyword", "assigned", "equals", "issued", "quoted", "prose")
 MASK = "<secret>"
 
 
@@ -75,6 +76,7 @@ def _features(w: Column, at: Column, s: Column, dictionary: list[str]) -> dict[s
         "path_share": _ratio(_count(s, "[^/_-]+"), n),
         "keyword": before.rlike(KEYWORDS).cast("double"),
         "assigned": before.rlike(ASSIGNED).cast("double"),
+        "equals": before.rlike(r"=\s*[\"'`]?$").cast("double"),
         "issued": s.rlike(ISSUED).cast("double"),
         "quoted": own.rlike("[\"'`]").cast("double"),
         "prose": _ratio(_count(near, r"[^\p{Ll}]+"), F.length(near)),
@@ -94,15 +96,68 @@ def candidates(docs: DataFrame, dictionary: list[str], text: str = "text") -> Da
     return df.withColumn("found", found).drop("_w", "_at", "_s")
 
 
-def _sure(c) -> Column:
-    return (c["keyword"] > 0) & (c["assigned"] > 0) | (c["issued"] > 0)
+def _flat(found: DataFrame, label: Column) -> DataFrame:
+    """found exploded, with label of candidate c."""
+    # the outer form, as Spark puts a filter made from array expressions below the other one
+    flat = found.select("*", F.explode_outer("found").alias("c")).where("c.string is not null")
+    return flat.select("c.*", label.cast("double").alias("label"))
+
+
+def generated_texts(spark, dictionary: list[str], n: int = 12_000) -> DataFrame:
+    """(id, text, secret) of n made-up texts; secret is null where there is none."""
+    common = [x for x in dictionary if not re.search(KEYWORDS, x)]
+    ws = F.array(*[F.lit(x) for x in (common if len(common) > 5 else ["alpha", "common", "letter", "window", "garden", "number"])])
+    digest = lambda salt: F.sha2(F.concat(F.lit(salt), F.col("id").cast("string")), 256)
+    number = lambda salt: F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(1 << 30))
+    word = lambda salt: F.get(ws, F.pmod(number(salt), F.size(ws)).cast("int"))
+    hexes = digest("h")
+    mixed = F.replace(F.replace(F.replace(F.base64(F.unhex(digest("m"))), F.lit("+")), F.lit("/")), F.lit("="))
+    b64 = F.base64(F.unhex(digest("b")))
+    camel = F.concat(*[F.initcap(word(f"c{k}")) for k in range(4)])
+    quote = F.get(F.array(F.lit('"'), F.lit("'"), F.lit("")), F.pmod(number("q"), F.lit(3)).cast("int"))
+    name = F.get(F.array(*[F.lit(x) for x in ("token", "api_key", "secret", "password", "access_key", "auth_token", "client_secret", "db_password", "private_key")]), F.pmod(number("n"), F.lit(9)).cast("int"))
+    sign = F.get(F.array(*[F.lit(x) for x in (" = ", ": ", "=", ":")]), F.pmod(number("s"), F.lit(4)).cast("int"))
+    plain = F.get(F.array(*[F.lit(x) for x in ("commit", "checksum", "sha256", "etag", "id", "revision", "digest", "object")]), F.pmod(number("p"), F.lit(8)).cast("int"))
+    uuid = F.concat_ws("-", F.substring(hexes, 1, 8), F.substring(hexes, 9, 4), F.substring(hexes, 13, 4), F.substring(hexes, 17, 4), F.substring(hexes, 21, 12))
+    path = F.concat_ws("/", *[word(f"d{k}") for k in range(4)], F.concat(F.lit("file_"), F.substring(hexes, 1, 3)))
+    digits = F.concat(F.lit("9807"), F.lpad((number("d1") % 1_000_000).cast("string"), 6, "0"), F.lpad((number("d2") % 1_000_000).cast("string"), 6, "0"))
+    null = F.lit(None).cast("string")
+    lower, title = F.concat(word("l1"), word("l2"), word("l3")), F.concat(F.initcap(word("t1")), F.lit("-"), F.initcap(word("t2")), F.initcap(word("t3")))
+    twice = F.concat(F.rpad(F.substring(word("r"), 1, 6), 4, "e"), F.rpad(F.substring(word("r"), 1, 6), 4, "e"))
+    size = F.get(F.array(*[F.lit(x) for x in (32, 40, 48, 64)]), F.pmod(number("z"), F.lit(4)).cast("int"))
+
+    def given(value: Column) -> tuple[Column, Column]:
+        return F.concat(name, sign, quote, value, quote), value
+
+    short = F.concat(F.substring(camel, 1, 6), F.substring(hexes, 1, 5))
+    forms = [
+        given(F.substring(hexes, F.lit(1), size)), given(mixed), given(b64), given(F.concat(camel, F.upper(F.substring(hexes, 1, 1)))), (F.concat(name, F.lit("="), lower), lower), (F.concat(name, F.lit("="), F.substring(lower, 1, 12)), F.substring(lower, 1, 12)), (F.concat(name, F.lit("="), twice), twice), (F.concat(name, F.lit(': "'), short, F.lit('"')), short),
+        (F.concat(F.lit("Authorization: Bearer "), F.substring(hexes, F.lit(1), size)), F.substring(hexes, F.lit(1), size)), (F.concat(F.lit("Authorization: Basic "), b64), b64),
+        *[(F.concat(word("i"), F.lit(" "), v), v) for v in (F.concat(F.lit("AKIA"), F.upper(F.substring(hexes, 1, 16))), F.concat(F.lit("ghp_"), F.substring(mixed, 1, 36)), F.concat(F.lit("sk-"), mixed), F.concat(F.lit("eyJ"), mixed))],
+        (F.concat(F.lit("export "), F.upper(name), F.lit("="), mixed), mixed), (F.concat(name, F.lit(' = "'), hexes, F.lit('"')), hexes),
+        *[(x, null) for x in (
+            F.concat(plain, sign, quote, F.substring(hexes, F.lit(1), size), quote), F.concat(F.lit("commit "), F.substring(hexes, 1, 40)), F.concat(plain, sign, quote, uuid, quote), F.concat(F.lit("see "), path), F.concat(word("w"), sign, path),
+            F.concat(F.lit('src="data:image/png;base64,'), b64, b64, F.lit('"')), F.concat(F.lit("https://"), word("u"), F.lit(".org/"), path, F.lit("/"), F.substring(hexes, 1, 16)), F.concat(F.lit("class "), camel), F.concat(F.lit("card number "), digits), F.concat(word("v"), sign, digits),
+            F.concat(F.lit("author: "), title), F.concat(name, F.lit(": "), word("x"), F.lit(" "), lower), F.concat(F.lit("the "), lower, F.lit(" of "), title), F.concat(F.lit("token_count_"), lower, F.lit(" is high")),
+        )],
+    ]
+    kind = F.pmod(F.col("id"), F.lit(len(forms))).cast("int")
+    made = reduce(lambda a, k: F.when(kind == k, F.struct(forms[k][0].alias("t"), forms[k][1].alias("secret"))).otherwise(a), range(len(forms)), F.struct(null.alias("t"), null.alias("secret")))
+    rows = spark.range(n).withColumn("m", made)
+    # words before and after, or on one side, or none
+    around = [F.when(F.pmod(number(f"side {side}"), F.lit(2)) > 0, F.concat_ws(" ", *[word(f"{side}{k}") for k in range(4)])) for side in "ab"]
+    return rows.select("id", F.concat_ws(" ", around[0], "m.t", around[1]).alias("text"), "m.secret")
+
+
+def generated_findings(spark, dictionary: list[str], n: int = 12_000) -> DataFrame:
+    """Candidates of generated_texts with id and label: whether they are (part of) what was put in."""
+    found = candidates(generated_texts(spark, dictionary, n), dictionary)
+    return _flat(found, F.coalesce(F.contains("secret", F.col("c.string")), F.lit(False)))
 
 
-def assigned_findings(found: DataFrame) -> DataFrame:
-    """found exploded, with a label from the rule for assignments and issued keys."""
-    # the outer form, as Spark puts a filter made from array expressions below the other one
-    flat = found.select(F.explode_outer("found").alias("c")).select("c.*").where("string is not null")
-    return flat.withColumn("label", _sure({k: F.col(k) for k in FEATURES}).cast("double"))
+def _sure(c) -> Column:
+    """The rule that decides where no forest can be fitted: assigned by a naming word, or opening as issued keys do."""
+    return (c["keyword"] > 0) & (c["assigned"] > 0) | (c["issued"] > 0)
 
 
 @dataclass(frozen=True)
@@ -141,13 +196,14 @@ def _parse(text: str):
     return node(0)[0]
 
 
-def fit_forest(labelled: DataFrame, dictionary: list[str] = (), max_findings: int = 20_000, trees: int = 15, depth: int = 4, seed: int = 7) -> Forest:
-    """From labelled(FEATURES, label 0.0 or 1.0), of which at most max_findings with the smallest hashes are used."""
+def fit_forest(labelled: DataFrame, dictionary: list[str] = (), max_findings: int = 20_000, trees: int = 15, depth: int = 8, seed: int = 7) -> Forest:
+    """From labelled(FEATURES, label 0.0 or 1.0); of more than max_findings, those whose hash falls below that share are used."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    some = labelled.where("label is not null").select(*FEATURES, "label")
-    some = staged(some.orderBy(F.xxhash64(*FEATURES, "label"), *FEATURES, "label").limit(max_findings).coalesce(1), "findings")
+    some = staged(labelled.where("label is not null").select(*FEATURES, "label"), "findings")
+    if (n := some.count()) > max_findings:
+        some = some.where(F.pmod(F.xxhash64(*FEATURES, "label"), F.lit(1 << 20)) < F.lit(max_findings / n * (1 << 20)))
     if {r["label"] for r in some.select("label").distinct().limit(3).collect()} != {0.0, 1.0}:
         return Forest((), tuple(dictionary))
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(some)
@@ -162,9 +218,11 @@ def frequent_words(docs: DataFrame, size: int = 300) -> list[str]:
 
 
 def train(docs: DataFrame) -> Forest:
-    """A forest for docs(doc_id, text) without labelled findings."""
+    """A forest for docs(doc_id, text) without labelled findings: from generated ones, in the corpus's words."""
+    if docs.isEmpty():
+        return Forest(())
     dictionary = frequent_words(docs)
-    return fit_forest(assigned_findings(candidates(docs.select("text"), dictionary)), dictionary)
+    return fit_forest(generated_findings(docs.sparkSession, dictionary), dictionary)
 
 
 def scan(docs: DataFrame, forest: Forest, least: float = 0.5, text: str = "text") -> DataFrame:

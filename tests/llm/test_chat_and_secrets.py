@@ -74,3 +74,29 @@ def test_dictionary_counts_all_documents(spark):
     assert S.frequent_words(docs.where("doc_id is null"), 1) == ["among"]
     late = docs.select("doc_id", "text").union(spark.createDataFrame([(k, "single") for k in range(10**6, 10**6 + 3)], "doc_id long, text string"))
     assert "single" in S.frequent_words(late)
+
+
+def test_held_out_findings(spark):
+    """Precision and recall on generated findings that the forest hasn't seen; labels don't come from features."""
+    words = ["window", "garden", "number", "common", "letter", "orange", "copper", "saddle", "river", "market"]
+    found = S.generated_findings(spark, words, 6_000).withColumn("_h", F.pmod(F.xxhash64(*S.FEATURES), F.lit(3)))
+    forest = S.fit_forest(found.where("_h > 0"), words)
+    assert forest.trees
+    judged = found.where("_h = 0").select("label", (forest.score({f: F.col(f) for f in S.FEATURES}) > 0.5).alias("yes"))
+    c = judged.agg(F.count_if(F.expr("yes and label = 1")).alias("tp"), F.count_if(F.expr("yes and label = 0")).alias("fp"), F.count_if(F.expr("not yes and label = 1")).alias("fn")).first()
+    assert c.tp > 200 and c.tp / (c.tp + c.fp) > 0.95 and c.tp / (c.tp + c.fn) > 0.95, c
+
+
+def test_written_out_forest_is_the_fitted_one(spark):
+    """Votes of the conditional expressions against those of Spark's own trees."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    found = S.generated_findings(spark, ["window", "garden", "number"], 1_500).cache()
+    rows = VectorAssembler(inputCols=list(S.FEATURES), outputCol="features").transform(found)
+    model = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=5, maxDepth=5, seed=3).fit(rows)
+    forest = S.Forest(tuple(S._parse(t.toDebugString) for t in model.trees))
+    for t, tree in zip(forest.trees, model.trees):
+        one = S.Forest((t,))
+        both = tree.transform(rows).select((one.score({f: F.col(f) for f in S.FEATURES}) != F.col("prediction")).alias("differ"))
+        assert both.where("differ").count() == 0
