@@ -6,8 +6,9 @@ language's prototype bundles the vectors of its training texts; a text gets the
 prototype has the greatest cosine. Letters are lower-cased, and any run of other characters is one
 boundary letter.
 
-Texts go through Arrow in groups of about a million characters: a count matrix (text by distinct
-trigram) times the trigram vectors. A text beyond that is counted in slices, none is cut off.
+Texts go through Arrow in groups of about a quarter of a million characters: a count matrix (text by
+distinct trigram) times the trigram vectors, of bounded size: some thousand trigrams at a time, and as many
+texts as give a million counts. A text beyond that is counted in slices, none is cut off.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; null or empty lang is
 not learned from; equal cosines go to the smaller language name; with nothing to learn from, all are
@@ -22,11 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks_of
+from .common import chunks_of, sliced
 
 DIM = 1024
 UNDETERMINED = "und"
-_SLICE = 1_000_000
+_SLICE = 250_000
+_GRAMS, _CELLS = 4_096, 1 << 20  # trigram vectors and counts held at once
 _letters: dict[tuple[int, int], np.ndarray] = {}
 
 
@@ -97,12 +99,20 @@ def text_vectors(texts: list[str], dim: int = DIM) -> tuple[np.ndarray, np.ndarr
             used, col = np.unique(code, return_inverse=True)
         first, second, third = used // (base * base), used // base % base, used % base
         plain = np.stack([letter_vector(int(c), dim) for c in present])
-        for u in range(0, len(used), 65_536):  # bounds the vectors held at once
-            v = slice(u, min(u + 65_536, len(used)))
-            inside = (col >= v.start) & (col < v.stop)
-            counts = np.bincount(owner[inside] * (v.stop - v.start) + col[inside] - v.start, minlength=(b - a) * (v.stop - v.start)).reshape(b - a, -1).astype(np.float32)
-            grams = (np.roll(plain, 2, axis=1)[first[v]] * np.roll(plain, 1, axis=1)[second[v]] * plain[third[v]]).astype(np.float32)
-            np.add.at(out, rows[a:b], counts @ grams)
+        order = np.argsort(col, kind="stable")
+        col, owner = col[order], owner[order]
+        edges = np.searchsorted(col, np.arange(0, len(used) + _GRAMS, _GRAMS))
+        rolled = np.roll(plain, 2, axis=1), np.roll(plain, 1, axis=1)
+        for u, (lo, hi) in enumerate(zip(edges[:-1], edges[1:])):
+            v = slice(u * _GRAMS, min((u + 1) * _GRAMS, len(used)))
+            width = v.stop - v.start
+            grams = (rolled[0][first[v]] * rolled[1][second[v]] * plain[third[v]]).astype(np.float32)
+            for r in range(0, b - a, step := max(1, _CELLS // width)):
+                inside = (owner[lo:hi] >= r) & (owner[lo:hi] < r + step)
+                if inside.any():
+                    n = min(step, b - a - r)
+                    counts = np.bincount((owner[lo:hi][inside] - r) * width + col[lo:hi][inside] - v.start, minlength=n * width).reshape(n, -1).astype(np.float32)
+                    np.add.at(out, rows[a + r : a + r + n], counts @ grams)
         np.logical_or.at(lettered, rows[a:b], np.array([bool(s.any()) for s in syms[a:b]]))
     return out, lettered
 
@@ -122,7 +132,7 @@ def train_prototypes(labelled: DataFrame, dim: int = DIM, max_docs: int = 20_000
 
     def bundle(batches):
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in sliced(batches):
             langs, texts = np.array(batch.column(0).to_pylist(), dtype=object), batch.column(1).to_pylist()
             for a, b in chunks_of(texts, _SLICE):
                 vectors, lettered = text_vectors(texts[a:b], dim)
@@ -148,8 +158,8 @@ def identify_language(docs: DataFrame, prototypes: dict[str, np.ndarray], keep:
     matrix = np.stack([prototypes[k] for k in names]).T if names else np.zeros((dim, 1), dtype=np.float32)
 
     def judge(batches):
-        for batch in batches:
-            texts = batch.column("_text").to_pylist()
+        for batch in sliced(batches):
+            texts = batch.column("text").to_pylist()
             pred, score = [], []
             for a, b in chunks_of(texts, _SLICE):
                 vectors, lettered = text_vectors(texts[a:b], dim)
@@ -162,6 +172,6 @@ def identify_language(docs: DataFrame, prototypes: dict[str, np.ndarray], keep:
             out = [batch.column(c) for c in keep] + [pa.array(pred, pa.string()), pa.array(score, pa.float64())]
             yield pa.RecordBatch.from_arrays(out, names=[*keep, "lang_pred", "score"])
 
-    rows = docs.select(*keep, F.col("text").alias("_text"))
+    rows = docs.select(*keep) if "text" in keep else docs.select(*keep, "text")
     schema = rows.select(*keep, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
     return rows.mapInArrow(judge, schema)
