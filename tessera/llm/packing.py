@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import chunks_of, staged
+from .common import Staging, chunks_of, sliced, staged
 from .tokens import END_ID, encoder, tokenizer_path
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -31,7 +31,7 @@ def token_pieces(docs: DataFrame, capacity: int = 4096, path: str | None = None)
 
     def cut(batches):
         enc = encoder(path)
-        for batch in batches:
+        for batch in sliced(batches):
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in chunks_of(texts, 2_000_000):
                 out = [[], [], [], [], []]
@@ -134,12 +134,13 @@ def _runs(plan: list[tuple[list[int], int]], capacity: int):
     return [np.array(c, dtype=np.int64) for c in zip(*rows)] if rows else [np.zeros(0, np.int64)] * 5
 
 
-def pack(pieces: DataFrame, capacity: int = 4096, salts: int = 32) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 4096, salted_rows: int = 100_000) -> DataFrame:
     """pieces with sequence_id and offset. pieces is read twice: give a stored table.
 
     The rank of a piece within its length is that within (length, salt) plus the pieces of earlier
-    salts, so a length that very many pieces have is ranked by many tasks.
+    salts, of which there is one for each salted_rows pieces, so a length that very many pieces have is ranked by many tasks.
     """
+    salts = max(32, -(-pieces.count() // salted_rows))
     salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
     sums = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     counts = {r["length"]: r["n"] for r in sums.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
@@ -164,4 +165,5 @@ def pack(pieces: DataFrame, capacity: int = 4096, salts: int = 32) -> DataFrame:
 
 def best_fit_packing(docs: DataFrame, capacity: int = 4096, path: str | None = None) -> DataFrame:
     """docs(doc_id, text) tokenized, cut and packed."""
-    return pack(staged(token_pieces(docs, capacity, path), "pieces"), capacity)
+    with Staging(docs.sparkSession) as stage:
+        return staged(pack(stage(token_pieces(docs, capacity, path), "pieces"), capacity), "packed")
