@@ -58,3 +58,4 @@ AUTHORITY_A = [("simbad", ["simbad", "cds.unistra.fr"]), ("academic_paper", ["ar
 AUTHORITY_B = [("simbad", ["simbad"]), ("academic_paper", ["arxiv.org", "doi.org", "nature.com", "science.org", "iopscience.iop.org", "academic.oup.com"]), ("wikipedia", ["wikipedia.org"]), ("web_news", ["news", "reuters.com", "apnews.com", "xinhuanet.com"])]
 #: Seconds at the start of the year 2100, the unit of time in score A.
 TIME_UNIT = 4102444800
+BLOCKED_TEXT_MARKS = ("just a moment", "to ensure we keep this website safe", "cookies", "enable javascript")

@@ -91,8 +91,7 @@ def content_blocks(html: str | None, leaf_only: bool = False) -> list[str]:
     nodes = list(root.walk())
     main = next((n for s in fixed.MAIN_SELECTORS for n in nodes if _matches(n, s)), None) or next((n for n in nodes if n.tag == "body"), root)
     for n in list(main.walk()):
-        if n is not main and _excluded(n) and n in n.parent.children:
-            n.parent.children.remove(n)
+        n.children = [c for c in n.children if isinstance(c, str) or not _excluded(c)]
     blocks = [n for n in main.walk() if n is not main and n.tag in fixed.BLOCK_TAGS]
     if leaf_only:
         blocks = [n for n in blocks if not any(d.tag in fixed.BLOCK_TAGS for d in n.walk() if d is not n)]

@@ -192,4 +192,4 @@ def search_quality(url, title, snippet, relevance=None) -> Column:
 def is_blocked_text(text) -> Column:
     """Challenge pages and cookie banners of the older search form."""
     t = F.lower(F.coalesce(col(text), _lit("")))
-    return t.rlike("just a moment|to ensure we keep this website safe|cookies|enable javascript")
+    return contains_any(t, fixed.BLOCKED_TEXT_MARKS)

@@ -365,4 +365,6 @@ def enrich_for_conflicts(spark, sf_dir):
 
 
 # The other modules of queries register theirs when they are imported.
-from . import extraction, structured  # noqa: E402, F401
+from . import extraction, streams, structured  # noqa: E402, F401
+
+streams.register_pairs()

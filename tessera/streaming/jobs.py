@@ -37,10 +37,14 @@ def stream_versioned_edges(claims: DataFrame) -> DataFrame:
 
 
 def stream_upsert_graph(nodes: DataFrame, folder: str, checkpoint: str):
-    """Starts a query that upserts each batch of nodes(id, attributes) into the table in folder, one subfolder a batch; the latest holds the graph."""
+    """Starts a query that upserts each batch of nodes(id, attributes, seq) into the table in folder, one subfolder a batch; the latest holds the graph.
+
+    Of an id that a batch has several times the greatest seq wins; without a seq, the greatest attributes by their JSON.
+    """
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        last = batch.groupBy("id").agg(F.last("attributes").alias("attributes"))
+        order = F.col("seq") if "seq" in batch.columns else F.to_json("attributes")
+        last = batch.groupBy("id").agg(F.max_by("attributes", order).alias("attributes"))
         old = spark.read.parquet(f"{folder}/v{number - 1}") if number else spark.createDataFrame([], "id string, attributes map<string,string>")
         upsert_nodes(old, last).write.mode("overwrite").parquet(f"{folder}/v{number}")
 
