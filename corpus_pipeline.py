@@ -7,9 +7,10 @@ written as Parquet and read again as the next stage's docs.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from tessera.llm.common import read_table, staged
-from tessera.llm.decontamination import decontaminate
+from tessera.llm.common import Staging, broadcast_within, read_table, staged, text_keys
+from tessera.llm.decontamination import contaminated_texts
 from tessera.llm.jaccard_join import jaccard_components
 from tessera.llm.language_id import UNDETERMINED, identify_language, train_prototypes
 from tessera.llm.packing import best_fit_packing
@@ -25,14 +26,14 @@ def _size_class():
 
 
 def least_scores(named):
-    """{language: [(size class, threshold)]} of named(text, lang, lang_pred, score).
+    """{language: [(size class, threshold)]} of named(k, lang, lang_pred, score).
 
     A class holds texts of 2^k characters up to twice that. Its threshold is a fifth of the median cosine of
     all labelled texts that got their own language, at least LEAST_TEXTS. That is above other scripts and
     letter noise (about 0, with a deviation of 1/32) and under texts of the language that repeat a word;
     a language never learned that shares most trigrams with a learned one isn't told apart by it.
     """
-    right = named.where("lang = lang_pred").groupBy("lang_pred", _size_class().alias("k"))
+    right = named.where("lang = lang_pred").groupBy("lang_pred", "k")
     found = right.agg(F.count("*").alias("n"), F.percentile_approx("score", 0.5).alias("mid")).where(F.col("n") >= LEAST_TEXTS).collect()
     return {x: sorted((r.k, r.mid * LEAST_SHARE) for r in found if r.lang_pred == x) for x in {r.lang_pred for r in found}}
 
@@ -49,33 +50,45 @@ def language(spark, docs, sf_dir):
     if not prototypes:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     least = F.lit(0.0)
-    for lang, classes in least_scores(identify_language(docs, prototypes, keep=("text", "lang"))).items():
+    labelled = docs.where("lang is not null").select("text", "lang", _size_class().alias("k"))
+    for lang, classes in least_scores(identify_language(labelled, prototypes, keep=("lang", "k"))).items():
         for k, cut in classes:
             least = F.when((F.col("lang_pred") == lang) & (_size_class() >= k), cut).otherwise(least)
     named = identify_language(docs, prototypes, keep=tuple(docs.columns))
     return named.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select(*docs.columns)
 
 
-def _numbered(docs):
-    """docs staged with _row, a number of each row: doc_id may be null or stand at several texts."""
-    return staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered-documents")
-
-
 def near_duplicates(spark, docs, sf_dir):
-    """Of each component of near copies one row stays, that with the smallest doc_id (null ones last). Rows go by their text alone: others of the same or a null doc_id stay."""
-    rows = _numbered(docs)
-    found = jaccard_components(rows.select(F.col("_row").alias("doc_id"), "text"), size=5, percent=80).select(F.col("doc_id").alias("_row"), "component_id")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
-    kept = found.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id").agg(first.alias("first")).select("first._row")
-    return rows.join(staged(kept, "kept-rows"), "_row", "left_semi").select(*docs.columns)
+    """Of each component of near copies one row stays, that with the smallest doc_id (null ones last; of equal ones that with the smallest hash). Rows go by their text alone: others of the same or a null doc_id stay.
+
+    A row is known by two hashes of its doc_id and text. Of rows that have both in common, the first in the order of the other columns stays.
+    """
+    columns, keys = docs.columns, ["_k1", "_k2"]
+    named = docs.withColumns({k: F.xxhash64(F.lit(i), "doc_id", F.col("text").isNull(), "text") for i, k in enumerate(keys)})
+    found = jaccard_components(named.select(F.col("_k1").alias("doc_id"), "text", F.col("doc_id").alias("id"), *keys), size=5, percent=80, carry=("id", *keys))
+    with Staging(spark) as stage:
+        rows = found.where("n_shingles > 0").groupBy("component_id", "id", *keys).agg(F.count("*").alias("n"))
+        order = F.struct(F.col("id").isNull().alias("none"), "id", *keys)
+        first = rows.groupBy("component_id").agg(F.min(order).alias("first"))
+        rows = stage(rows.join(first, "component_id").withColumn("stays", order == F.col("first")).select(*keys, "n", "stays"), "rows-of-components")
+        gone = staged(rows.where("not stays or n > 1").select(*keys), "near-copies")
+        several = rows.where("stays and n > 1").select(*keys)
+        several = None if several.isEmpty() else staged(several, "repeated-rows")
+    out = named.join(broadcast_within(gone, gone.count()), keys, "left_anti").select(*columns)
+    if several is None:
+        return out
+    again = named.join(several, keys, "left_semi").withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(*columns)))
+    return out.union(again.where("_n = 1").select(*columns))
 
 
 def without_benchmarks(spark, docs, sf_dir):
     """Rows whose text holds a window of a benchmark item go; others of the same or a null doc_id stay."""
-    rows = _numbered(docs)
-    found = decontaminate(rows.select(F.col("_row").alias("doc_id"), "text"), read_table(spark, sf_dir, "benchmark"))
-    hit = staged(found.where("contaminated").select(F.col("doc_id").alias("_row")), "contaminated")
-    return rows.join(hit, "_row", "left_anti").select(*docs.columns)
+    with Staging(spark) as stage:
+        _, texts = contaminated_texts(docs, read_table(spark, sf_dir, "benchmark"), stage)
+        hit = staged(texts.select("t1", "t2"), "contaminated")
+    t1, t2 = text_keys(F.coalesce("text", F.lit("")))
+    hit = broadcast_within(hit.select(F.col("t1").alias("_t1"), F.col("t2").alias("_t2")), hit.count())
+    return docs.withColumns({"_t1": t1, "_t2": t2}).join(hit, ["_t1", "_t2"], "left_anti").select(*docs.columns)
 
 
 def without_secrets(spark, docs, sf_dir):
@@ -103,6 +116,8 @@ ORACLE_SQL = None
 
 def run(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with Staging(spark) as stage:
+        for name, step in STAGES[:-1]:
+            before, docs = docs, stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
+            stage.drop(before)
+        return staged(STAGES[-1][1](spark, docs, sf_dir), "packed-sequences")
