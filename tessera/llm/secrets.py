@@ -196,7 +196,7 @@ def _parse(text: str):
     return node(0)[0]
 
 
-def fit_forest(labelled: DataFrame, dictionary: list[str] = (), max_findings: int = 20_000, trees: int = 15, depth: int = 8, seed: int = 7) -> Forest:
+def fit_forest(labelled: DataFrame, dictionary: list[str] = (), max_findings: int = 20_000, trees: int = 9, depth: int = 7, seed: int = 7) -> Forest:
     """From labelled(FEATURES, label 0.0 or 1.0); of more than max_findings, those whose hash falls below that share are used."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
