@@ -6,7 +6,7 @@ language's prototype bundles the vectors of its training texts; a text gets the
 prototype has the greatest cosine. Letters are lower-cased, and any run of other characters is one
 boundary letter.
 
-Texts go through Arrow in groups of about a quarter of a million characters: a count matrix (text by
+Texts go through Arrow in groups of about a million characters: a count matrix (text by
 distinct trigram) times the trigram vectors, of bounded size: some thousand trigrams at a time, and as many
 texts as give a million counts. A text beyond that is counted in slices, none is cut off.
 
@@ -27,7 +27,7 @@ from .common import chunks_of, sliced
 
 DIM = 1024
 UNDETERMINED = "und"
-_SLICE = 250_000
+_SLICE = 1_000_000
 _GRAMS, _CELLS = 4_096, 1 << 20  # trigram vectors and counts held at once
 _letters: dict[tuple[int, int], np.ndarray] = {}
 
