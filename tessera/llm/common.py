@@ -69,11 +69,15 @@ class Staging:
             where = self._spark._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(where, True)
 
+    def close(self) -> None:
+        """Deletes all that is left."""
+        self.drop(*[t for t, _ in self._paths])
+
     def __enter__(self) -> "Staging":
         return self
 
     def __exit__(self, *_) -> None:
-        self.drop(*[t for t, _ in self._paths])
+        self.close()
 
 
 def text_keys(text: Column) -> tuple[Column, Column]:

@@ -28,4 +28,43 @@ s AS (SELECT t.conv_id, CAST(i - 1 AS int) AS turn_index, n AS n_turns, concat('
 SELECT conv_id, turn_index, n_turns, CAST(sum(length(segment)) OVER (PARTITION BY conv_id ORDER BY turn_index) - length(segment) AS bigint) AS start, segment FROM s
 """
 
-SQL = {"op1_decontamination": OP1, "op7_chat_format": OP7}
+
+def crc32(text: str) -> str:
+    """The CRC of ASCII text, a bit at a time."""
+    bits = "list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::ubigint[], lambda x, y: xor(x >> 1, 3988292384::ubigint * (x & 1)), xor(c, b))"
+    return f"xor(list_reduce(list_transform(string_split({text}, ''), lambda ch: ascii(ch)::ubigint), lambda c, b: {bits}, 4294967295::ubigint), 4294967295::ubigint)"
+
+
+def _merkle(level: str, rows: str) -> str:
+    """Recursive table level(g, k, n, l) over rows(g, l): the list of digests of each level of a group."""
+    up = "list_transform(range(0, (n + 7) // 8), lambda r: sha256(array_to_string(l[r * 8 + 1:r * 8 + 8], '')))"
+    return f"{level} AS (SELECT g, 0 AS k, len(l) AS n, l FROM {rows} UNION ALL SELECT g, k + 1, (n + 7) // 8, {up} FROM {level} WHERE n > 1)"
+
+
+def _steps(level: str, nodes: str) -> str:
+    """(g, i, k, lo, hi): the siblings before and after the node above leaf i of nodes(g, i)."""
+    at = "(i >> (3 * k))"
+    return f"SELECT g, i, k, array_to_string(l[({at} // 8) * 8 + 1:{at}], '') AS lo, array_to_string(l[{at} + 2:({at} // 8) * 8 + 8], '') AS hi FROM {nodes} JOIN {level} USING (g) WHERE n > 1"
+
+
+_FIELDS = ("doc_id", "source", "lang", "n_chars", "{text}")
+_LEAF = "sha256(concat(" + ", ".join(f"coalesce(strlen(CAST({c} AS varchar)) || ':' || CAST({c} AS varchar), '-')" for c in _FIELDS) + "))"
+OP13 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce('=' || lang, '-') AS g, {_LEAF.format(text="text")} AS leaf,
+    CASE WHEN {crc32("CAST(doc_id AS varchar)")} % 3 = 0 THEN {_LEAF.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS bad FROM documents),
+o AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d),
+ls AS (SELECT g, list(leaf ORDER BY i) AS l FROM o GROUP BY g),
+{_merkle("lv", "ls")},
+sub AS (SELECT g AS lang, l[1] AS subroot, row_number() OVER (ORDER BY encode(g)) - 1 AS i FROM lv WHERE n = 1),
+tops AS (SELECT 0 AS g, list(subroot ORDER BY i) AS l FROM sub),
+{_merkle("tv", "tops")},
+root AS (SELECT l[1] AS root FROM tv WHERE n = 1),
+path AS (SELECT doc_id, leaf, coalesce(bad, leaf) AS begin, subroot, root,
+    coalesce((SELECT list({{'lo': lo, 'hi': hi}} ORDER BY k) FROM ({_steps("lv", "o")}) s WHERE s.g = o.g AND s.i = o.i), [])
+    || coalesce((SELECT list({{'lo': lo, 'hi': hi}} ORDER BY k) FROM ({_steps("tv", "(SELECT 0 AS g, i FROM sub)")}) s WHERE s.i = sub.i), []) AS p
+    FROM o JOIN sub ON o.g = sub.lang CROSS JOIN root),
+f AS (SELECT doc_id, leaf, subroot, root, p, 0 AS k, begin AS h FROM path UNION ALL SELECT doc_id, leaf, subroot, root, p, k + 1, sha256(concat(p[k + 1].lo, h, p[k + 1].hi)) FROM f WHERE k < len(p))
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(p, lambda x: concat(x.lo, x.hi)), '')) AS proof_sha256, h AS folded_root, h = root AS verified FROM f WHERE k = len(p)
+"""
+
+SQL = {"op1_decontamination": OP1, "op7_chat_format": OP7, "op13_merkle_manifest": OP13}

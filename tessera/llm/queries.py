@@ -77,6 +77,15 @@ def op10_best_fit_packing(spark, sf_dir):
     return best_fit_packing(read_table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from .merkle import merkle_manifest
+
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    return merkle_manifest(read_table(spark, sf_dir, "documents"), tampered=tampered).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
