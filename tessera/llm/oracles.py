@@ -67,4 +67,19 @@ f AS (SELECT doc_id, leaf, subroot, root, p, 0 AS k, begin AS h FROM path UNION
 SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(p, lambda x: concat(x.lo, x.hi)), '')) AS proof_sha256, h AS folded_root, h = root AS verified FROM f WHERE k = len(p)
 """
 
-SQL = {"op1_decontamination": OP1, "op7_chat_format": OP7, "op13_merkle_manifest": OP13}
+OP11 = f"""
+WITH t AS (SELECT conv_id, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS t, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+    FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list(t ORDER BY i) AS l, CAST({crc32("CAST(conv_id AS varchar)")} % 6 AS bigint) AS h FROM t GROUP BY conv_id),
+r AS (SELECT c.conv_id, coalesce(b.l[1:c.h], []) || c.l[c.h + 1:] AS l FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 100),
+p AS (SELECT conv_id, l, unnest(range(0, len(l) + 1)) AS depth FROM r),
+m AS (SELECT conv_id, depth, len(l) = depth AS ends, l[1:depth] AS k, l[1:depth - 1] AS up FROM p),
+n AS (SELECT k, depth, first(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(string_agg(CAST(conv_id AS varchar), ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ends FROM m GROUP BY k, depth),
+kids AS (SELECT up AS k, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY up),
+v AS (SELECT n.k, n.depth, (coalesce(n_children, 0) = 0)::bigint AS leaf, (n_convs - 1) * CASE WHEN n.depth = 0 THEN 0 ELSE length(n.k[n.depth].t) END AS saved FROM n LEFT JOIN kids USING (k)),
+s AS (SELECT k, sum(leaf)::bigint AS n_leaves, sum(saved)::bigint AS saved_tokens FROM (SELECT k[1:d] AS k, leaf, saved FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM v)) GROUP BY k)
+SELECT n.conv_id, n.depth, CASE WHEN n.depth > 0 THEN u.conv_id END AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, sha256(n.ends) AS ends_sha256
+FROM n JOIN s USING (k) LEFT JOIN kids USING (k) LEFT JOIN n u ON u.k = n.up
+"""
+
+SQL = {"op11_prefix_trie": OP11, "op1_decontamination": OP1, "op7_chat_format": OP7, "op13_merkle_manifest": OP13}

@@ -77,6 +77,21 @@ def op10_best_fit_packing(spark, sf_dir):
     return best_fit_packing(read_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from .prefix_trie import prefix_trie
+
+    conv = F.col("conv_id")
+    return prefix_trie(read_table(spark, sf_dir, "conversations"), conv - conv % 100, F.crc32(conv.cast("string")) % 6, 5)
+
+
+def op12_personal_data(spark, sf_dir):
+    from .pii import find_personal_data
+
+    return find_personal_data(read_table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark, sf_dir):
     from pyspark.sql import functions as F
 
