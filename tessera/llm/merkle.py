@@ -24,6 +24,7 @@ from .ordering import numbered, sorted_parts
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 _GROUP = ["_group"]
+_NO_PATH = "cast(array() as array<struct<l:string,r:string>>)"
 
 
 def digest(*parts: Column) -> Column:
@@ -62,14 +63,18 @@ def _side(start, length) -> Column:
     return F.array_join(F.slice("_run", start, length), "")
 
 
-def paths_of(levels: list[DataFrame], tops: DataFrame, arity: int, keep: list[str]) -> DataFrame:
-    """Rows of the first level with `keep`, their group's columns of tops(_group, path, ...) and path: (left, right) siblings of each level, upwards."""
-    extra = [c for c in tops.columns if c not in ("_group", "path")]
+def paths_of(levels: list[DataFrame], tops: DataFrame | None, arity: int, keep: list[str]) -> DataFrame:
+    """Rows of the first level with `keep`, their group's columns of tops(_group, path, ...) and path: (left, right) siblings of each level, upwards.
+
+    Without tops there is nothing above the groups.
+    """
+    extra = [c for c in tops.columns if c not in ("_group", "path")] if tops is not None else []
     below = None
     for level in reversed(levels):
         last = level is levels[0]
         own = ["_group", "idx", "hash", *(keep if last else ["children"])]
-        done = level.where("n = 1").select(*own).join(tops, "_group")
+        done = level.where("n = 1").select(*own)
+        done = done.join(tops, "_group") if tops is not None else done.withColumn("path", F.expr(_NO_PATH))
         if below is not None:
             slot = (F.col("idx") % arity).cast("int")
             run = below.select("_group", F.col("idx").alias("_above"), F.col("children").alias("_run"), F.col("path").alias("_path"), *extra)
@@ -80,16 +85,13 @@ def paths_of(levels: list[DataFrame], tops: DataFrame, arity: int, keep: list[st
     return below
 
 
-_NO_PATH = "cast(array() as array<struct<l:string,r:string>>)"
-
-
 def merkle_manifest(docs: DataFrame, arity: int = 8, tampered: Column | None = None) -> DataFrame:
     """(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified, lang, idx, proof) of docs(doc_id, source, lang, n_chars, text).
 
     Rows for which `tampered` holds have their text's A-Z lower-cased before the leaf is folded with the
     proof of the original; verified says whether root comes out.
     """
-    spark, stage, passing = docs.sparkSession, Staging(docs.sparkSession), Staging(docs.sparkSession)
+    stage, passing = Staging(docs.sparkSession), Staging(docs.sparkSession)
     bad = F.coalesce(tampered, F.lit(False)) if tampered is not None else F.lit(False)
     lower = F.when(bad, leaf_digest(text=ascii_lower(F.col("text"))))
     group = F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit("-"))  # null before all
@@ -105,8 +107,7 @@ def merkle_manifest(docs: DataFrame, arity: int = 8, tampered: Column | None = N
     passing.close()
     head = top[-1].select("hash").first()
     root = F.lit(head[0] if head else None).cast("string")
-    at_root = spark.range(1).select(F.lit("").alias("_group"), F.expr(_NO_PATH).alias("path"))
-    tops = paths_of(top, at_root, arity, ["_lang"]).select(F.col("_lang").alias("_group"), F.col("hash").alias("subroot"), "path")
+    tops = paths_of(top, None, arity, ["_lang"]).select(F.col("_lang").alias("_group"), F.col("hash").alias("subroot"), "path")
     rows = paths_of(levels, tops, arity, ["doc_id", "lang", "_bad"])
     folded = F.aggregate("path", F.coalesce("_bad", "hash"), lambda acc, x: F.sha2(F.concat(x.l, acc, x.r), 256))
     proof = F.array_join(F.transform("path", lambda x: F.concat(x.l, x.r)), "")

@@ -53,13 +53,13 @@ class Constants:
     def x(self, m: int) -> Column:
         return F.pmod(F.xxhash64(F.lit(self.seeds[m]), F.col("h1"), F.col("h2")), F.lit(PRIMES[m]))
 
-    def power(self, m: int, n: Column) -> Column:
-        """base m to the n, modulo its prime: one factor for each of n's 31 bits."""
-        p = F.lit(PRIMES[m])
-        factors = [F.when(F.shiftright(n, j).bitwiseAND(F.lit(1)) == 1, F.lit(pow(self.bases[m], 1 << j, PRIMES[m])).cast("long")).otherwise(F.lit(1).cast("long")) for j in range(31)]
-        return reduce(lambda acc, f: acc * f % p, factors)
+    def power(self, m: int, n: str) -> Column:
+        """base m to the column n (below 2**35), modulo its prime: a factor looked up for each of seven digits of five bits."""
+        p = PRIMES[m]
+        digit = lambda j: "array(" + ", ".join(f"{pow(self.bases[m], d << (5 * j), p)}L" for d in range(32)) + f")[cast(shiftright(cast({n} as bigint), {5 * j}) & 31 as int)]"
+        return F.expr(reduce(lambda acc, j: f"{acc} * {digit(j)} % {p}L", range(1, 7), digit(0)))
 
-    def term(self, m: int, place: Column) -> Column:
+    def term(self, m: int, place: str) -> Column:
         return self.x(m) * self.power(m, place) % F.lit(PRIMES[m])
 
 
@@ -84,15 +84,15 @@ def source_products(turns: DataFrame, c: Constants, stage) -> tuple[DataFrame, D
     here = W.partitionBy("_part", "conv_id").orderBy("_pos")
     local = placed.withColumn("i", F.row_number().over(here).cast("long"))
     so_far = here.rowsBetween(W.unboundedPreceding, W.currentRow)
-    local = stage(local.withColumns({s: F.sum(c.term(m, F.col("i"))).over(so_far) % F.lit(PRIMES[m]) for m, s in enumerate(_SUMS)}), "local-products")
+    local = stage(local.withColumns({s: F.sum(c.term(m, "i")).over(so_far) % F.lit(PRIMES[m]) for m, s in enumerate(_SUMS)}), "local-products")
     starts = part_starts(local, ["conv_id"], {s: F.max_by(s, "_pos") for s in _SUMS})
     earlier = W.partitionBy("conv_id").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    joined = {f"_{s}": F.sum(F.col(s) * c.power(m, F.col("_before")) % F.lit(PRIMES[m])).over(earlier) % F.lit(PRIMES[m]) for m, s in enumerate(_SUMS)}
+    joined = {f"_{s}": F.sum(F.col(s) * c.power(m, "_before") % F.lit(PRIMES[m])).over(earlier) % F.lit(PRIMES[m]) for m, s in enumerate(_SUMS)}
     # a part goes on with at most one conversation of earlier parts: as many rows as partitions
     carried = starts.withColumns(joined).where("_before > 0").select("_part", "conv_id", "_before", *joined)
     both = local.join(F.broadcast(carried), ["_part", "conv_id"], "left")
     before = F.coalesce("_before", F.lit(0))
-    sums = [F.when(F.col("_before").isNull(), F.col(s)).otherwise((F.col(f"_{s}") + F.col(s) * c.power(m, before)) % F.lit(PRIMES[m])).alias(s) for m, s in enumerate(_SUMS)]
+    sums = [F.when(F.col("_before").isNull(), F.col(s)).otherwise((F.col(f"_{s}") + F.col(s) * c.power(m, "coalesce(_before, 0L)")) % F.lit(PRIMES[m])).alias(s) for m, s in enumerate(_SUMS)]
     return both.select("conv_id", (F.col("i") + before).alias("i"), *sums, "h1", "h2", "n_chars"), starts.groupBy("conv_id").agg(F.sum("_n").alias("n"))
 
 
@@ -184,7 +184,7 @@ def prefix_trie(conversations: DataFrame, base: Column, head: Column, max_head:
         prefixes = passing(prefixes, "prefixes")
         members, lasts = rebuilt_prefixes(prefixes, passing(sizes, "sizes"), base, head, max_head, c)
         a, b = _key([F.col(s) for s in _SUMS])
-        pa_, pb = _key([F.pmod(F.col(s) - c.term(m, F.col("depth")), F.lit(PRIMES[m])) for m, s in enumerate(_SUMS)])
+        pa_, pb = _key([F.pmod(F.col(s) - c.term(m, "depth"), F.lit(PRIMES[m])) for m, s in enumerate(_SUMS)])
         members = members.select("conv_id", "depth", "last", a.alias("a"), b.alias("b"), pa_.alias("pa"), pb.alias("pb"), "h1", "h2", "n_chars")
         zero, none = F.lit(0).cast("long"), F.lit(None).cast("long")
         root = lasts.select("conv_id", zero.alias("depth"), "last", zero.alias("a"), zero.alias("b"), none.alias("pa"), none.alias("pb"), none.alias("h1"), none.alias("h2"), zero.alias("n_chars"))
