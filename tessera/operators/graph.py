@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -91,26 +91,46 @@ def build_nodes(ids: DataFrame, attributes: DataFrame) -> DataFrame:
     return ids.join(maps.withColumnRenamed("node", "id"), "id", "left").withColumn("attributes", F.coalesce("attributes", F.expr("map()").cast("map<string,string>")))
 
 
+def event_slug(event_type="event_type") -> Column:
+    """The type as it stands in keys and predicates: lower case, _ for blanks."""
+    return F.replace(F.lower(F.col(event_type)), F.lit(" "), F.lit("_"))
+
+
+def _anchored(events: DataFrame) -> DataFrame:
+    return events.where("anchor_entity != '' and event_type != ''")
+
+
 def event_sequence(events: DataFrame, seq: str = "seq") -> DataFrame:
-    """events(anchor_entity, event_type, ...) with attribute_key event_<type>_<n>."""
-    n = F.row_number().over(W.partitionBy("anchor_entity", "event_type").orderBy(seq))
-    return events.where("anchor_entity != '' and event_type != ''").withColumn("attribute_key", F.concat(F.lit("event_"), F.col("event_type"), F.lit("_"), n.cast("string")))
+    """events(anchor_entity, event_type, ...) with attribute_key event_<type>_<n>; types that differ in case share a numbering."""
+    n = F.row_number().over(W.partitionBy("anchor_entity", "_slug").orderBy(seq))
+    keyed = _anchored(events).withColumn("_slug", event_slug())
+    return keyed.withColumn("attribute_key", F.concat(F.lit("event_"), "_slug", F.lit("_"), n.cast("string"))).drop("_slug")
 
 
 def events_to_attributes(events: DataFrame, seq: str = "seq") -> DataFrame:
-    """(anchor_entity, attribute_key, value JSON): type, source and the last value of each role."""
-    roles = F.reverse(F.col("arguments"))
-    last = F.aggregate(roles, F.expr("cast(array() as array<struct<role:string,value:string>>)"), lambda acc, a: F.when(F.exists(acc, lambda x: x.role == a.role), acc).otherwise(F.array_append(acc, F.struct(a.role.alias("role"), a.value.alias("value")))))
-    entries = F.concat(F.array(F.struct(F.lit("event_type").alias("role"), F.col("event_type").alias("value"))), F.array_sort(last))
-    return event_sequence(events, seq).select("anchor_entity", "attribute_key", F.to_json(F.map_from_entries(entries)).alias("value"))
+    """(anchor_entity, attribute_key, value JSON): event_type, source_id ('' without one) and the last value of each role, keys ascending.
+
+    Values keep their type: those of value_type string are JSON strings, others JSON as they stand. Empty
+    and null roles are left out; a role named event_type or source_id takes that place; null arguments are
+    none; a null value is null.
+    """
+    text = lambda c: F.expr("cast({} as variant)".format(c))
+    args = F.expr("""transform(filter(coalesce(arguments, array()), a -> coalesce(a.role, '') <> ''), a -> named_struct('role', a.role, 'value',
+        coalesce(if(a.value_type = 'string', cast(a.value as variant), coalesce(try_parse_json(a.value), cast(a.value as variant))), parse_json('null'))))""")
+    own = [F.struct(F.lit("event_type").alias("role"), text("event_type").alias("value"))]
+    own.append(F.struct(F.lit("source_id").alias("role"), text("coalesce(cast(source_id as string), '')" if "source_id" in events.columns else "''").alias("value")))
+    keyed = event_sequence(events, seq).withColumn("_e", F.concat(F.array(*own), args))
+    last = F.expr("filter(_e, (x, i) -> not exists(slice(_e, i + 2, size(_e)), y -> y.role = x.role))")
+    ordered = F.array_sort(last, lambda x, y: F.when(x.role < y.role, -1).when(x.role > y.role, 1).otherwise(0))
+    return keyed.select("anchor_entity", "attribute_key", F.to_json(F.map_from_entries(ordered)).alias("value"))
 
 
 def events_to_edges(events: DataFrame) -> DataFrame:
-    """(src, predicate, dst): string arguments of at most 5 words become has_<type>_<role> edges."""
-    flat = events.where("anchor_entity != '' and event_type != ''").select("anchor_entity", "event_type", F.explode("arguments").alias("a"))
-    words = F.size(F.filter(F.split("a.value", r"\s+"), lambda w: w != ""))
-    ok = (F.col("a.value_type") == "string") & words.between(1, 5) & (F.lower("a.value") != F.lower("anchor_entity"))
-    return flat.where(ok).select(F.col("anchor_entity").alias("src"), F.concat(F.lit("has_"), F.col("event_type"), F.lit("_"), F.col("a.role")).alias("predicate"), F.col("a.value").alias("dst")).distinct()
+    """(src, predicate, dst): string arguments of 1 to 5 words, trimmed, become has_<type>_<role> edges; none to the anchor itself, in any case."""
+    flat = _anchored(events).select("anchor_entity", event_slug().alias("_slug"), F.explode("arguments").alias("a"))
+    flat = flat.where("a.role != '' and a.value_type = 'string'").select("anchor_entity", "_slug", F.col("a.role").alias("role"), F.regexp_replace("a.value", r"^\s+|\s+$", "").alias("dst"))
+    ok = F.size(F.filter(F.split("dst", r"\s+"), lambda w: w != "")).between(1, 5) & (F.lower("dst") != F.lower("anchor_entity"))
+    return flat.where(ok).select(F.col("anchor_entity").alias("src"), F.concat(F.lit("has_"), "_slug", F.lit("_"), "role").alias("predicate"), "dst").distinct()
 
 
 def event_gate(events: DataFrame, mapping: DataFrame, least: float = 0.9) -> DataFrame:

@@ -12,7 +12,7 @@ from ..operators import canon, evaluate, graph, links, provenance, quality, vect
 from ..sources import io
 from . import sql as D
 from .registry import oracle_sql, queries, query  # noqa: F401
-from .tables import LINKS, TRIPLES, derive, event_facts, plain, table, triples
+from .tables import LINKS, MIXED_EVENTS, TRIPLES, derive, event_facts, mixed_events, plain, table, triples
 from .tables import links as link_rows
 
 _T = f"WITH t AS ({plain(TRIPLES)}) "
@@ -228,19 +228,25 @@ def parse_event_props(spark, sf_dir):
     return e.select("event_id", S.coerce_confidence("k").alias("k"))
 
 
-@query("SELECT 'user_' || user_id AS anchor_entity, 'event_' || event_type || '_' || row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS attribute_key, event_type FROM events")
+_SLUG = "replace(lower(event_type), ' ', '_')"
+_KEYED = f"SELECT *, 'event_' || {_SLUG} || '_' || row_number() OVER (PARTITION BY anchor_entity, {_SLUG} ORDER BY seq) AS attribute_key FROM ({plain(MIXED_EVENTS)})"
+
+
+@query(f"SELECT anchor_entity, attribute_key, event_type FROM ({_KEYED})")
 def event_sequence(spark, sf_dir):
-    return graph.event_sequence(event_facts(spark, sf_dir)).select("anchor_entity", "attribute_key", "event_type")
+    return graph.event_sequence(mixed_events(spark, sf_dir)).select("anchor_entity", "attribute_key", "event_type")
 
 
-@query()
+@query(f"""SELECT anchor_entity, attribute_key, '{{' || CASE WHEN bare THEN '' ELSE '"channel":"' || channel || '",' END || '"event_type":"' || CASE WHEN overridden AND NOT bare THEN 'Other' ELSE event_type END || '",'
+    || CASE WHEN bare THEN '' ELSE '"k":' || k || ',"note":"' || note || '",' END || '"source_id":"' || coalesce(source_id, '') || '"}}' AS value FROM ({_KEYED})""")
 def event_attributes(spark, sf_dir):
-    return graph.events_to_attributes(event_facts(spark, sf_dir))
+    return graph.events_to_attributes(mixed_events(spark, sf_dir))
 
 
-@query("SELECT DISTINCT 'user_' || user_id AS src, 'has_' || event_type || '_channel' AS predicate, event_type AS dst FROM events")
+@query(f"""WITH e AS (SELECT * FROM ({plain(MIXED_EVENTS)}) WHERE NOT bare), a AS (SELECT *, 'channel' AS role, channel AS v FROM e UNION ALL SELECT *, 'channel', 'early' FROM e UNION ALL SELECT *, 'note', note FROM e UNION ALL SELECT *, 'event_type', 'Other' FROM e WHERE overridden)
+SELECT DISTINCT anchor_entity AS src, 'has_' || {_SLUG} || '_' || role AS predicate, trim(v) AS dst FROM a WHERE len(string_split(trim(v), ' ')) <= 5 AND lower(trim(v)) <> anchor_entity""")
 def event_edges(spark, sf_dir):
-    return graph.events_to_edges(event_facts(spark, sf_dir))
+    return graph.events_to_edges(mixed_events(spark, sf_dir))
 
 
 @query("WITH r AS (SELECT *, row_number() OVER (PARTITION BY event_type, user_id ORDER BY event_id) AS k FROM events WHERE event_type <> 'error') SELECT event_type, 'user_' || user_id AS anchor_entity, event_id AS seq FROM r WHERE k = 1")

@@ -61,6 +61,25 @@ def event_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("anchor_entity"), "event_type", args.alias("arguments"), F.lit(1.0).alias("confidence"), F.col("event_id").alias("seq"))
 
 
+#: Events as they come: types in either case, with blanks; values untrimmed, of six words, equal to the anchor; empty and null roles, a role named event_type, no arguments.
+MIXED_EVENTS = """
+SELECT event_id AS seq, concat('user_', CAST(user_id AS string)) AS anchor_entity,
+  CASE event_id % 4 WHEN 0 THEN concat(upper(substr(event_type, 1, 1)), substr(event_type, 2), ' Seen') WHEN 1 THEN concat(event_type, ' seen') ELSE event_type END AS event_type,
+  CASE WHEN event_id % 3 = 0 THEN concat('s', CAST(event_id % 5 AS string)) END AS source_id,
+  concat('  ', event_type, ' ') AS channel, CAST(event_id % 17 AS string) AS k, CASE WHEN event_id % 7 = 0 THEN 'one two three four five six' WHEN event_id % 7 < 3 THEN concat('User_', CAST(user_id AS string)) ELSE concat('Page ', CAST(event_id % 23 AS string)) END AS note,
+  event_id % 5 = 0 AS overridden, event_id % 11 = 0 AS bare
+FROM {events}
+"""
+
+
+def mixed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = derive(spark, sf_dir, MIXED_EVENTS)
+    arg = lambda role, value, kind: F.struct(F.lit(role).cast("string").alias("role"), value.alias("value"), F.lit(kind).alias("value_type"))
+    args = F.array(arg("channel", F.lit("early"), "string"), arg("k", F.col("k"), "number"), arg("channel", F.col("channel"), "string"), arg("", F.col("k"), "string"), arg(None, F.col("k"), "string"), arg("note", F.col("note"), "string"))
+    args = F.when(F.col("overridden"), F.array_append(args, arg("event_type", F.lit("Other"), "string"))).otherwise(args)
+    return e.select("seq", "anchor_entity", "event_type", "source_id", F.when(~F.col("bare"), args).alias("arguments"))
+
+
 def price_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claims of unit prices: ts is the ship date, cs follows the supplier."""
     li = table(spark, sf_dir, "lineitem")

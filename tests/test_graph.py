@@ -78,13 +78,30 @@ def test_flatten(spark):
 def test_events(spark):
     arg = "array<struct<role:string,value:string,value_type:string>>"
     ev = spark.createDataFrame([("A", "Launch", [("site", "Cape C", "string"), ("mass", "5", "number"), ("site", "A", "string")], 0.95, 1), ("A", "Launch", [("x", "a b c d e f", "string")], 0.5, 2), ("", "Launch", [], 1.0, 3)], f"anchor_entity string, event_type string, arguments {arg}, confidence double, seq int")
-    assert [r.attribute_key for r in graph.event_sequence(ev).orderBy("seq").collect()] == ["event_Launch_1", "event_Launch_2"]
-    assert {tuple(r) for r in graph.events_to_edges(ev).collect()} == {("A", "has_Launch_site", "Cape C")}
+    assert [r.attribute_key for r in graph.event_sequence(ev).orderBy("seq").collect()] == ["event_launch_1", "event_launch_2"]
+    assert {tuple(r) for r in graph.events_to_edges(ev).collect()} == {("A", "has_launch_site", "Cape C")}
     assert '"site":"A"' in graph.events_to_attributes(ev).orderBy("attribute_key").first().value
     m = spark.createDataFrame([("A", "Alpha")], "raw string, canonical string")
     assert [r.anchor_entity for r in graph.event_gate(ev, m).orderBy("seq").collect()] == ["Alpha", ""]
 
 
+def test_events_with_odd_roles_and_types(spark):
+    """Types that differ in case or blanks count together; empty and null roles go; a role may take the type's place; null arguments are none."""
+    arg = "array<struct<role:string,value:string,value_type:string>>"
+    rows = [
+        ("Sun", "Solar Flare", None, [("event_type", "burst", "string"), ("", "x", "string"), (None, "y", "string"), ("where", "  Mars ", "string"), ("peak", "5.50", "number"), ("seen", "true", "boolean"), ("none", None, "string")], 1),
+        ("Sun", "solar flare", "s1", None, 2), ("Sun", None, "s1", [], 3), (None, "x", "s1", [], 4), ("Sun", "SOLAR FLARE", "s2", [("where", "sun", "string"), ("where", " ", "string"), ("a", 'say "hi"', "string"), ("n", "oops", "number")], 5),
+    ]
+    ev = spark.createDataFrame(rows, f"anchor_entity string, event_type string, source_id string, arguments {arg}, seq int")
+    got = {r.attribute_key: r.value for r in graph.events_to_attributes(ev).collect()}
+    assert got == {
+        "event_solar_flare_1": '{"event_type":"burst","none":null,"peak":5.5,"seen":true,"source_id":"","where":"  Mars "}',
+        "event_solar_flare_2": '{"event_type":"solar flare","source_id":"s1"}',
+        "event_solar_flare_3": '{"a":"say \\"hi\\"","event_type":"SOLAR FLARE","n":"oops","source_id":"s2","where":" "}',
+    }
+    assert {tuple(r) for r in graph.events_to_edges(ev).collect()} == {("Sun", "has_solar_flare_event_type", "burst"), ("Sun", "has_solar_flare_where", "Mars"), ("Sun", "has_solar_flare_a", 'say "hi"')}
+
+
 def test_subgraph(spark):
     e = spark.createDataFrame([("a", "p", "b"), ("b", "p", "c"), ("c", "p", "a")], "src string, predicate string, dst string")
     got = {(r.node, tuple(r.path)) for r in graph.subgraph(e, spark.createDataFrame([("a",)], "id string"), 3).collect()}
