@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .literals import parse_literal_lists  # noqa: F401
 from .scores import relation_reject_reason
 from .text import col, preview
 
@@ -74,11 +75,6 @@ def parse_relation_map(responses: DataFrame) -> DataFrame:
     return rows.where("predicate != '' and object != ''")
 
 
-def parse_literal_lists(text) -> Column:
-    """A stringified list of records with single quotes; empty for null or malformed text."""
-    return F.coalesce(F.from_json(col(text), "array<map<string,string>>", {"allowSingleQuotes": "true"}), F.expr("array()").cast("array<map<string,string>>"))
-
-
 def facts_from_responses(responses: DataFrame, chunks: DataFrame, default: float = 0.5) -> dict[str, DataFrame]:
     """attributes, relations and events with text_id block_<i> and the first 200 characters of their chunk."""
     def with_source(df):

@@ -94,10 +94,21 @@ def unwrap_entity_names(spark, sf_dir):
     return derive(spark, sf_dir, _NAMES).select("id", parse.unwrap_entity_name("name").alias("name"))
 
 
-_LITERALS = "SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'P' THEN 'nan' WHEN o_orderstatus = 'F' THEN NULL ELSE concat('[{', chr(39), 'status', chr(39), ': ', chr(39), o_orderstatus, chr(39), ', ', chr(39), 'priority', chr(39), ': ', chr(39), o_orderpriority, chr(39), '}, {', chr(39), 'status', chr(39), ': ', chr(39), 'again', chr(39), '}]') END AS text FROM {orders}"
-
-
-@query(f"WITH r AS ({plain(_LITERALS)}), j AS (SELECT id, replace(text, chr(39), '\"') AS t FROM r), i AS (SELECT id, unnest(CAST(CASE WHEN t LIKE '[%' THEN t END AS json[])) AS i FROM j) SELECT id, json_extract_string(i, '$.status') AS status, json_extract_string(i, '$.priority') AS priority FROM i")
+#: Lists of records in the forms that a literal has: either quote, booleans, None, trailing commas, an apostrophe, numbers, tuples; nan, null and broken ones.
+_LITERALS = """SELECT o_orderkey AS id, CASE o_orderkey % 9
+    WHEN 0 THEN concat('[{', chr(39), 'status', chr(39), ': ', chr(39), o_orderstatus, chr(39), ', ', chr(39), 'priority', chr(39), ': ', chr(39), o_orderpriority, chr(39), '}, {', chr(39), 'status', chr(39), ': ', chr(39), 'again', chr(39), '}]')
+    WHEN 1 THEN concat('[{"status": True, ', chr(39), 'priority', chr(39), ': None}, {"status": False, "priority": "', o_orderpriority, '"},]')
+    WHEN 2 THEN concat('[ {', chr(39), 'status', chr(39), ' : "', o_orderstatus, chr(39), 's", ', chr(39), 'priority', chr(39), ': ', CAST(o_custkey AS string), ',}, ]')
+    WHEN 3 THEN concat('({', chr(39), 'status', chr(39), ': ', chr(39), 'a ', chr(92), chr(39), 'b', chr(92), chr(39), ' "c"', chr(39), ', ', chr(39), 'priority', chr(39), ': -', CAST(o_custkey AS string), '.25},)')
+    WHEN 4 THEN 'nan' WHEN 5 THEN NULL WHEN 6 THEN '[]' WHEN 7 THEN concat('[{', chr(39), 'status', chr(39), ': ', o_orderstatus) ELSE concat('[{"status": "', o_orderstatus, '"}] tail') END AS text, o_orderstatus, o_orderpriority, o_custkey
+FROM {orders}"""
+
+
+@query(f"""WITH r AS ({plain(_LITERALS)})
+SELECT id, o_orderstatus AS status, o_orderpriority AS priority FROM r WHERE id % 9 = 0 UNION ALL SELECT id, 'again', NULL FROM r WHERE id % 9 = 0
+UNION ALL SELECT id, 'true', NULL FROM r WHERE id % 9 = 1 UNION ALL SELECT id, 'false', o_orderpriority FROM r WHERE id % 9 = 1
+UNION ALL SELECT id, o_orderstatus || chr(39) || 's', CAST(o_custkey AS varchar) FROM r WHERE id % 9 = 2
+UNION ALL SELECT id, 'a ' || chr(39) || 'b' || chr(39) || ' "c"', '-' || o_custkey || '.25' FROM r WHERE id % 9 = 3""")
 def parse_literal_lists(spark, sf_dir):
     rows = derive(spark, sf_dir, _LITERALS).select("id", F.explode(parse.parse_literal_lists("text")).alias("m"))
     return rows.select("id", F.element_at("m", F.lit("status")).alias("status"), F.element_at("m", F.lit("priority")).alias("priority"))
