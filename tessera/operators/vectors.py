@@ -27,12 +27,49 @@ def sparse_embedding(terms: DataFrame, term: str = "term", dim: int = DIM) -> Da
     return summed.withColumn("w", F.col("w") / norm)
 
 
-def sparse_candidates(left: DataFrame, right: DataFrame, threshold: float, salts: int = 1) -> DataFrame:
-    """(a, b, score) with cosine >= threshold of left and right(term, idx, w), by a join of posting lists on idx. salts splits very common idx."""
-    l = left.select(F.col("term").alias("a"), "idx", F.col("w").alias("wa")).withColumn("s", F.pmod(F.xxhash64("a"), F.lit(salts)))
-    r = right.select(F.col("term").alias("b"), "idx", F.col("w").alias("wb")).withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    pairs = l.join(r, ["idx", "s"]).groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("score"))
-    return pairs.where(F.round("score", 9) >= threshold)
+def _indexed(side: DataFrame, name: str, rarity: DataFrame, threshold: float, equal: tuple[str, ...]) -> DataFrame:
+    """Entries of each vector's prefix with the norm of what follows: dimensions by rarity, up to where the rest alone is below the threshold."""
+    by = W.partitionBy("term").orderBy("_rare", "idx")
+    after = F.coalesce(F.sum(F.col("w") * F.col("w")).over(by.rowsBetween(1, W.unboundedFollowing)), F.lit(0.0))
+    ranked = side.join(rarity, "idx").withColumn("_after", F.sqrt(after))
+    rest = F.sqrt(F.col("_after") * F.col("_after") + F.col("w") * F.col("w"))
+    return ranked.where(rest >= threshold - 1e-6).select(F.col("term").alias(name), "idx", "_rare", F.col("w").alias(f"w{name}"), F.col("_after").alias(f"after_{name}"), *equal)
+
+
+def _vectors(side: DataFrame, name: str) -> DataFrame:
+    return side.groupBy("term").agg(F.map_from_entries(F.collect_list(F.struct("idx", "w"))).alias(f"v{name}")).withColumnRenamed("term", name)
+
+
+def prefix_matches(left: DataFrame, right: DataFrame, threshold: float, salts: int = 1, equal: tuple[str, ...] = (), heavy: int = 50_000) -> DataFrame:
+    """(a, b, idx, ...): what the prefixes of the vectors left and right(term, idx, w, equal) share."""
+    counts = left.select("idx").unionAll(right.select("idx")).groupBy("idx").agg(F.count("*").alias("_rare"))
+    l, r = _indexed(left, "a", counts, threshold, equal), _indexed(right, "b", counts, threshold, equal)
+    parts = F.greatest(F.lit(salts), F.ceil(F.col("_rare") / heavy)).cast("long")
+    l = l.withColumn("_s", F.pmod(F.xxhash64("a"), parts))
+    r = r.withColumn("_s", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("_rare")
+    return l.join(r, ["idx", "_s", *equal])
+
+
+def sparse_candidates(left: DataFrame, right: DataFrame, threshold: float, salts: int = 1, equal: tuple[str, ...] = (), heavy: int = 50_000) -> DataFrame:
+    """(a, b, score) with cosine >= threshold of the unit vectors left and right(term, idx, w), and equal values of the columns `equal`.
+
+    A prefix-filtered join. Dimensions are ordered by how many vectors have them, rare ones first, and a
+    vector's prefix ends where the norm of the rest falls below the threshold; two vectors as near as that
+    share a dimension of both prefixes, so a dimension that all have is met only where it matters. A pair
+    goes on if what its prefixes share, with the norm beyond them, can reach the threshold; its score is
+    then taken over the whole vectors. A dimension with over `heavy` entries is split by salt.
+
+    A term is one vector, with one value of each of `equal`; null values of these match nothing.
+    """
+    keep = ["term", "idx", "w", *equal]
+    left, right = left.select(*keep), right.select(*keep)
+    met = prefix_matches(left, right, threshold, salts, equal, heavy)
+    # beyond the last dimension that both prefixes have, the product is at most that of the norms of the rests
+    shared = met.groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("_part"), F.max_by(F.col("after_a") * F.col("after_b"), F.struct("_rare", "idx")).alias("_rest"))
+    likely = shared.where(F.col("_part") + F.col("_rest") >= threshold - 1e-6) if threshold > 0 else shared
+    both = likely.select("a", "b").join(_vectors(left, "a"), "a").join(_vectors(right, "b"), "b")
+    dot = F.aggregate(F.map_entries("va"), F.lit(0.0), lambda acc, e: acc + e.value * F.coalesce(F.try_element_at("vb", e.key), F.lit(0.0)))
+    return both.select("a", "b", dot.alias("score")).where(F.round("score", 9) >= threshold)
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -72,3 +72,13 @@ def register_pairs() -> None:
         terms = derive(spark, sf_dir, "SELECT p_type AS term FROM {part} UNION SELECT concat(p_type, ' ', p_brand) FROM {part}")
         vec = vectors.sparse_embedding(terms)
         return vectors.sparse_candidates(vec, vec, 0.4).where("a != b").withColumn("score", F.round("score", 6))
+
+    typed = "SELECT p_type AS meta, concat(p_type, ' ', p_brand) AS term FROM {part} UNION SELECT p_brand, concat(p_brand, ' ', p_type, ' ', p_name) FROM {part}"
+    w = oracle_sql()["hash_embed_terms"].replace("round(w / sqrt(sum(w * w) OVER (PARTITION BY term)), 6) AS w", "w / sqrt(sum(w * w) OVER (PARTITION BY term)) AS w").replace("SELECT DISTINCT p_name AS term FROM part", f"SELECT DISTINCT term FROM ({plain(typed)})")
+
+    @query(f"WITH v AS MATERIALIZED (SELECT v.*, meta FROM ({w}) v JOIN ({plain(typed)}) USING (term)) SELECT a.term AS a, b.term AS b, round(sum(a.w * b.w), 6) AS score FROM v a JOIN v b ON a.idx = b.idx AND a.meta = b.meta WHERE a.term < b.term GROUP BY 1, 2 HAVING round(sum(a.w * b.w), 9) >= 0.75")
+    def candidate_pairs_filtered(spark, sf_dir):
+        """Pairs of equal metadata only: of one type, or of one brand."""
+        terms = derive(spark, sf_dir, typed)
+        vec = vectors.sparse_embedding(terms).join(terms, "term")
+        return vectors.sparse_candidates(vec, vec, 0.75, equal=("meta",)).where("a < b").withColumn("score", F.round("score", 6))
