@@ -1,4 +1,4 @@
-"""Writing an intermediate table to the shared folder and reading it again."""
+"""Writing an intermediate table to the shared folder and reading it again, and deleting it."""
 
 from __future__ import annotations
 
@@ -21,9 +21,42 @@ def stage_root(spark: SparkSession) -> str:
     return root or spark.conf.get("spark.sql.warehouse.dir") + "/_staging"
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """df written to the shared folder and read again: cuts lineage."""
+def delete_path(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def stage(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """(df written to the shared folder and read again, its folder)."""
     spark = df.sparkSession
     path = f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """df written to the shared folder and read again: cuts lineage. The table stays."""
+    return stage(df, label)[0]
+
+
+class Staging:
+    """Tables staged for the length of a with block, or until they are dropped: once all made from them is written."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._tables = spark, []
+
+    def __call__(self, df: DataFrame, label: str) -> DataFrame:
+        self._tables.append(stage(df, label))
+        return self._tables[-1][0]
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table, path in self._tables:
+            if any(table is t for t in tables):
+                delete_path(self._spark, path)
+        self._tables = [x for x in self._tables if not any(x[0] is t for t in tables)]
+
+    def __enter__(self) -> "Staging":
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop(*[t for t, _ in self._tables])

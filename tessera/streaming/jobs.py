@@ -5,13 +5,17 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import scores as S
-from ..operators.graph import EDGE, fold_edge, upsert_nodes
+from ..operators.buckets import upsert
+from ..operators.graph import EDGE, fold_edge
 from ..operators.quality import signature
 
-_STATE = "edges array<struct<dst:string,status:string,is_contested:boolean,valid_from:double,valid_to:double,cs:double,ts:double>>"
+#: transformWithState keeps its state there.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_VALUES = ("status", "is_contested", "valid_from", "valid_to", "cs", "ts")
+_VALUE_TYPE = "status string, is_contested boolean, valid_from double, valid_to double, cs double, ts double"
 
 
 def stream_quality_gate(triples: DataFrame, least: float = 0.9, time: str = "ts", late: str = "1 hour") -> DataFrame:
@@ -21,31 +25,68 @@ def stream_quality_gate(triples: DataFrame, least: float = 0.9, time: str = "ts"
     return keyed.withWatermark(time, late).dropDuplicatesWithinWatermark(["_sig"]).drop("_sig")
 
 
-def stream_versioned_edges(claims: DataFrame) -> DataFrame:
-    """Edges of claims(src, predicate, dst, cs, ts, seq) after each batch, folded in order of seq within it. The state of a key is its targets."""
-    def fold(key, frames, state):
-        edges = {e[0]: dict(zip(("dst", "status", "is_contested", "valid_from", "valid_to", "cs", "ts"), e)) for e in (state.get[0] if state.exists else [])}
-        rows = pd.concat(list(frames)).sort_values("seq", kind="stable")
-        for dst, cs, ts in zip(rows["dst"], rows["cs"].fillna(0.0), rows["ts"].fillna(0.0)):
+class EdgeFold(StatefulProcessor):
+    """Folds the claims of a source and predicate; current and past edges are maps by target, of which only what changes is written.
+
+    A claim is weighed against the current edges alone, so past ones are looked up by their target and never
+    read as a whole.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.current = handle.getMapState("current", "dst string", _VALUE_TYPE)
+        self.past = handle.getMapState("past", "dst string", _VALUE_TYPE)
+
+    def _loaded(self, dst: str, values: tuple) -> dict:
+        return {"dst": dst} | dict(zip(_VALUES, values))
+
+    def handleInputRows(self, key, rows, timerValues):
+        claims = pd.concat(list(rows)).sort_values("seq", kind="stable")
+        edges = {k[0]: self._loaded(k[0], v) for k, v in self.current.iterator()}
+        before = {d: dict(e) for d, e in edges.items()}
+        for dst, cs, ts in zip(claims["dst"], claims["cs"].fillna(0.0), claims["ts"].fillna(0.0)):
+            if dst not in edges and self.past.containsKey((dst,)):
+                edges[dst] = self._loaded(dst, self.past.getValue((dst,)))
+                before[dst] = dict(edges[dst])
             fold_edge(edges, dst, float(cs), float(ts))
-        values = [(e["dst"], e["status"], bool(e["is_contested"]), e["valid_from"], e["valid_to"], e["cs"], e["ts"]) for e in edges.values()]
-        state.update((values,))
-        yield pd.DataFrame([(*key, *v) for v in values], columns=[x.split()[0] for x in EDGE.split(", ")])
+        out = []
+        for dst, e in edges.items():
+            if before.get(dst) == e:
+                continue
+            e["is_contested"] = bool(e["is_contested"])
+            value = tuple(e[v] for v in _VALUES)
+            into, other = (self.current, self.past) if e["status"] == "Current" else (self.past, self.current)
+            into.updateValue((dst,), value)
+            if dst in before and before[dst]["status"] != e["status"]:
+                other.removeKey((dst,))
+            out.append((*key, dst, *value))
+        yield pd.DataFrame(out, columns=[x.split()[0] for x in EDGE.split(", ")])
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        for r in initialState[["dst", *_VALUES]].itertuples(index=False):
+            value = tuple(None if pd.isna(v) else v for v in r[1:])
+            (self.current if r.status == "Current" else self.past).updateValue((r.dst,), value)
+
+    def close(self) -> None:
+        pass
+
+
+def stream_versioned_edges(claims: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """The edges that each batch of claims(src, predicate, dst, cs, ts, seq) changes, folded in order of seq within it over existing edges.
+
+    The last row of a (src, predicate, dst) is that edge's state. Needs the state store ROCKSDB.
+    """
     rows = claims.select("src", "predicate", "dst", F.col("cs").cast("double").alias("cs"), F.col("ts").cast("double").alias("ts"), "seq")
-    return rows.groupBy("src", "predicate").applyInPandasWithState(fold, EDGE, _STATE, "update", GroupStateTimeout.NoTimeout)
+    first = {} if existing is None else {"initialState": existing.groupBy("src", "predicate")}
+    return rows.groupBy("src", "predicate").transformWithStateInPandas(EdgeFold(), EDGE, "Update", "None", **first)
 
 
-def stream_upsert_graph(nodes: DataFrame, folder: str, checkpoint: str):
-    """Starts a query that upserts each batch of nodes(id, attributes, seq) into the table in folder, one subfolder a batch; the latest holds the graph.
+def stream_upsert_graph(nodes: DataFrame, folder: str, checkpoint: str, buckets: int = 64):
+    """Starts a query that upserts each batch of nodes(id, attributes, seq) into the bucketed table in folder (operators.buckets).
 
-    Of an id that a batch has several times the greatest seq wins; without a seq, the greatest attributes by their JSON.
+    A batch reads and writes the buckets of its ids. An attribute's greatest seq wins over all batches;
+    without a seq a later batch wins. A batch done twice gives the same.
     """
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        order = F.col("seq") if "seq" in batch.columns else F.to_json("attributes")
-        last = batch.groupBy("id").agg(F.max_by("attributes", order).alias("attributes"))
-        old = spark.read.parquet(f"{folder}/v{number - 1}") if number else spark.createDataFrame([], "id string, attributes map<string,string>")
-        upsert_nodes(old, last).write.mode("overwrite").parquet(f"{folder}/v{number}")
+        upsert(batch, folder, number, buckets)
 
     return nodes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
