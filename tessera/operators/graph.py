@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -188,45 +187,98 @@ def fold_edge(state: dict, dst: str, cs: float, ts: float, tolerance: float = 0.
     e["valid_from" if status == "Current" else "valid_to"] = ts
 
 
-def resolve_conflicts(claims: DataFrame, existing: DataFrame | None = None, seq: str = "seq") -> DataFrame:
-    """Versioned edges of claims(src, predicate, dst, cs, ts, seq), folded in order of seq as its type orders it, over existing edges.
+_EVENT = "array<struct<i:bigint,dst:string,status:string,is_contested:boolean,cs:double,ts:double,valid_from:double,valid_to:double>>"
+_CURRENT = "array<struct<dst:string,num:double,is_contested:boolean,cs:double,ts:double>>"
+_BLOCK = 256  # claims whose events are put together at once
 
-    Rows stream through each task in order of key and seq, after one shuffle; what is held is the state of
-    one key, its distinct targets, whatever the number of claims.
+
+def _let(value: str, name: str, body: str) -> str:
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _event(i, dst, status, contested, cs, ts, since, until) -> str:
+    return f"named_struct('i', {i}, 'dst', {dst}, 'status', '{status}', 'is_contested', {contested}, 'cs', {cs}, 'ts', {ts}, 'valid_from', {since}, 'valid_to', {until})"
+
+
+def _step(tolerance: float, close: float) -> str:
+    """acc(cur, ev) and claim c to the next acc: fold_edge over the current edges alone, with an event for each edge that it sets or retires."""
+    none = "cast(null as double)"
+    best = "array_max(transform(filter(acc.cur, e -> e.dst <> c.dst), e -> struct(e.cs, e.ts, e.dst, e.num)))"
+    near = f"abs(c.cs - b.cs) <= {close}D and coalesce(abs(c.num - b.num) / if(abs(b.num) > 1e-12D, abs(b.num), 1D) <= {tolerance}D, true)"
+    how = f"case when b is null then 'alone' when c.cs > b.cs and c.ts >= b.ts then 'better' when {near} then 'near' else 'worse' end"
+    own = lambda contested: f"named_struct('dst', c.dst, 'num', c.num, 'is_contested', {contested}, 'cs', c.cs, 'ts', c.ts)"
+    others = "filter(acc.cur, e -> e.dst <> c.dst)"
+    marked = f"transform({others}, e -> named_struct('dst', e.dst, 'num', e.num, 'is_contested', true, 'cs', e.cs, 'ts', e.ts))"
+    cur = f"case h when 'near' then concat({marked}, array({own('true')})) when 'worse' then {others} else array({own('false')}) end"
+    retired = f"transform({others}, e -> {_event('c.i', 'e.dst', 'History', 'e.is_contested', 'e.cs', 'e.ts', none, 'c.ts')})"
+    set_ = lambda status, contested, since, until: "array(" + _event("c.i", "c.dst", status, contested, "c.cs", "c.ts", since, until) + ")"
+    was = f"if(exists(acc.cur, e -> e.dst = c.dst), c.ts, {none})"
+    events = f"case h when 'alone' then {set_('Current', 'false', 'c.ts', none)} when 'better' then concat({retired}, {set_('Current', 'false', 'c.ts', was)}) when 'near' then {set_('Current', 'true', 'c.ts', none)} else {set_('History', 'false', none, 'c.ts')} end"
+    return _let(best, "b", _let(how, "h", f"named_struct('cur', {cur}, 'ev', concat(acc.ev, {events}))"))
+
+
+def _folded(runs: DataFrame, tolerance: float, close: float) -> DataFrame:
+    """runs(src, predicate, claims in order, cur) with cur after them and events ev."""
+    block = f"aggregate(part, named_struct('cur', whole.cur, 'ev', cast(array() as {_EVENT})), (acc, c) -> {_step(tolerance, close)})"
+    merged = _let(block, "r", "named_struct('cur', r.cur, 'ev', array_append(whole.ev, r.ev))")
+    parts = f"transform(sequence(0, (size(claims) - 1) div {_BLOCK}), j -> slice(claims, cast(j * {_BLOCK} + 1 as int), {_BLOCK}))"
+    out = runs.withColumn("_f", F.expr(f"aggregate({parts}, named_struct('cur', coalesce(cur, cast(array() as {_CURRENT})), 'ev', cast(array() as array<{_EVENT}>)), (whole, part) -> {merged})"))
+    return out.select("src", "predicate", F.col("_f.cur").alias("cur"), F.flatten("_f.ev").alias("ev"))
+
+
+def number_in(text: str) -> Column:
+    return F.nullif(F.regexp_extract(text, _NUMBER.pattern, 0), F.lit("")).cast("double")
+
+
+def split_touched(edges: DataFrame, claims: DataFrame, limit: int = 200_000) -> tuple[DataFrame, DataFrame]:
+    """edges of a (src, predicate) that claims have, and the others; without a shuffle of edges if the keys are at most limit, which are broadcast then."""
+    keys = claims.select("src", "predicate").distinct()
+    keys = F.broadcast(keys) if keys.limit(limit + 1).count() <= limit else keys
+    return edges.join(keys, ["src", "predicate"], "left_semi"), edges.join(keys, ["src", "predicate"], "left_anti")
+
+
+def resolve_conflicts(claims: DataFrame, existing: DataFrame | None = None, seq: str = "seq", tolerance: float = 0.03, close: float = 0.08, run: int = 100_000) -> DataFrame:
+    """Versioned edges of claims(src, predicate, dst, cs, ts, seq), folded in order of seq as its type orders it (ties by dst, cs, ts), over existing edges.
+
+    The rule is that of fold_edge. A claim is weighed against the current edges of its key, so these alone
+    are carried along an ordered array of the key's claims, in the JVM; each claim leaves events, of which
+    the last for an edge, with its last begin and end, are the result. A key of over `run` claims is folded
+    a run at a time. Existing edges of keys without a claim pass through, without a shuffle if the keys of
+    the claims are few enough to be broadcast.
     """
-    rows = claims.select("src", "predicate", "dst", F.coalesce("cs", F.lit(0.0)).alias("cs"), F.coalesce("ts", F.lit(0.0)).alias("ts"), F.lit(1).alias("_new"), F.col(seq).alias("_seq"), *[F.lit(None).cast(t).alias(c) for c, t in (("status", "string"), ("is_contested", "boolean"), ("valid_from", "double"), ("valid_to", "double"))])
+    rows = claims.select("src", "predicate", F.col(seq).alias("seq"), "dst", F.coalesce("cs", F.lit(0.0)).cast("double").alias("cs"), F.coalesce("ts", F.lit(0.0)).cast("double").alias("ts"))
+    key = ["src", "predicate"]
+    spark, untouched, events, carried = claims.sparkSession, None, None, None
     if existing is not None:
-        rows = rows.unionByName(existing.withColumns({"_new": F.lit(0), "_seq": F.lit(None).cast(claims.schema[seq].dataType)}))
-
-    def run(frames):
-        key, state, out = None, {}, []
-
-        def flush():
-            for e in state.values():
-                out.append((*key, e["dst"], e["status"], e["is_contested"], e["valid_from"], e["valid_to"], e["cs"], e["ts"]))
-
-        def frame():
-            return pd.DataFrame(out, columns=[x.split()[0] for x in EDGE.split(", ")]).astype({"is_contested": "boolean"})
-
-        for f in frames:
-            for src, pred, dst, cs, ts, new, status, contested, a, b in f[["src", "predicate", "dst", "cs", "ts", "_new", "status", "is_contested", "valid_from", "valid_to"]].itertuples(index=False):
-                if (src, pred) != key:
-                    if key is not None:
-                        flush()
-                    key, state = (src, pred), {}
-                if new:
-                    fold_edge(state, dst, cs, ts)
-                else:
-                    state[dst] = {"dst": dst, "status": status, "is_contested": bool(contested), "valid_from": None if pd.isna(a) else a, "valid_to": None if pd.isna(b) else b, "cs": cs, "ts": ts}
-            if len(out) > 20_000:
-                yield frame()
-                out.clear()
-        if key is not None:
-            flush()
-        if out:
-            yield frame()
-
-    return rows.repartition("src", "predicate").sortWithinPartitions("src", "predicate", "_new", "_seq").mapInPandas(run, EDGE)
+        old, untouched = split_touched(existing, claims)
+        events = old.select(*key, F.lit(-1).cast("bigint").alias("i"), "dst", "status", "is_contested", "cs", "ts", "valid_from", "valid_to", F.lit(False).alias("_now"))
+        carried = old.where("status = 'Current'").groupBy(*key).agg(F.collect_list(F.struct("dst", number_in("dst").alias("num"), F.coalesce("is_contested", F.lit(False)).alias("is_contested"), "cs", "ts")).alias("cur"))
+    longest = rows.groupBy(*key).count().agg(F.max("count")).first()[0] or 0
+    rounds = -(-longest // run)
+    if rounds > 1:
+        rows = staged(rows.withColumn("_run", F.floor((F.row_number().over(W.partitionBy(*key).orderBy("seq", "dst", "cs", "ts")) - 1) / run).cast("int")), "claim-runs")
+    for r in range(max(rounds, 1)):
+        some = rows.where(F.col("_run") == r) if rounds > 1 else rows
+        lists = some.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("seq", "dst", "cs", "ts"))).alias("_l"))
+        claims_of = F.transform("_l", lambda c, j: F.struct((F.lit(r * run) + j).cast("bigint").alias("i"), c.dst.alias("dst"), number_in(c.dst).alias("num"), c.cs.alias("cs"), c.ts.alias("ts")))
+        runs = lists.select(*key, claims_of.alias("claims"))
+        runs = runs.join(carried, key, "left") if carried is not None else runs.withColumn("cur", F.lit(None).cast(_CURRENT))
+        done = _folded(runs, tolerance, close)
+        if rounds > 1:
+            done = staged(done, "folded-run")
+            after = done.select(*key, "cur")
+            carried = after if carried is None else staged(carried.join(after.select(*key), key, "left_anti").unionByName(after), "carried")
+        none = F.lit(None).cast("double")
+        made = done.select(*key, F.inline("ev")).withColumn("_now", F.lit(False))
+        # a current edge may have become contested since the claim that set it
+        now = done.select(*key, F.inline("cur")).select(*key, F.lit((r + 1) * run - 1).cast("bigint").alias("i"), "dst", F.lit("Current").alias("status"), "is_contested", "cs", "ts", none.alias("valid_from"), none.alias("valid_to"), F.lit(True).alias("_now"))
+        made = made.unionByName(now)
+        events = made if events is None else events.unionByName(made)
+    latest = F.max_by(F.struct("status", "is_contested", "cs", "ts"), F.struct("i", "_now"))
+    since, until = (F.max_by(c, F.when(F.col(c).isNotNull(), F.col("i"))) for c in ("valid_from", "valid_to"))
+    last = events.groupBy(*key, "dst").agg(latest.alias("_e"), since.alias("valid_from"), until.alias("valid_to"))
+    out = last.select(*key, "dst", "_e.status", "_e.is_contested", "valid_from", "valid_to", "_e.cs", "_e.ts")
+    return out.unionByName(untouched.select(*out.columns)) if untouched is not None else out
 
 
 def current_view(edges: DataFrame) -> DataFrame:

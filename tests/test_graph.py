@@ -44,6 +44,37 @@ def test_fold_table_equals_scan(spark):
     assert graph.current_view(step).count() + graph.history_view(step).count() == step.count() and graph.contested_view(step).count() > 0
 
 
+@pytest.mark.parametrize("run", [9, 300])
+def test_fold_in_runs_equals_scan(spark, run):
+    """A key's claims cut into runs, which carry the current edges, over existing edges of it and of keys without claims."""
+    rng = random.Random(run)
+    claims = [(f"s{rng.randint(0, 1)}", "p", rng.choice(["1 m", "1.01 m", "1.02 m", "2 m", "red", "1e3 m", "-.5"]), rng.choice([0.5, 0.55, 0.6, 0.9]), float(rng.randint(0, 9)), i) for i in range(60)]
+    before = [("s0", "p", "1 m", 0.8, 4.0, 1), ("s0", "p", "red", 0.75, 4.0, 2), ("s0", "p", "gone", 0.1, 1.0, 3), ("other", "p", "x", 0.5, 1.0, 4)]
+    old = graph.resolve_conflicts(spark.createDataFrame(before, CLAIM))
+    got = {((r.src, r.predicate), r.dst, r.status, r.is_contested, r.valid_from, r.valid_to) for r in graph.resolve_conflicts(spark.createDataFrame(claims, CLAIM), old, run=run).collect()}
+    assert got == {(k, *e) for k in {c[:2] for c in claims + before} for e in fold([c for c in before + claims if c[:2] == k])}
+
+
+def test_fold_of_many_claims_of_one_key(spark):
+    """30,000 claims of one key and 3,000 targets: events by blocks, nothing is held by Python."""
+    claims = spark.range(30_000).selectExpr("'a' as src", "'p' as predicate", "concat(id * 7 % 3000, ' km') as dst", "cast(id % 97 as double) / 100 as cs", "cast(id as double) as ts", "id as seq")
+    rows = claims.collect()
+    got = {(r.dst, r.status, r.is_contested, r.valid_from, r.valid_to) for r in graph.resolve_conflicts(claims).collect()}
+    assert got == fold([tuple(r) for r in rows])
+
+
+def test_edges_without_claims_are_not_shuffled(spark, tmp_path):
+    old = graph.resolve_conflicts(spark.createDataFrame([(f"s{i}", "p", "x", 0.5, 1.0, i) for i in range(100)], CLAIM))
+    old.write.parquet(f"file://{tmp_path}/edges")
+    claims = spark.createDataFrame([("s1", "p", "y", 0.9, 2.0, 1)], CLAIM)
+    touched, rest = graph.split_touched(spark.read.parquet(f"file://{tmp_path}/edges"), claims)
+    assert (touched.count(), rest.count()) == (1, 99)
+    lines = rest._jdf.queryExecution().executedPlan().toString().split("\n")
+    join = next(i for i, x in enumerate(lines) if "BroadcastHashJoin" in x and "LeftAnti" in x and "BuildRight" in x)
+    above_scan = lines[join : next(i for i, x in enumerate(lines) if "FileScan parquet" in x)]
+    assert not any("Exchange hashpartitioning" in x for x in above_scan)
+
+
 def test_fold_orders_numbers_as_numbers(spark):
     rows = [("a", "p", "x", 0.5, 1.0, 2), ("a", "p", "y", 0.9, 2.0, 10), ("a", "p", "z", 0.95, 3.0, 100)]
     got = {r.dst: (r.status, r.valid_to) for r in graph.resolve_conflicts(spark.createDataFrame(rows, CLAIM)).collect()}
