@@ -187,7 +187,7 @@ def fold_edge(state: dict, dst: str, cs: float, ts: float, tolerance: float = 0.
     e["valid_from" if status == "Current" else "valid_to"] = ts
 
 
-_EVENT = "array<struct<i:bigint,dst:string,status:string,is_contested:boolean,cs:double,ts:double,valid_from:double,valid_to:double>>"
+_EVENT = "array<struct<at:bigint,dst:string,is_current:boolean,is_contested:boolean,cs:double,ts:double,valid_from:double,valid_to:double>>"
 _CURRENT = "array<struct<dst:string,num:double,is_contested:boolean,cs:double,ts:double>>"
 _BLOCK = 256  # claims whose events are put together at once
 
@@ -197,7 +197,7 @@ def _let(value: str, name: str, body: str) -> str:
 
 
 def _event(i, dst, status, contested, cs, ts, since, until) -> str:
-    return f"named_struct('i', {i}, 'dst', {dst}, 'status', '{status}', 'is_contested', {contested}, 'cs', {cs}, 'ts', {ts}, 'valid_from', {since}, 'valid_to', {until})"
+    return f"named_struct('at', {i} * 2, 'dst', {dst}, 'is_current', {str(status == 'Current').lower()}, 'is_contested', {contested}, 'cs', {cs}, 'ts', {ts}, 'valid_from', {since}, 'valid_to', {until})"
 
 
 def _step(tolerance: float, close: float) -> str:
@@ -248,16 +248,20 @@ def resolve_conflicts(claims: DataFrame, existing: DataFrame | None = None, seq:
     """
     rows = claims.select("src", "predicate", F.col(seq).alias("seq"), "dst", F.coalesce("cs", F.lit(0.0)).cast("double").alias("cs"), F.coalesce("ts", F.lit(0.0)).cast("double").alias("ts"))
     key = ["src", "predicate"]
-    spark, untouched, events, carried = claims.sparkSession, None, None, None
+    untouched = events = carried = earlier = None
+    none = F.lit(None).cast("double")
     if existing is not None:
         old, untouched = split_touched(existing, claims)
-        events = old.select(*key, F.lit(-1).cast("bigint").alias("i"), "dst", "status", "is_contested", "cs", "ts", "valid_from", "valid_to", F.lit(False).alias("_now"))
-        carried = old.where("status = 'Current'").groupBy(*key).agg(F.collect_list(F.struct("dst", number_in("dst").alias("num"), F.coalesce("is_contested", F.lit(False)).alias("is_contested"), "cs", "ts")).alias("cur"))
+        current = F.col("status") == "Current"
+        contested = F.coalesce("is_contested", F.lit(False)).alias("is_contested")
+        event = F.struct(F.lit(-1).cast("bigint").alias("at"), "dst", current.alias("is_current"), contested, "cs", "ts", "valid_from", "valid_to")
+        old = old.groupBy(*key).agg(F.collect_list(F.when(current, F.struct("dst", number_in("dst").alias("num"), contested, "cs", "ts"))).alias("cur"), F.collect_list(event).alias("ev"))
+        carried, earlier = old.select(*key, "cur"), old
     longest = rows.groupBy(*key).count().agg(F.max("count")).first()[0] or 0
-    rounds = -(-longest // run)
+    rounds = max(1, -(-longest // run))
     if rounds > 1:
         rows = staged(rows.withColumn("_run", F.floor((F.row_number().over(W.partitionBy(*key).orderBy("seq", "dst", "cs", "ts")) - 1) / run).cast("int")), "claim-runs")
-    for r in range(max(rounds, 1)):
+    for r in range(rounds):
         some = rows.where(F.col("_run") == r) if rounds > 1 else rows
         lists = some.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("seq", "dst", "cs", "ts"))).alias("_l"))
         claims_of = F.transform("_l", lambda c, j: F.struct((F.lit(r * run) + j).cast("bigint").alias("i"), c.dst.alias("dst"), number_in(c.dst).alias("num"), c.cs.alias("cs"), c.ts.alias("ts")))
@@ -268,16 +272,18 @@ def resolve_conflicts(claims: DataFrame, existing: DataFrame | None = None, seq:
             done = staged(done, "folded-run")
             after = done.select(*key, "cur")
             carried = after if carried is None else staged(carried.join(after.select(*key), key, "left_anti").unionByName(after), "carried")
-        none = F.lit(None).cast("double")
-        made = done.select(*key, F.inline("ev")).withColumn("_now", F.lit(False))
         # a current edge may have become contested since the claim that set it
-        now = done.select(*key, F.inline("cur")).select(*key, F.lit((r + 1) * run - 1).cast("bigint").alias("i"), "dst", F.lit("Current").alias("status"), "is_contested", "cs", "ts", none.alias("valid_from"), none.alias("valid_to"), F.lit(True).alias("_now"))
-        made = made.unionByName(now)
+        last = F.lit(2 * ((r + 1) * run - 1) + 1).cast("bigint")
+        now = F.transform("cur", lambda e: F.struct(last.alias("at"), e.dst.alias("dst"), F.lit(True).alias("is_current"), e.is_contested.alias("is_contested"), e.cs.alias("cs"), e.ts.alias("ts"), none.alias("valid_from"), none.alias("valid_to")))
+        every = done.withColumn("ev", F.concat("ev", now))
+        if earlier is not None and r == 0:
+            every = every.join(earlier.select(*key, F.col("ev").alias("_old")), key, "left").withColumn("ev", F.concat(F.coalesce("_old", F.expr(f"cast(array() as {_EVENT})")), "ev"))
+        made = every.select(*key, F.inline("ev"))
         events = made if events is None else events.unionByName(made)
-    latest = F.max_by(F.struct("status", "is_contested", "cs", "ts"), F.struct("i", "_now"))
-    since, until = (F.max_by(c, F.when(F.col(c).isNotNull(), F.col("i"))) for c in ("valid_from", "valid_to"))
-    last = events.groupBy(*key, "dst").agg(latest.alias("_e"), since.alias("valid_from"), until.alias("valid_to"))
-    out = last.select(*key, "dst", "_e.status", "_e.is_contested", "valid_from", "valid_to", "_e.cs", "_e.ts")
+    state = [F.max_by(c, "at").alias(c) for c in ("is_current", "is_contested", "cs", "ts")]
+    times = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("at"))).alias(c) for c in ("valid_from", "valid_to")]
+    last = events.groupBy(*key, "dst").agg(*state, *times)
+    out = last.select(*key, "dst", F.when(F.col("is_current"), "Current").otherwise("History").alias("status"), "is_contested", "valid_from", "valid_to", "cs", "ts")
     return out.unionByName(untouched.select(*out.columns)) if untouched is not None else out
 
 
