@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.text import slugify, to_camel_case, to_pascal_case
+from .components import connected_components
 from .stage import staged
 from .vectors import sparse_candidates, sparse_embedding
 
@@ -125,25 +126,36 @@ def judge_requests(requests: DataFrame, judge: Callable[[str, str, list], str |
     return keyed.join(once.mapInPandas(run, "_key string, choice string"), "_key").drop("_key")
 
 
-def canonicalize_terms(terms: DataFrame, threshold: float = 0.7, k: int = 5, judge: Callable | None = None, term_type: str = "entity", max_rounds: int | None = None) -> DataFrame:
-    """(raw, canonical) of terms(term, n): greedy leaders in order of frequency, then name.
+_DECIDED = "term string, leader string"
 
-    A term joins a leader that comes before it and is accepted, else leads itself. It is decided once all
-    accepted terms before it are, so terms that don't touch are decided in one round; the result is that of
-    the greedy scan. Without a judge the leader with an equal slug, else the nearest, is taken. Rounds go on
-    until no term is left, as each decides one at least; with max_rounds, terms left after it are an error.
-    """
-    vec = sparse_embedding(terms)
-    order = terms.select("term", F.struct((-F.col("n")).alias("n"), "term").alias("o"))
-    pairs = sparse_candidates(vec, vec, threshold).where("a != b")
-    pairs = pairs.join(order.select(F.col("term").alias("a"), F.col("o").alias("oa")), "a").join(order.select(F.col("term").alias("b"), F.col("o").alias("ob")), "b").where("ob < oa")
-    pairs = staged(pairs.select("a", "b", F.round("score", 9).alias("score"), (slugify("a") == slugify("b")).alias("same"), "ob"), "accepted-pairs")
-    done = staged(terms.select("term").join(pairs.select(F.col("a").alias("term")), "term", "left_anti").select("term", F.col("term").alias("leader")), "decided")
+
+def _greedy(judge: Callable | None, term_type: str, k: int):
+    """The greedy scan over the accepted pairs of one group."""
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        near: dict[str, list] = {}
+        for a, b, score, same, n in zip(frame["a"], frame["b"], frame["score"], frame["same"], frame["n_b"]):
+            near.setdefault(a, []).append((same, score, n, b))
+        count_of = dict(zip(frame["a"], frame["n_a"]))
+        leader: dict[str, str] = {}
+        for a in sorted(near, key=lambda t: (-count_of[t], t)):
+            # what is before it and has no pair of its own leads itself
+            options = [x[3] for x in sorted((x for x in near[a] if leader.get(x[3], x[3]) == x[3]), reverse=True)[:k]]
+            pick = (options[0] if options else None) if judge is None else judge(term_type, a, sorted(options))
+            leader[a] = pick if pick in options else a
+        return pd.DataFrame({"term": list(leader), "leader": list(leader.values())})
+
+    return run
+
+
+def _in_rounds(terms: DataFrame, pairs: DataFrame, k: int, judge: Callable | None, term_type: str, max_rounds: int | None) -> DataFrame:
+    """(term, leader) of the terms of pairs, those whose earlier terms are all decided at a time."""
+    done = staged(terms.join(pairs.select(F.col("a").alias("term")), "term", "left_anti").select("term", F.col("term").alias("leader")), "decided")
     for n in count():
         left = pairs.join(done.select(F.col("term").alias("a")), "a", "left_anti")
         seen = left.join(done.select(F.col("term").alias("b"), "leader"), "b", "left")
         # a leader is its own leader; a decided member is no candidate
-        per = seen.groupBy("a").agg(F.count_if(F.col("leader").isNull()).alias("open"), F.slice(F.sort_array(F.collect_list(F.when(F.col("leader") == F.col("b"), F.struct("same", "score", (-F.col("ob.n")).alias("n"), F.col("b")))), asc=False), 1, k).alias("c"))
+        options = F.sort_array(F.collect_list(F.when(F.col("leader") == F.col("b"), F.struct("same", "score", "n_b", F.col("b")))), asc=False)
+        per = seen.groupBy("a").agg(F.count_if(F.col("leader").isNull()).alias("open"), F.slice(options, 1, k).alias("c"))
         ready = per.where("open = 0").select(F.col("a").alias("term"), F.transform("c", lambda x: x.b).alias("candidates"))
         if judge is None:
             new = ready.select("term", F.coalesce(F.get("candidates", F.lit(0)), "term").alias("leader"))
@@ -151,11 +163,40 @@ def canonicalize_terms(terms: DataFrame, threshold: float = 0.7, k: int = 5, jud
             new = judge_requests(ready.withColumn("term_type", F.lit(term_type)), judge).select("term", F.coalesce("choice", "term").alias("leader"))
         new = staged(new, "decided-now")
         if new.isEmpty():
-            break
+            return done
         if n == max_rounds:
             raise RuntimeError("canonicalize_terms did not settle")
         done = staged(done.union(new), "decided")
-    return done.select(F.col("term").alias("raw"), F.col("leader").alias("canonical"))
+
+
+def canonicalize_terms(terms: DataFrame, threshold: float = 0.7, k: int = 5, judge: Callable | None = None, term_type: str = "entity", max_rounds: int | None = None, group_pairs: int = 200_000) -> DataFrame:
+    """(raw, canonical) of terms(term, n): greedy leaders in order of frequency, then name.
+
+    A term joins a leader that comes before it and is accepted, else leads itself. Without a judge the
+    leader with an equal slug, else the nearest, is taken. The scan of one connected component of accepted
+    pairs doesn't touch another, so each of up to group_pairs pairs is scanned in one pass over its pairs;
+    without a judge, fewer pairs than that in all are one group. Greater components are decided in rounds,
+    each term once all accepted terms before it are; with max_rounds, terms left after it are an error.
+    """
+    vec = sparse_embedding(terms)
+    order = terms.select("term", F.struct((-F.col("n")).alias("n"), "term").alias("o"))
+    pairs = sparse_candidates(vec, vec, threshold).where("a != b")
+    pairs = pairs.join(order.select(F.col("term").alias("a"), F.col("o").alias("oa")), "a").join(order.select(F.col("term").alias("b"), F.col("o").alias("ob")), "b").where("ob < oa")
+    pairs = staged(pairs.select("a", "b", F.round("score", 9).alias("score"), (slugify("a") == slugify("b")).alias("same"), (-F.col("oa.n")).alias("n_a"), (-F.col("ob.n")).alias("n_b")), "accepted-pairs")
+    alone = terms.join(pairs.select(F.col("a").alias("term")), "term", "left_anti").select("term", F.col("term").alias("leader"))
+    if judge is None and pairs.limit(group_pairs + 1).count() <= group_pairs:
+        decided = pairs.groupBy(F.lit(0).alias("component")).applyInPandas(_greedy(None, term_type, k), _DECIDED)
+        return alone.union(decided).select(F.col("term").alias("raw"), F.col("leader").alias("canonical"))
+    part = connected_components(pairs.select(F.col("a").alias("x"), F.col("b").alias("y")))
+    tagged = pairs.join(part.withColumnRenamed("vertex", "a"), "a")
+    great = staged(tagged.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > group_pairs).select("component"), "great-components")
+    decided = tagged.join(great, "component", "left_anti").groupBy("component").applyInPandas(_greedy(judge, term_type, k), _DECIDED)
+    if not great.isEmpty():
+        rest = staged(tagged.join(great, "component", "left_semi").drop("component"), "great-pairs")
+        members = part.join(great, "component", "left_semi").select(F.col("vertex").alias("term"))
+        ranked = _in_rounds(members, rest, k, judge, term_type, max_rounds)
+        decided = decided.union(ranked.join(alone.select("term"), "term", "left_anti"))
+    return alone.union(decided).select(F.col("term").alias("raw"), F.col("leader").alias("canonical"))
 
 
 def incremental_mapping(terms: DataFrame, mappings: DataFrame, **options) -> DataFrame:

@@ -169,7 +169,38 @@ def test_canonicalize_long_cluster(spark):
     loose = dict(judge=lambda kind, term, options: None)
     assert {r.raw for r in canon.canonicalize_terms(terms, 0.1, **loose).collect()} == {r.term for r in terms.collect()}
     with pytest.raises(RuntimeError):
-        canon.canonicalize_terms(terms, 0.1, max_rounds=2, **loose)
+        canon.canonicalize_terms(terms, 0.1, max_rounds=2, group_pairs=10, **loose)
+
+
+@pytest.mark.parametrize("bound", [0, 3, 10_000])
+def test_canonicalize_by_components(spark, bound):
+    """The greedy scan, by rounds for every component, for greater ones, or for none; with a judge and without."""
+    rng = random.Random(3)
+    terms = {" ".join(rng.choice("ab cd ef gh ij kl mn op".split()) for _ in range(rng.randint(1, 4))): rng.randint(1, 9) for _ in range(40)}
+    df = spark.createDataFrame(list(terms.items()), "term string, n long")
+    vec = vectors.sparse_embedding(df)
+    near = {(r.a, r.b): round(r.score, 9) for r in vectors.sparse_candidates(vec, vec, 0.0).collect()}
+    assert {r.raw: r.canonical for r in canon.canonicalize_terms(df, 0.6, group_pairs=bound).collect()} == greedy(terms, near, 0.6)
+    first = lambda kind, term, options: options[0] if options else None
+    want: dict = {}
+    for t in sorted(terms, key=lambda t: (-terms[t], t)):
+        options = sorted(x for x in want if want[x] == x and near.get((t, x), -1) >= 0.6)
+        want[t] = options[0] if options else t
+    assert {r.raw: r.canonical for r in canon.canonicalize_terms(df, 0.6, k=100, judge=first, group_pairs=bound).collect()} == want
+
+
+def test_components_of_chains_and_stars(spark, monkeypatch):
+    """A chain of 1,000 vertices takes under 30 staged tables; a star, a pair, loops and repeats are as they are."""
+    from tessera.operators import components, stage
+
+    edges = [(f"v{i:04d}", f"v{i + 1:04d}") for i in range(999)] + [("hub", f"s{i}") for i in range(50)] + [("p", "q"), ("q", "p"), ("p", "q"), ("own", "own"), ("own", None)]
+    made, real = [], stage.stage
+    monkeypatch.setattr(stage, "stage", lambda df, label: made.append(label) or real(df, label))
+    got = {}
+    for r in components.connected_components(spark.createDataFrame(edges, "x string, y string")).collect():
+        got.setdefault(r.component, set()).add(r.vertex)
+    assert sorted(map(len, got.values())) == [1, 2, 51, 1000]
+    assert len(made) < 30
 
 
 def test_mapping_tools(spark):
