@@ -305,12 +305,6 @@ def append_definitions(spark, sf_dir):
     return canon.append_definitions(attrs, table(spark, sf_dir, "nation").select(F.col("n_name").alias("entity"), F.lit("a nation").alias("definition")).distinct())
 
 
-@query()
-def canonicalize_terms(spark, sf_dir):
-    terms = table(spark, sf_dir, "part").groupBy(F.col("p_name").alias("term")).agg(F.count("*").alias("n"))
-    return canon.canonicalize_terms(terms, threshold=0.5)
-
-
 # --- vectors -------------------------------------------------------------------------------------
 @query("""WITH RECURSIVE t AS (SELECT DISTINCT p_name AS term FROM part), k AS (SELECT term, row_number() OVER () AS id, tok FROM (SELECT term, unnest(regexp_extract_all(lower(term), '[a-z0-9_]+')) AS tok FROM t)),
 h(term, id, tok, i, h) AS (SELECT term, id, tok, 1, 2166136261::bigint FROM k UNION ALL SELECT term, id, tok, i + 1, ((xor(h, unicode(tok[i:i])::bigint)) * 16777619) % 4294967296 FROM h WHERE i <= length(tok)),
@@ -382,5 +376,7 @@ def enrich_for_conflicts(spark, sf_dir):
 
 # The other modules of queries register theirs when they are imported.
 from . import extraction, streams, structured  # noqa: E402, F401
+from . import naming  # noqa: E402
 
 streams.register_pairs()
+naming.register()

@@ -191,14 +191,6 @@ def judge_requests(spark, sf_dir):
     return canon.judge_requests(r.withColumn("candidates", c), lambda kind, term, options: min(options)).select("id", "choice")
 
 
-@query(f"WITH t AS (SELECT p_type AS term, count(*) AS n FROM part GROUP BY 1) SELECT 'entity' AS term_type, term AS raw, term AS canonical FROM t WHERE term NOT IN (SELECT p_type FROM part WHERE p_size > 45) UNION ALL SELECT DISTINCT 'entity', p_type, 'KNOWN' FROM part WHERE p_size > 45")
-def incremental_mapping(spark, sf_dir):
-    """Types are one word each, so new ones that share no token lead themselves."""
-    terms = table(spark, sf_dir, "part").groupBy(F.lit("entity").alias("term_type"), F.col("p_type").alias("term")).agg(F.count("*").alias("n"))
-    known = derive(spark, sf_dir, "SELECT DISTINCT 'entity' AS term_type, p_type AS raw, 'KNOWN' AS canonical FROM {part} WHERE p_size > 45")
-    return canon.incremental_mapping(terms, known, threshold=0.9)
-
-
 # --- graph ---------------------------------------------------------------------------------------
 _EDGES = "SELECT s_name AS subject, 'basedIn' AS predicate, n_name AS object, s_suppkey AS seq, s_acctbal AS confidence, map('since', CAST(s_suppkey AS string), 'confidence', 'own') AS attributes FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey UNION ALL SELECT n_name, 'in', CASE WHEN n_nationkey = 3 THEN n_name ELSE r_name END, 100000000 + n_nationkey, 1.5, CAST(NULL AS map<string,string>) FROM {nation} JOIN {region} ON n_regionkey = r_regionkey"
 
