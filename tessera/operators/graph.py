@@ -42,16 +42,37 @@ def build_edges(triples: DataFrame, props: tuple[str, ...] = (), seq: str = "seq
     return dedupe_triples(triples, seq).select(F.col("subject").alias("src"), "predicate", F.col("object").alias("dst"), own.alias("props"))
 
 
+def object_depth(json: str) -> Column:
+    """How deep objects lie within objects in a JSON text; those in lists don't count. 0 for other texts."""
+    marks = F.split(F.regexp_replace(json, r'(?s)"(?:[^"\\\\]|\\\\.)*"|[^{}\[\]]', ""), "")
+    zero = F.struct(F.lit(0).alias("lists"), F.lit(0).alias("now"), F.lit(0).alias("most"))
+    shift = lambda x, up, down: F.when(x == up, 1).when(x == down, -1).otherwise(0)
+
+    def step(acc, x):
+        now = acc.now + F.when(acc.lists == 0, shift(x, "{", "}")).otherwise(0)
+        return F.struct((acc.lists + shift(x, "[", "]")).alias("lists"), now.alias("now"), F.greatest(acc.most, now).alias("most"))
+
+    return F.when(F.ltrim(json).startswith("{"), F.aggregate(marks, zero, step, lambda acc: acc.most)).otherwise(0)
+
+
+def flatten_variants(payloads: DataFrame) -> DataFrame:
+    """payloads(entity, key, json) to (entity, key, value variant): nested objects become a_b keys, other values keep their type.
+
+    A text that is no object, or no JSON, is a string as it stands; an empty object has no row. All levels
+    are one pass without a shuffle: objects open into their entries as often as the deepest text needs.
+    """
+    rows = payloads.select("entity", "key", F.expr("coalesce(if(startswith(ltrim(json), '{'), try_parse_json(json), null), cast(json as variant))").alias("value"))
+    depth = payloads.agg(F.max(object_depth(F.col("json")))).first()[0] or 0
+    for _ in range(depth):
+        opened = "if(startswith(schema_of_variant(value), 'OBJECT'), map_entries(cast(value as map<string,variant>)), array(named_struct('key', cast(null as string), 'value', value)))"
+        rows = rows.select("entity", F.col("key").alias("_k"), F.explode(F.expr(f"if(value is null, array(named_struct('key', cast(null as string), 'value', value)), {opened})")).alias("_e"))
+        rows = rows.select("entity", F.concat_ws("_", "_k", "_e.key").alias("key"), F.col("_e.value").alias("value"))
+    return rows
+
+
 def flatten_attributes(payloads: DataFrame) -> DataFrame:
-    """payloads(entity, key, json) to (entity, key, value): nested objects become a_b keys, lists stay JSON text. A level at a time, until no object is left."""
-    level, out = staged(payloads.select("entity", "key", F.col("json").alias("v")), "attributes-level"), None
-    while True:
-        inner = level.withColumn("_m", F.when(F.ltrim("v").startswith("{"), F.from_json("v", "map<string,string>")))
-        leaf = inner.where("_m is null").select("entity", "key", F.col("v").alias("value"))
-        out = leaf if out is None else out.union(leaf)
-        level = staged(inner.where("_m is not null").select("entity", "key", F.explode("_m").alias("_k", "_v")).select("entity", F.concat_ws("_", "key", "_k").alias("key"), F.col("_v").alias("v")), "attributes-level")
-        if level.isEmpty():
-            return out
+    """flatten_variants with values as text: strings as they are, lists and numbers as JSON, JSON null as null."""
+    return flatten_variants(payloads).withColumn("value", F.expr("case when value is null or is_variant_null(value) then null when schema_of_variant(value) = 'STRING' then cast(value as string) else to_json(value) end"))
 
 
 def link_attributes(attributes: DataFrame, nodes: DataFrame) -> DataFrame:

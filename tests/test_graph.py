@@ -106,6 +106,16 @@ def test_flatten(spark):
     assert [tuple(r) for r in graph.flatten_attributes(spark.createDataFrame([("e", "a", deep)], p.schema)).collect()] == [("e", "a" + "_k" * 12, "1")]
 
 
+def test_flatten_keeps_types_in_one_pass(spark):
+    rows = [("e", "r", '{"a": {"b": 1.5, "c": {"d": true, "e": {}}}, "t": "x {", "l": [{"m": {"n": 1}}], "z": null, "q": "\\\\"}'), ("f", "r", None), ("g", "r", "plain {text}"), ("h", "r", "[1, 2]"), ("i", "r", " {} ")]
+    p = spark.createDataFrame(rows, "entity string, key string, json string")
+    got = {(r.entity, r.key): (r.value, r.t) for r in graph.flatten_variants(p).selectExpr("entity", "key", "to_json(value) as value", "schema_of_variant(value) as t").collect()}
+    assert {k: v[0] for k, v in got.items()} == {("e", "r_a_b"): "1.5", ("e", "r_a_c_d"): "true", ("e", "r_t"): '"x {"', ("e", "r_l"): '[{"m":{"n":1}}]', ("e", "r_z"): "null", ("e", "r_q"): '"\\\\"', ("f", "r"): None, ("g", "r"): '"plain {text}"', ("h", "r"): '"[1, 2]"'}
+    assert got["e", "r_a_c_d"][1] == "BOOLEAN" and got["e", "r_a_b"][1].startswith("DECIMAL") and got["e", "r_l"][1].startswith("ARRAY")
+    assert spark.createDataFrame(rows, p.schema).select(F.max(graph.object_depth(F.col("json")))).first()[0] == 4
+    assert "Exchange" not in graph.flatten_variants(p)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_events(spark):
     arg = "array<struct<role:string,value:string,value_type:string>>"
     ev = spark.createDataFrame([("A", "Launch", [("site", "Cape C", "string"), ("mass", "5", "number"), ("site", "A", "string")], 0.95, 1), ("A", "Launch", [("x", "a b c d e f", "string")], 0.5, 2), ("", "Launch", [], 1.0, 3)], f"anchor_entity string, event_type string, arguments {arg}, confidence double, seq int")
