@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import fixed
+from .spread import spread
 from .text import clean_web_text, is_meaningful
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -74,28 +75,95 @@ def parse(html: str | None) -> Node:
     return b.root
 
 
-def _matches(n: Node, selector: str) -> bool:
-    if selector[0] == ".":
-        return selector[1:] in n.classes
-    return n.attrs.get("id") == selector[1:] if selector[0] == "#" else n.tag == selector
+_RAW = ("script", "style")
 
 
-def _excluded(n: Node) -> bool:
-    classes, ident = " ".join(n.classes), (n.attrs.get("id") or "").lower()
-    return n.tag in fixed.EXCLUDED_TAGS or any(c in classes for c in fixed.EXCLUDED_CLASSES if classes) or any(i in ident for i in fixed.EXCLUDED_IDS if ident)
+class _Flat(HTMLParser):
+    """Elements and texts in document order, from one pass with the stack of open elements.
+
+    An element is known by its number; `end` is the number after its last descendant. A text piece is kept
+    with the number of elements before it.
+    """
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.tags, self.end, self.out, self.first, self.open = [], [], [], {}, []
+        self.owners, self.pieces, self.first_piece, self.last_piece = [], [], [], []
+
+    def handle_starttag(self, tag, attrs):
+        n, given = len(self.tags), {k: v or "" for k, v in attrs}
+        classes, ident = (given.get("class") or "").lower().split(), given.get("id")
+        for i, s in enumerate(fixed.MAIN_SELECTORS):
+            if i not in self.first and (s[1:] in classes if s[0] == "." else ident == s[1:] if s[0] == "#" else tag == s):
+                self.first[i] = n
+        if tag == "body":
+            self.first.setdefault("body", n)
+        joined, low = " ".join(classes), (ident or "").lower()
+        self.tags.append(tag)
+        self.out.append(tag in fixed.EXCLUDED_TAGS or any(c in joined for c in fixed.EXCLUDED_CLASSES if joined) or any(i in low for i in fixed.EXCLUDED_IDS if low))
+        self.end.append(n + 1)
+        self.first_piece.append(len(self.pieces))
+        self.last_piece.append(len(self.pieces))
+        if tag not in _VOID:
+            self.open.append(n)
+
+    def _leave(self, upto: int) -> None:
+        for n in self.open[upto:]:
+            self.end[n], self.last_piece[n] = len(self.tags), len(self.pieces)
+        del self.open[upto:]
+
+    def handle_endtag(self, tag):
+        for i in range(len(self.open) - 1, -1, -1):
+            if self.tags[self.open[i]] == tag:
+                self._leave(i)
+                return
+
+    def handle_data(self, data):
+        if data.strip():
+            self.owners.append(self.open[-1] if self.open else -1)
+            self.pieces.append(data.strip())
+
+    def read(self, html: str | None) -> "_Flat":
+        self.feed(html or "")
+        self.close()
+        self._leave(0)
+        return self
 
 
 def content_blocks(html: str | None, leaf_only: bool = False) -> list[str]:
     """Texts of block tags in the first main element or the body, in document order; nested blocks repeat theirs unless leaf_only."""
-    root = parse(html)
-    nodes = list(root.walk())
-    main = next((n for s in fixed.MAIN_SELECTORS for n in nodes if _matches(n, s)), None) or next((n for n in nodes if n.tag == "body"), root)
-    for n in list(main.walk()):
-        n.children = [c for c in n.children if isinstance(c, str) or not _excluded(c)]
-    blocks = [n for n in main.walk() if n is not main and n.tag in fixed.BLOCK_TAGS]
+    page = _Flat().read(html)
+    tags, end, out = page.tags, page.end, page.out
+    main = next((page.first[k] for k in (*range(len(fixed.MAIN_SELECTORS)), "body") if k in page.first), -1)
+    n, stop = main + 1, end[main] if main >= 0 else len(tags)
+    kept = [main]
+    while n < stop:
+        if out[n]:
+            n = end[n]
+            continue
+        kept.append(n)
+        n += 1
+    silent: set[int] = set()  # within a script or style; these are left out of texts, though their blocks are not
+    for k in kept[1:]:
+        if tags[k] in _RAW:
+            silent.update(range(k, end[k]))
+    inside = set(kept) - silent
+    before, texts = [0], []
+    for owner, piece in zip(page.owners, page.pieces):
+        if owner in inside:
+            texts.append(piece)
+        before.append(len(texts))
+    blocks = [k for k in kept[1:] if tags[k] in fixed.BLOCK_TAGS]
     if leaf_only:
-        blocks = [n for n in blocks if not any(d.tag in fixed.BLOCK_TAGS for d in n.walk() if d is not n)]
-    return [t for t in (n.text() for n in blocks) if t]
+        outer, opened = set(), []
+        for k in blocks:
+            while opened and end[opened[-1]] <= k:
+                opened.pop()
+            outer.update(opened[-1:])
+            opened.append(k)
+        blocks = [k for k in blocks if k not in outer]
+    found = [" ".join(texts[before[page.first_piece[k]] : before[page.last_piece[k]]]) for k in blocks]
+    return [t for t in found if t]
 
 
 def extract_blocks(pages: DataFrame, key: str = "page_id", leaf_only: bool = False) -> DataFrame:
@@ -110,12 +178,13 @@ def extract_blocks(pages: DataFrame, key: str = "page_id", leaf_only: bool = Fal
             yield pa.RecordBatch.from_arrays([pa.array(out[0], batch.schema.types[0]), pa.array(out[1], pa.int32()), pa.array(out[2], pa.string())], names=[key, "pos", "text"])
 
     kind = dict(pages.dtypes)[key]
-    return pages.select(key, "html").mapInArrow(run, f"{key} {kind}, pos int, text string")
+    return spread(pages.select(key, "html")).mapInArrow(run, f"{key} {kind}, pos int, text string")
 
 
 def extract_main_content(pages: DataFrame, key: str = "page_id", leaf_only: bool = False) -> DataFrame:
     """(key, pos, text): cleaned blocks of 10 to 2000 characters that are meaningful."""
-    rows = extract_blocks(pages, key, leaf_only).withColumn("text", clean_web_text("text"))
+    # a generator, so that the filter doesn't work the text out once more
+    rows = extract_blocks(pages, key, leaf_only).select(key, "pos", F.explode(F.array(clean_web_text("text"))).alias("text"))
     return rows.where(F.length("text").between(10, 2000) & is_meaningful("text"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import chunk, fixed, html, parse
 from ..functions import scores as S
 from ..functions import text as T
+from ..functions.spread import spread
 from ..functions.text import any_of
 from ..operators import canon, evaluate, graph, ivf, links, provenance, quality, vectors
 from ..sources import io
@@ -109,7 +110,7 @@ def source_dictionary(spark, sf_dir):
 
 @query(f"WITH c AS (SELECT doc_id, {D.clean_web('text')} AS t FROM documents) SELECT doc_id, length(t) AS n_chars, md5(t) AS text_md5, {D.meaningful('t')} AS meaningful FROM c")
 def clean_meaningful_docs(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", T.clean_web_text("text").alias("t"))
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.explode(F.array(T.clean_web_text("text"))).alias("t"))
     return d.select("doc_id", F.length("t").cast("long").alias("n_chars"), F.md5("t").alias("text_md5"), T.is_meaningful("t").alias("meaningful"))
 
 
