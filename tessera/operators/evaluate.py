@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,15 +51,11 @@ def semantic_prf(gold: DataFrame, pred: DataFrame, keys: list[str], value: str,
     pairs = p.join(g, ["_row", *keys]).join(similarity.select(F.col("a").alias("p"), F.col("b").alias("g"), "score"), ["p", "g"], "left")
     pairs = pairs.withColumn("score", F.when(F.col("p") == F.col("g"), 1.0).otherwise(F.coalesce("score", F.lit(0.0)))).where(F.col("score") >= threshold)
 
-    def match(group: pd.DataFrame) -> pd.DataFrame:
-        used, n = set(), 0
-        for _, mine in group.sort_values(["p_seq"], kind="stable").groupby("p_seq", sort=True):
-            free = mine[~mine["g_seq"].isin(used)].sort_values(["score", "g_seq"], ascending=[False, True])
-            if len(free):
-                used.add(free["g_seq"].iloc[0])
-                n += 1
-        return pd.DataFrame({"tp": [n]})
-
-    tp = pairs.groupBy("_row", *keys).applyInPandas(match, "tp long").agg(F.coalesce(F.sum("tp"), F.lit(0)).alias("tp"))
+    group = ["_row", *keys]
+    options = pairs.groupBy(*group, "p_seq").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "g_seq"))).alias("o"))
+    turns = options.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("p_seq", "o"))).alias("l"))
+    free = lambda used, o: F.filter(F.transform(o, lambda x: x.g_seq), lambda x: ~F.array_contains(used, x))
+    taken = F.aggregate("l", F.array().cast(f"array<{g.schema['g_seq'].dataType.simpleString()}>"), lambda used, x: F.concat(used, F.slice(free(used, x.o), 1, 1)))
+    tp = turns.select(F.size(taken).alias("tp")).agg(F.coalesce(F.sum("tp"), F.lit(0)).alias("tp"))
     counts = tp.join(g.agg(F.count("*").alias("_g"))).join(p.agg(F.count("*").alias("_p")))
     return prf(counts.select("tp", (F.col("_p") - F.col("tp")).alias("fp"), (F.col("_g") - F.col("tp")).alias("fn")))
