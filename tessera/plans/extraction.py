@@ -8,7 +8,7 @@ from ..functions import fixed, parse
 from ..functions.text import any_of
 from ..sources import io
 from . import sql as D
-from .registry import query
+from .registry import oracle_sql, query
 from .tables import derive, plain
 
 
@@ -69,6 +69,28 @@ def parse_event_responses(spark, sf_dir):
     return parse.parse_events(derive(spark, sf_dir, _EVENTS)).select("block_id", "event_type", "anchor_entity", "confidence", F.inline("arguments"))
 
 
+def _with_source(name: str, text: str) -> str:
+    """The registered SQL of a response query, with text_id and the beginning of the chunk."""
+    return f"SELECT f.*, 'block_' || f.block_id AS text_id, substr(c.text, 1, 200) AS source_text FROM ({oracle_sql()[name]}) f LEFT JOIN ({text}) c USING (block_id)"
+
+
+#: Chunks of over and under 200 characters; every fifth block has none.
+_RELATION_CHUNKS = "SELECT s_suppkey AS block_id, CASE WHEN s_suppkey % 2 = 0 THEN repeat(concat(s_name, ' '), 20) ELSE s_name END AS text FROM {supplier} WHERE s_suppkey % 5 > 0"
+_EVENT_CHUNKS = "SELECT event_id AS block_id, concat('On event ', CAST(event_id AS string), ' of ', event_type) AS text FROM {events} WHERE event_id % 5 > 0"
+
+
+@query(_with_source("parse_relation_responses", plain(_RELATION_CHUNKS)))
+def facts_relations(spark, sf_dir):
+    out = parse.facts_from_responses(derive(spark, sf_dir, _RELATIONS), derive(spark, sf_dir, _RELATION_CHUNKS))["relations"]
+    return out.select("block_id", "subject", "predicate", "object", "confidence", F.element_at("attributes", F.lit("since")).alias("since"), "text_id", "source_text")
+
+
+@query(_with_source("parse_event_responses", plain(_EVENT_CHUNKS)))
+def facts_events(spark, sf_dir):
+    out = parse.facts_from_responses(derive(spark, sf_dir, _EVENTS), derive(spark, sf_dir, _EVENT_CHUNKS))["events"]
+    return out.select("block_id", "event_type", "anchor_entity", "confidence", "text_id", "source_text", F.inline("arguments"))
+
+
 _MAPS = """SELECT s_suppkey AS block_id, CASE WHEN s_acctbal < 0 THEN 'none' ELSE concat('{"relations": {" basedIn ": "', n_name, '", "trades": ["wood", " iron ", ""], "empty": " "}}') END AS response FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey"""
 
 
