@@ -89,12 +89,14 @@ def validity_reason(subject="subject", predicate="predicate", obj="object", conf
     )
 
 
-def normalize_component(text) -> Column:
-    """Collapsed, unquoted, without long or disambiguating parentheses; capitalized words unless an acronym occurs."""
+def _uncovered(text) -> Column:
+    """Collapsed, unquoted, without long or disambiguating parentheses."""
     t = F.regexp_replace(F.trim(F.coalesce(col(text), _lit(""))), r"\s+", " ")
     t = F.regexp_replace(t, "^[\"'](.+)[\"']$", "$1")
-    t = F.regexp_replace(t, r"\((?:[^)]{51,}|[^)]*(?i:disambiguation)[^)]*)\)", "")
+    return F.when(t.contains("("), F.regexp_replace(t, r"\((?:[^)]{51,}|[^)]*(?i:disambiguation)[^)]*)\)", "")).otherwise(t)
+
 
+def _worded(t: Column) -> Column:
     def word(w: Column) -> Column:
         long = (F.length(w) > 3) & ~F.lower(w).isin(fixed.SMALL_WORDS)
         return F.when(long, F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, _lit(2), F.length(w))))).otherwise(F.lower(w))
@@ -102,6 +104,18 @@ def normalize_component(text) -> Column:
     return F.trim(F.when(t.rlike("[A-Z]{2,}"), t).otherwise(F.array_join(F.transform(split_words(t), word), " ")))
 
 
+def normalize_component(text) -> Column:
+    """Collapsed, unquoted, without long or disambiguating parentheses; capitalized words unless an acronym occurs."""
+    return _worded(_uncovered(text))
+
+
+def signature_component(text) -> Column:
+    """lower(normalize_component(text)). In ASCII capitals don't matter to it, so no word is looked at on its own there."""
+    t = _uncovered(text)
+    plain = F.when(t.rlike("[A-Z]{2,}"), t).otherwise(F.regexp_replace(t, " +", " "))
+    return F.when(t.rlike(r"[^\x00-\x7F]"), F.lower(_worded(t))).otherwise(F.lower(F.trim(plain)))
+
+
 # --- links ---------------------------------------------------------------------------------------
 def host(url) -> Column:
     """Lower-case host of an http address, empty without one."""

@@ -24,7 +24,7 @@ def with_reason(triples: DataFrame, least: float = 0.9) -> DataFrame:
 
 
 def signature() -> list[Column]:
-    return [F.lower(S.normalize_component(c)).alias(f"sig_{c}") for c in TERMS]
+    return [S.signature_component(c).alias(f"sig_{c}") for c in TERMS]
 
 
 def normalize_triples(triples: DataFrame) -> DataFrame:
