@@ -326,14 +326,22 @@ def incremental_graph_update(nodes: DataFrame, edges: DataFrame, new_nodes: Data
     return merged, resolve_conflicts(edge_endpoints(claims, merged), edges)
 
 
-def subgraph(edges: DataFrame, start: DataFrame, depth: int) -> DataFrame:
-    """(start, node, hops, path): undirected paths of 1 to depth edges, none used twice. edges(src, predicate, dst) are distinct."""
+def subgraph(edges: DataFrame, start: DataFrame, depth: int, hub: int = 100_000) -> DataFrame:
+    """(start, node, hops, path): undirected paths of 1 to depth edges, none used twice. edges(src, predicate, dst) are distinct.
+
+    A node with over `hub` edges has them dealt into parts of about as many, each of which meets the paths
+    at that node in a task of its own.
+    """
     e = edges.select("src", "predicate", "dst", F.xxhash64("src", "predicate", "dst").alias("_e"))
     both = e.select(F.col("src").alias("_from"), F.col("dst").alias("_to"), "_e").union(e.where("src != dst").select("dst", "src", "_e"))
+    hubs = staged(both.groupBy("_from").count().where(F.col("count") > hub).select("_from", F.ceil(F.col("count") / hub).alias("_parts")), "hubs")
+    parts = F.coalesce("_parts", F.lit(1)).cast("long")
+    both = both.join(hubs, "_from", "left").select("_from", "_to", "_e", F.pmod("_e", parts).alias("_part"))
     paths = start.select(F.col("id").alias("start"), F.col("id").alias("node"), F.array().cast("array<bigint>").alias("_used"), F.array("id").alias("path"))
     out = None
     for hop in range(1, depth + 1):
-        step = paths.join(both, F.col("node") == F.col("_from")).where(~F.array_contains("_used", F.col("_e")))
+        at = paths.join(hubs.withColumnRenamed("_from", "node"), "node", "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("_parts")
+        step = at.join(both.withColumnRenamed("_from", "node"), ["node", "_part"]).where(~F.array_contains("_used", F.col("_e")))
         paths = step.select("start", F.col("_to").alias("node"), F.array_append("_used", F.col("_e")).alias("_used"), F.array_append("path", F.col("_to")).alias("path"))
         paths = staged(paths, "paths") if hop < depth else paths
         found = paths.select("start", "node", F.lit(hop).alias("hops"), "path")

@@ -151,6 +151,29 @@ def test_subgraph(spark):
     assert {r.entity for r in s.collect()} == {"Mars", "X"}
 
 
+def test_subgraph_splits_hubs(spark):
+    """The paths are the same however the edges of a hub are dealt, loops and parallel edges included."""
+    rows = [("hub", "p", f"n{i}") for i in range(12)] + [("hub", "p", "hub"), ("hub", "q", "n1"), ("n1", "p", "n2")]
+    e = spark.createDataFrame(rows, "src string, predicate string, dst string")
+    start = spark.createDataFrame([("n1",), ("hub",), ("absent",)], "id string")
+    paths = lambda hub: sorted((r.start, r.hops, *r.path) for r in graph.subgraph(e, start, 3, hub).collect())
+
+    def walk(first, path, used):
+        for i, (a, _, b) in enumerate(rows):
+            for x, y in {(a, b), (b, a)}:
+                if x == path[-1] and y is not None and i not in used:
+                    want.append((first, len(path), *path, y))
+                    if len(path) < 3:
+                        walk(first, (*path, y), used | {i})
+
+    want: list = []
+    for first in ("n1", "hub"):
+        walk(first, (first,), set())
+    assert sorted(p for p in paths(3) if None not in p) == sorted(want)
+    assert paths(3) == paths(100_000)
+
+
+
 def greedy(terms, near, threshold):
     leaders, out = [], {}
     for t in sorted(terms, key=lambda t: (-terms[t], t)):
