@@ -175,3 +175,28 @@ def test_token_counts(spark, docs, no_docs):
     assert got == sorted((r[0], len((r[1] or "").encode().split()), sum(best_cut(MARK + w.decode(), fitted) for w in (r[1] or "").encode().split())) for r in ROWS)
     assert all((r.n_tokens > 0) == (r.n_words > 0) for r in token_counts(docs).collect())
     assert token_counts(no_docs).count() == 0
+
+
+def test_scores_come_from_all_words(spark):
+    """More distinct words than any bound there was, and words that are cut alone."""
+    import math
+
+    rng = random.Random(3)
+    pieces = {p: -1.0 - k for k, p in enumerate([MARK, MARK + "a", "a", "b", "ab", "bab", "cc", "c", "é", "日本", *map(str, range(120))])}
+    words = [f"{rng.choice(['a', 'b', 'ab', 'é'])}{k}" for k in range(60_000)] + ["日本" * 30, "ab" * 60, "abc" * 700, "x\x00"]
+    seen = {}
+    for w in words:
+        for p in best_pieces(MARK + w, pieces, 4):
+            seen[p] = seen.get(p, 0) + 2
+    want = {p: math.log((seen.get(p, 0) + 1) / (sum(seen.values()) + len(pieces))) for p in pieces}
+    texts = spark.createDataFrame([(" ".join(words[k::50]),) for k in range(50)] * 2, "text string")
+    assert fit_scores(texts, pieces, rounds=1, longest_word=None) == want
+
+
+def test_words_side_by_side_are_cut_as_alone():
+    pieces = {"a": -1.0, "ab": -2.0, "b": -1.0, MARK: -1.0, MARK + "a": -1.2, "bab": -2.0, "cé": -3.0}
+    rng = random.Random(6)
+    words = sorted({"".join(rng.choice("abcé\x00") for _ in range(rng.choice([1, 3, 8, 60]))) for _ in range(900)} | {"ab" * 700})
+    want = [best_cut(MARK + w, pieces) for w in words]
+    assert CountTrie(pieces).counts([" ".join(words)]) == [(len(words), sum(want))]
+    assert [CountTrie(pieces).counts([w])[0][1] for w in words] == want
