@@ -113,12 +113,17 @@ def sliced(batches, rows: int = 500):
 
 def chunks_of(values, limit: int):
     """(start, stop) of runs of values whose summed length is about limit; one long value is a run."""
+    return runs_of([0 if v is None else len(v) for v in values], limit)
+
+
+def runs_of(sizes, limit: int):
+    """(start, stop) of runs of sizes (null: 0) whose sum is about limit; one large size is a run."""
     start = total = 0
-    for i, v in enumerate(values):
-        n = 0 if v is None else len(v)
+    for i, n in enumerate(sizes):
+        n = n or 0
         if total and total + n > limit:
             yield start, i
             start, total = i, 0
         total += n
-    if start < len(values):
-        yield start, len(values)
+    if start < len(sizes):
+        yield start, len(sizes)

@@ -15,31 +15,33 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import Staging, chunks_of, sliced, staged
-from .tokens import END_ID, encoder, tokenizer_path
+from .common import Staging, runs_of, staged
+from .tokens import encoder, tokenizer_path
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def token_pieces(docs: DataFrame, capacity: int = 4096, path: str | None = None) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of docs(doc_id, text)."""
-    path, end = path or tokenizer_path(), np.array([END_ID], dtype="<u4").tobytes()
+    path = path or tokenizer_path()
 
     def cut(batches):
         enc = encoder(path)
-        for batch in sliced(batches):
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in chunks_of(texts, 2_000_000):
+        for batch in batches:
+            docs, sizes = batch.column(0).to_pylist(), pc.binary_length(batch.column(1)).to_pylist()
+            for a, b in runs_of(sizes, 4_000_000):
+                ids, ends = enc.encode_ended(batch.column(1).slice(a, b - a))
+                view, ends = memoryview(ids.tobytes()), ends.tolist()
                 out = [[], [], [], [], []]
-                for doc, data in zip(ids[a:b], enc.encode(texts[a:b])):
-                    view = memoryview(data + end)
-                    for k, s in enumerate(range(0, len(view), 4 * capacity)):
-                        part = view[s : s + 4 * capacity]
-                        for col, v in zip(out, (doc, k, s // 4, len(part) // 4, zlib.crc32(part))):
+                for doc, first, last in zip(docs[a:b], ends, ends[1:]):
+                    for k, s in enumerate(range(first, last, capacity)):
+                        e = min(s + capacity, last)
+                        for col, v in zip(out, (doc, k, s - first, e - s, zlib.crc32(view[4 * s : 4 * e]))):
                             col.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 

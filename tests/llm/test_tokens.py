@@ -200,3 +200,22 @@ def test_words_side_by_side_are_cut_as_alone():
     want = [best_cut(MARK + w, pieces) for w in words]
     assert CountTrie(pieces).counts([" ".join(words)]) == [(len(words), sum(want))]
     assert [CountTrie(pieces).counts([w])[0][1] for w in words] == want
+
+
+def test_table_of_words_is_bounded_and_shared_by_variants():
+    enc = WordEncoder(tokenizer_path(), max_words=8)
+    for text in ("Alpha, alpha ALPHA. alpha!!", "Écoles; écoles", None, " one  two\x1cthree\u0085four\u3000five ", "it's 3.14 ½ <|endoftext|> ﬁn", "x" * 3000, ""):
+        got = enc.encode([text, text])
+        assert got == [np.array(TOK.encode(text or "", add_special_tokens=False).ids, dtype="<u4").tobytes()] * 2
+        assert len(enc.words) <= 8
+    enc.clear()
+    enc.encode(["Alpha, alpha ALPHA. alpha!! alpha,"])
+    assert sorted(enc.words.to_pylist()) == ["", "!!", ",", ".", "alpha"]
+
+
+def test_texts_are_packed_whole_over_slices(spark):
+    """Texts that are longer than a slice of a task, nulls between them."""
+    rows = [(k, None if k % 7 == 0 else ("wört %d, " % k) * (400_000 if k == 3 else k)) for k in range(30)]
+    got = best_fit_packing(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    want = sorted((i, k, s, min(4096, len(v) - s), zlib.crc32(v[s : s + 4096].tobytes())) for i, t in rows for v in [ids(t)] for k, s in enumerate(range(0, len(v), 4096)))
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
