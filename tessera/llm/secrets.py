@@ -3,7 +3,7 @@
 Candidates are runs of 16 or more of ``[A-Za-z0-9+/_-]`` (and ``=`` at the end), and of 8 to 15 where a naming
 word and an assignment stand before, unless it is a plain word after ``:`` (no quote, digit or inner capital).
 Their features are length, character transitions, dictionary coverage, path signs and the neighbouring words.
-Spark's random forest is fitted to labelled findings and then written out as conditional expressions, so
+Spark's random forest is fitted to labelled findings and then written out as arrays of constants that a fold walks, so
 a scan is a projection: no text is shuffled or leaves the JVM.
 
 Where a corpus has no labelled findings, ``generated_findings`` makes labelled texts: secrets of many forms as
@@ -22,10 +22,11 @@ import re
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, words
+from .common import Staging, staged, words
 
 CANDIDATE = r"[A-Za-z0-9+/_-]{8,}={0,2}"
 LONG = 16
@@ -106,10 +107,11 @@ def _flat(found: DataFrame, label: Column) -> DataFrame:
 def generated_texts(spark, dictionary: list[str], n: int = 12_000) -> DataFrame:
     """(id, text, secret) of n made-up texts; secret is null where there is none."""
     common = [x for x in dictionary if not re.search(KEYWORDS, x)]
-    ws = F.array(*[F.lit(x) for x in (common if len(common) > 5 else ["alpha", "common", "letter", "window", "garden", "number"])])
+    given_words = common if len(common) > 5 else ["alpha", "common", "letter", "window", "garden", "number"]
+    ws = F.split(F.lit(" ".join(given_words)), " ")  # one constant; an array of literals at each use makes plans of gigabytes
     digest = lambda salt: F.sha2(F.concat(F.lit(salt), F.col("id").cast("string")), 256)
     number = lambda salt: F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(1 << 30))
-    word = lambda salt: F.get(ws, F.pmod(number(salt), F.size(ws)).cast("int"))
+    word = lambda salt: F.get(ws, F.pmod(number(salt), F.lit(len(given_words))).cast("int"))
     hexes = digest("h")
     mixed = F.replace(F.replace(F.replace(F.base64(F.unhex(digest("m"))), F.lit("+")), F.lit("/")), F.lit("="))
     b64 = F.base64(F.unhex(digest("b")))
@@ -142,16 +144,17 @@ def generated_texts(spark, dictionary: list[str], n: int = 12_000) -> DataFrame:
         )],
     ]
     kind = F.pmod(F.col("id"), F.lit(len(forms))).cast("int")
-    made = reduce(lambda a, k: F.when(kind == k, F.struct(forms[k][0].alias("t"), forms[k][1].alias("secret"))).otherwise(a), range(len(forms)), F.struct(null.alias("t"), null.alias("secret")))
+    made = reduce(lambda a, k: a.when(kind == k, F.struct(forms[k][0].alias("t"), forms[k][1].alias("secret"))), range(len(forms)), F)
     rows = spark.range(n).withColumn("m", made)
     # words before and after, or on one side, or none
     around = [F.when(F.pmod(number(f"side {side}"), F.lit(2)) > 0, F.concat_ws(" ", *[word(f"{side}{k}") for k in range(4)])) for side in "ab"]
     return rows.select("id", F.concat_ws(" ", around[0], "m.t", around[1]).alias("text"), "m.secret")
 
 
-def generated_findings(spark, dictionary: list[str], n: int = 12_000) -> DataFrame:
-    """Candidates of generated_texts with id and label: whether they are (part of) what was put in."""
-    found = candidates(generated_texts(spark, dictionary, n), dictionary)
+def generated_findings(spark, dictionary: list[str], n: int = 12_000, stage: Staging | None = None) -> DataFrame:
+    """Candidates of generated_texts with id and label: whether they are (part of) what was put in. With stage the texts are stored first."""
+    texts = generated_texts(spark, dictionary, n)
+    found = candidates(stage(texts, "generated-texts") if stage else texts, dictionary)
     return _flat(found, F.coalesce(F.contains("secret", F.col("c.string")), F.lit(False)))
 
 
@@ -170,15 +173,34 @@ class Forest:
     def score(self, c) -> Column:
         """Share of trees that call candidate c a secret."""
 
-        def walk(node) -> Column:
-            if not isinstance(node, tuple):
-                return F.lit(float(node))
-            f, cut, low, high = node
-            return F.when(c[f] <= F.lit(cut), walk(low)).otherwise(walk(high))
-
         if not self.trees:
             return F.when(_sure(c), 1.0).otherwise(0.0)
-        return reduce(lambda a, b: a + b, [walk(t) for t in self.trees]) / len(self.trees)
+        roots, feature, cut, low, high, depth = self.table()
+        # arrays of constants: one expression whatever the forest holds, where conditions written out make plans that fill a driver
+        column = lambda values, kind: F.lit(np.array(values, dtype=kind))
+        feature, cut, low, high = column(feature, "int32"), column(cut, "float64"), column(low, "int32"), column(high, "int32")
+        values = F.array(*[c[f] for f in FEATURES])
+        step = lambda node, _: F.when(F.get(values, F.get(feature, node)) <= F.get(cut, node), F.get(low, node)).otherwise(F.get(high, node))
+        votes = lambda sum_, root: sum_ + F.get(cut, F.aggregate(F.sequence(F.lit(1), F.lit(depth)), root, step)) if depth else sum_ + F.get(cut, root)
+        return F.aggregate(column(roots, "int32"), F.lit(0.0), votes) / len(self.trees)
+
+    def table(self) -> tuple[list[int], list[int], list[float], list[int], list[int], int]:
+        """Places of the roots; of each node its feature, threshold and where it leads; the greatest depth. A leaf has its vote for a threshold and leads to itself."""
+        feature, cut, low, high = [], [], [], []
+
+        def put(node) -> tuple[int, int]:
+            at = len(cut)
+            for column, v in ((feature, 0), (cut, 0.0), (low, at), (high, at)):
+                column.append(v)
+            if not isinstance(node, tuple):
+                cut[at] = float(node)
+                return at, 0
+            feature[at], cut[at] = FEATURES.index(node[0]), float(node[1])
+            (low[at], below), (high[at], above) = put(node[2]), put(node[3])
+            return at, 1 + max(below, above)
+
+        placed = [put(t) for t in self.trees]
+        return [at for at, _ in placed], feature, cut, low, high, max((d for _, d in placed), default=0)
 
 
 def _parse(text: str):
@@ -222,7 +244,8 @@ def train(docs: DataFrame) -> Forest:
     if docs.isEmpty():
         return Forest(())
     dictionary = frequent_words(docs)
-    return fit_forest(generated_findings(docs.sparkSession, dictionary), dictionary)
+    with Staging(docs.sparkSession) as stage:  # the texts on their own, as plans of both at once are several times as large
+        return fit_forest(generated_findings(docs.sparkSession, dictionary, stage=stage), dictionary)
 
 
 def scan(docs: DataFrame, forest: Forest, least: float = 0.5, text: str = "text") -> DataFrame:

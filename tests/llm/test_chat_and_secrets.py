@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from .conftest import ROWS
@@ -100,3 +101,54 @@ def test_written_out_forest_is_the_fitted_one(spark):
         one = S.Forest((t,))
         both = tree.transform(rows).select((one.score({f: F.col(f) for f in S.FEATURES}) != F.col("prediction")).alias("differ"))
         assert both.where("differ").count() == 0
+
+
+def _nodes(plan, most):
+    """Expressions of a plan, up to most."""
+    left, n = [plan], 0
+    while left and n < most:
+        p = left.pop()
+        left += [p.children().apply(i) for i in range(p.children().size())]
+        if hasattr(p, "expressions") and "plans.logical" in p.getClass().getName():
+            left += [p.expressions().apply(i) for i in range(p.expressions().size())]
+        else:
+            n += 1
+    return n
+
+
+def _made_forest(trees, depth):
+    import random
+
+    from tessera.llm.secrets import FEATURES, Forest
+
+    rng = random.Random(1)
+    grow = lambda d: float(rng.random() < 0.5) if d == 0 or rng.random() < 0.05 else (rng.choice(FEATURES), rng.choice([0.0, 0.25, 0.5, 2.0, 20.0]), grow(d - 1), grow(d - 1))
+    return Forest(tuple(grow(depth) for _ in range(trees)) + (1.0,))
+
+
+def test_forest_is_walked_as_its_trees_say(spark):
+    from tessera.llm.secrets import FEATURES, Forest, candidates, scan
+
+    text = 'see api_key = "Zx81QpLm92kTvB7w" and commit 0a1b2c3d4e5f60718293 src/module/file_a1b2c3 token: abcDEF0123456789abcDEF'
+    docs = spark.createDataFrame([(1, text), (2, None), (3, "password=hunter2hunter2")], "doc_id long, text string")
+    forest = _made_forest(30, 6)
+
+    def walk(node, c):
+        while isinstance(node, tuple):
+            node = node[2] if c[node[0]] <= node[1] else node[3]
+        return node
+
+    want = {(r.doc_id, c.string): sum(walk(t, c) for t in forest.trees) / len(forest.trees) for r in candidates(docs, []).collect() for c in r.found}
+    got = {(r.doc_id, c.string): c.score for r in scan(docs, forest).collect() for c in r.found}
+    assert len(want) >= 4 and got == pytest.approx(want) and set(FEATURES) >= {t[0] for t in forest.trees if isinstance(t, tuple)}
+    assert all(c.score == 1.0 for r in scan(docs, Forest((1.0,))).collect() for c in r.found)
+
+
+def test_plans_of_the_secret_scan_stay_small(spark):
+    """Whatever the forest and the dictionary hold: large ones filled the driver's memory."""
+    from tessera.llm.secrets import generated_texts, redact
+
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    plan = lambda df: df._jdf.queryExecution().analyzed()
+    assert _nodes(plan(redact(docs, _made_forest(30, 6))), 3_000) < 2_000
+    assert _nodes(plan(generated_texts(spark, [f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(300)])), 20_000) < 15_000
