@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .bytehash import many_word_hashes, mix, shingle_set
-from .common import Staging, broadcast_within, chunks_of, sliced, staged
+from .common import Staging, broadcast_within, chunks_of, lean, sliced, staged
 from .components import components
 
 BITS = 1024  # of a bitmap of up to 256 tokens; twice as many for each doubling
@@ -83,7 +83,7 @@ def token_sketch(docs: DataFrame, size: int = 4, bits: int = 20, slices: int = 6
         return pd.DataFrame({"at": parts["at"].iloc[:1], "sums": [_packed(total)]})
 
     # parts are added twice over, so that no task gets the parts of all others
-    parts = docs.select("text").mapInArrow(count, "at int, sums binary").withColumn("_part", F.pmod(F.xxhash64("sums"), F.lit(8)))
+    parts = docs.select("text").mapInArrow(lean(count), "at int, sums binary").withColumn("_part", F.pmod(F.xxhash64("sums"), F.lit(8)))
     whole = parts.groupBy("at", "_part").applyInPandas(add, "at int, sums binary").groupBy("at").applyInPandas(add, "at int, sums binary")
     out = np.zeros(1 << bits, dtype=np.int64)
     for r in whole.collect():
@@ -138,7 +138,7 @@ def signatures(docs: DataFrame, sketch: np.ndarray, size: int = 4, percent: int
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
     more = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
-    return rows.mapInArrow(sign, "doc_id long, rid long, node long, n int, h1 long, h2 long, tokens array<long>, class int, bits binary, low binary" + more)
+    return rows.mapInArrow(lean(sign), "doc_id long, rid long, node long, n int, h1 long, h2 long, tokens array<long>, class int, bits binary, low binary" + more)
 
 
 def _need(na, nb, percent):
@@ -376,7 +376,7 @@ def _with_sets(docs: DataFrame, members: DataFrame, size: int, broadcast_rows: i
             rows = [(*_set_key(s), len(s), s.tobytes()) for _, s in _sets(batch.column(0).to_pylist(), size)]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.binary()))], names=["h1", "h2", "n", "whole"])
 
-    found = some.select("text").mapInArrow(build, "h1 long, h2 long, n int, whole binary")
+    found = some.select("text").mapInArrow(lean(build), "h1 long, h2 long, n int, whole binary")
     return found.join(broadcast_within(members.drop("doc_id"), rows, broadcast_rows), ["h1", "h2", "n"])
 
 
@@ -388,7 +388,7 @@ def _group_components(docs: DataFrame, group: DataFrame, stage: Staging, size: i
 
     def links(rows: DataFrame, name: str) -> DataFrame:
         rows = rows.select(*columns).repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
-        return stage(rows.mapInPandas(_group_links(percent), "a long, b long"), name)  # one Python step a stage, as each holds a worker
+        return stage(rows.mapInPandas(lean(_group_links(percent)), "a long, b long"), name)  # one Python step a stage, as each holds a worker
 
     parts = F.ceil(F.col("_size") / F.lit(max_group)).cast("int")
     part = F.pmod(F.xxhash64("rid"), parts).cast("int")
@@ -443,7 +443,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, max_bl
         used = broadcast_within(used, used.count(), broadcast_rows)
         own, low = signs.where("bits is not null").select("rid", "class", "bits"), signs.where("low is not null").select("rid", (F.col("class") - 1).alias("class"), F.col("low").alias("bits"))
         rows = _parted(blocks.join(own.union(low).join(used, "rid", "left_semi"), "rid"), "_cnt", max_block).select("class", "token", "i", "j", "part", "rid", "n", "bits")
-        maybe = rows.repartition("class", "token", "i", "j").sortWithinPartitions("class", "token", "i", "j").mapInPandas(_may_link(percent), "token long, rid long")
+        maybe = rows.repartition("class", "token", "i", "j").sortWithinPartitions("class", "token", "i", "j").mapInPandas(lean(_may_link(percent)), "token long, rid long")
         maybe = stage(maybe.distinct(), "may-link")
         signs = _replaced(stage, signs, "doc_id", "rid", *keys, *carry)
         centers = maybe.groupBy("token").agg(F.min("rid").alias("b"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks_of, sliced
+from .common import chunks_of, lean, sliced
 
 DIM = 1024
 UNDETERMINED = "und"
@@ -87,14 +87,14 @@ def text_vectors(texts: list[str], dim: int = DIM) -> tuple[np.ndarray, np.ndarr
         local = place[one]
         code = (local[:-2] * base + local[1:-1]) * base + local[2:]
         sizes = np.array([len(s) for s in syms[a:b]])
-        owner = np.repeat(np.arange(b - a), sizes)
+        owner = np.repeat(np.arange(b - a, dtype=np.int32), sizes)
         whole = owner[:-2] == owner[2:]  # none over the border of two texts
         code, owner = code[whole], owner[:-2][whole]
         if base**3 <= 1 << 22:
-            used = np.flatnonzero(np.bincount(code, minlength=base**3))
-            at = np.zeros(base**3, dtype=np.int64)
-            at[used] = np.arange(len(used))
-            col = at[code]
+            seen = np.zeros(base**3, dtype=bool)
+            seen[code] = True
+            used = np.flatnonzero(seen)
+            col = (np.cumsum(seen, dtype=np.int32) - 1)[code]
         else:
             used, col = np.unique(code, return_inverse=True)
         first, second, third = used // (base * base), used // base % base, used % base
@@ -111,7 +111,7 @@ def text_vectors(texts: list[str], dim: int = DIM) -> tuple[np.ndarray, np.ndarr
                 inside = (owner[lo:hi] >= r) & (owner[lo:hi] < r + step)
                 if inside.any():
                     n = min(step, b - a - r)
-                    counts = np.bincount((owner[lo:hi][inside] - r) * width + col[lo:hi][inside] - v.start, minlength=n * width).reshape(n, -1).astype(np.float32)
+                    counts = np.bincount((owner[lo:hi][inside].astype(np.int64) - r) * width + col[lo:hi][inside] - v.start, minlength=n * width).reshape(n, -1).astype(np.float32)
                     np.add.at(out, rows[a + r : a + r + n], counts @ grams)
         np.logical_or.at(lettered, rows[a:b], np.array([bool(s.any()) for s in syms[a:b]]))
     return out, lettered
@@ -146,7 +146,7 @@ def train_prototypes(labelled: DataFrame, dim: int = DIM, max_docs: int = 20_000
         return pd.DataFrame({"lang": lang["lang"].iloc[:1], "sums": [np.sum(np.stack(lang["sums"]), axis=0)]})
 
     # parts are added twice over, so that no task gets the parts of all others
-    parts = some.select("lang", "text").mapInArrow(bundle, "lang string, sums array<double>").withColumn("_part", F.pmod(F.xxhash64("sums"), F.lit(64)))
+    parts = some.select("lang", "text").mapInArrow(lean(bundle), "lang string, sums array<double>").withColumn("_part", F.pmod(F.xxhash64("sums"), F.lit(64)))
     parts = parts.groupBy("lang", "_part").applyInPandas(add, "lang string, sums array<double>").groupBy("lang").applyInPandas(add, "lang string, sums array<double>")
     found = {r["lang"]: np.array(r["sums"]) for r in parts.collect()}
     return {k: (v / n).astype(np.float32) for k, v in sorted(found.items()) if (n := np.linalg.norm(v))}
@@ -174,4 +174,4 @@ def identify_language(docs: DataFrame, prototypes: dict[str, np.ndarray], keep:
 
     rows = docs.select(*keep) if "text" in keep else docs.select(*keep, "text")
     schema = rows.select(*keep, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return rows.mapInArrow(judge, schema)
+    return rows.mapInArrow(lean(judge), schema)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import Staging, runs_of, staged
+from .common import Staging, lean, runs_of, staged
 from .tokens import encoder, tokenizer_path
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -34,7 +34,7 @@ def token_pieces(docs: DataFrame, capacity: int = 4096, path: str | None = None)
         enc = encoder(path)
         for batch in batches:
             docs, sizes = batch.column(0).to_pylist(), pc.binary_length(batch.column(1)).to_pylist()
-            for a, b in runs_of(sizes, 4_000_000):
+            for a, b in runs_of(sizes, 2_000_000):
                 ids, ends = enc.encode_ended(batch.column(1).slice(a, b - a))
                 view, ends = memoryview(ids.tobytes()), ends.tolist()
                 out = [[], [], [], [], []]
@@ -45,7 +45,7 @@ def token_pieces(docs: DataFrame, capacity: int = 4096, path: str | None = None)
                             col.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(cut), PIECES)
 
 
 def plan_patterns(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
@@ -162,7 +162,7 @@ def pack(pieces: DataFrame, capacity: int = 4096, salted_rows: int = 100_000) ->
             yield f.drop(columns="_rank")
 
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("_rank") + F.col("_before")).alias("_rank"))
-    return ranked.mapInPandas(place, PIECES + ", sequence_id long, offset long")
+    return ranked.mapInPandas(lean(place), PIECES + ", sequence_id long, offset long")
 
 
 def best_fit_packing(docs: DataFrame, capacity: int = 4096, path: str | None = None) -> DataFrame:

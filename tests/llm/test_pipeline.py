@@ -57,3 +57,47 @@ def test_language_stage_rejects_by_cosine(spark):
     assert {r.doc_id for r in corpus_pipeline.language(spark, docs, "").collect()} == {r[0] for r in latin}
     blank = spark.createDataFrame([(k, t, None) for k, t, _ in latin + noise], docs.schema)
     assert corpus_pipeline.language(spark, blank, "").count() == len(latin) + 4
+
+
+_WORKER = """
+import ctypes, io, re, sys
+sys.path.insert(0, sys.argv[1])
+import numpy as np, pyarrow as pa
+from tessera.llm import packing
+
+class Docs:  # takes the function that a worker would run
+    def select(self, *_):
+        return self
+    col = cast = select
+    def mapInArrow(self, run, _):
+        self.run = run
+
+def held():
+    return sum(map(int, re.findall(r"Pss_(?:Anon|Shmem):\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+rng, docs = np.random.default_rng(1), Docs()
+words = np.array(["".join(map(chr, rng.integers(97, 123, 6))) for _ in range(20_000)])
+data = io.BytesIO()
+with pa.ipc.new_stream(data, pa.schema([("doc_id", pa.int64()), ("text", pa.string())])) as out:
+    out.write(pa.record_batch([pa.array(range(4_000)), pa.array([" ".join(rng.choice(words, 600)) for _ in range(4_000)])], names=["doc_id", "text"]))
+packing.F = docs
+packing.token_pieces(docs)
+for text in ("", "a b"):  # loads what stays
+    list(docs.run([pa.record_batch([pa.array([1]), pa.array([text])], names=["doc_id", "text"])]))
+pa.default_memory_pool().release_unused()
+ctypes.CDLL(None).malloc_trim(0)
+before = held()
+assert sum(len(x) for x in docs.run(iter(pa.ipc.open_stream(data.getbuffer())))) == 4_000
+print(held() - before)
+"""
+
+
+def test_idle_workers_hold_little(tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    (tmp_path / "worker.py").write_text(_WORKER)
+    ran = subprocess.run([sys.executable, tmp_path / "worker.py", Path(corpus_pipeline.__file__).parent], capture_output=True, text=True, timeout=300)
+    assert ran.returncode == 0, ran.stderr
+    assert float(ran.stdout) < 15, ran.stdout  # MB
