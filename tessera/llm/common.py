@@ -126,7 +126,7 @@ def give_back() -> None:
 def lean(run):
     """run(batches) for mapInArrow or mapInPandas, after which its worker keeps no freed memory.
 
-    Spark keeps idle workers beside the one that runs a task, each with the most that a task of it ever took.
+    Spark uses its workers again, which else hold what earlier tasks have freed.
     """
 
     def step(batches):

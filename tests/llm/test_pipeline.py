@@ -92,7 +92,7 @@ print(held() - before)
 """
 
 
-def test_idle_workers_hold_little(tmp_path):
+def test_workers_hold_little_after_a_task(tmp_path):
     import subprocess
     import sys
     from pathlib import Path
