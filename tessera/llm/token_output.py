@@ -1,14 +1,14 @@
 """Token ids in binary blocks, written in doc_id order and read back.
 
 Documents are range-partitioned by doc_id, then by a hash of the text; each partition cuts its ids into blocks of ``block`` ids, which
-the context-mixing range coder codes on their own, from an empty model. A block is a row of a Parquet
+the context-mixing range coder codes on their own, with a model that is in the block. A block is a row of a Parquet
 table: Spark commits its files, and a lost task writes them again. Its columns are
 
     part, block     the range partition, in doc_id order, and the block's number in it
     first           ids of the partition before the block
     n_ids, crc32    of the block's ids as little-endian unsigned 32-bit integers
     docs, lengths   doc_id and ids of each piece of a document in the block
-    payload         16-bit words of the coder
+    payload         header and 16-bit words of the coder
 
 Reading checks each block's crc32. A document over several blocks is put together from its pieces' crc32
 and lengths, without its ids in one place.
@@ -28,13 +28,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import chunks_of, sliced, stage_root
+from .common import chunks_of, lean, runs_of, sliced, stage_root
 from .range_coder import decode_blocks, encode_blocks
 from .tokens import END_ID, encoder, tokenizer_path
 
-BLOCK = 2048
-_LANES = 1024  # blocks coded side by side; bounds a task's memory, not the results
-_WORDS = 250_000  # of the table of words, held beside the coder's
+BLOCK = 1 << 18
+_TOGETHER = 1 << 21  # ids coded side by side; bounds a task's memory, not the results
+_CHARS = 4_000_000  # of texts tokenized at once, as each look-up hashes the table of words
 _SCHEMA = "part int, block long, first long, n_ids int, crc32 long, rows array<long>, docs array<long>, lengths array<int>, payload binary"
 _POLY = 0xEDB88320
 
@@ -67,14 +67,14 @@ def _to_blocks(path: str, block: int):
     def run(batches):
         from pyspark import TaskContext
 
-        part, enc = TaskContext.get().partitionId(), encoder(path, _WORDS)
+        part, enc = TaskContext.get().partitionId(), encoder(path)
         held, size, number, first, row = [], 0, 0, 0, 0  # held: (row, doc, ids as bytes)
         ready: list[tuple] = []
 
         def close():
             nonlocal held, size, number, first
             data = b"".join(h[2] for h in held)
-            ready.append((part, number, first, len(data) // 4, zlib.crc32(data), [h[0] for h in held], [h[1] for h in held], [len(h[2]) // 4 for h in held], np.frombuffer(data, dtype="<u4").astype(np.int64)))
+            ready.append((part, number, first, len(data) // 4, zlib.crc32(data), [h[0] for h in held], [h[1] for h in held], [len(h[2]) // 4 for h in held], np.frombuffer(data, dtype="<u4")))
             held, size, number, first = [], 0, number + 1, first + len(data) // 4
 
         def flush():
@@ -85,9 +85,9 @@ def _to_blocks(path: str, block: int):
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in ready], t) for k, t in enumerate(types)] + [pa.array(coded, pa.binary())], names=[x.split()[0] for x in _SCHEMA.split(", ")])
                 ready = []
 
-        for batch in sliced(batches):
+        for batch in sliced(batches, 2000):
             docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in chunks_of(texts, 1_000_000):
+            for a, b in chunks_of(texts, _CHARS):
                 for doc, ids in zip(docs[a:b], enc.encode(texts[a:b])):
                     ids, at = ids + end, 0
                     while at < len(ids):
@@ -96,7 +96,7 @@ def _to_blocks(path: str, block: int):
                         at, size = at + take, size + take
                         if size == 4 * block:
                             close()
-                            if len(ready) == _LANES:
+                            if len(ready) * block >= _TOGETHER:
                                 yield from flush()
                     row += 1
         if held:
@@ -110,24 +110,21 @@ def write_token_blocks(docs: DataFrame, where: str, path: str | None = None, blo
     """docs(doc_id, text) to a table of blocks in folder where."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_h"))
     rows = rows.repartitionByRange("doc_id", "_h").sortWithinPartitions("doc_id", "_h", "text").select("doc_id", "text")
-    rows.mapInArrow(_to_blocks(path or tokenizer_path(), block), _SCHEMA).write.option("compression", "uncompressed").parquet(where)
+    rows.mapInArrow(lean(_to_blocks(path or tokenizer_path(), block)), _SCHEMA).write.option("compression", "uncompressed").parquet(where)
 
 
 def _read(batches):
+    types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
     for batch in batches:
-        col = {n: batch.column(n).to_pylist() for n in ("n_ids", "part", "first", "block", "crc32", "rows", "docs", "lengths", "payload")}
-        order = sorted(range(batch.num_rows), key=lambda i: -col["n_ids"][i])
-        for i in range(0, len(order), _LANES):
-            some, out = order[i : i + _LANES], []
-            for k, ids in zip(some, decode_blocks([col["payload"][k] for k in some], [col["n_ids"][k] for k in some])):
-                data = ids.astype("<u4").tobytes()
-                if zlib.crc32(data) != col["crc32"][k]:
-                    raise ValueError(f"block {col['block'][k]} of part {col['part'][k]} is damaged")
-                at = 0
-                for row, doc, n in zip(col["rows"][k], col["docs"][k], col["lengths"][k]):
-                    out.append((col["part"][k], row, doc, col["block"][k], col["first"][k] + at, n, zlib.crc32(data[4 * at : 4 * (at + n)])))
+        for a, b in runs_of(batch.column("n_ids").to_pylist(), _TOGETHER):
+            some, out = batch.slice(a, b - a).to_pylist(), []
+            for row, ids in zip(some, decode_blocks([r["payload"] for r in some], [r["n_ids"] for r in some])):
+                data, at = ids.astype("<u4").tobytes(), 0
+                if zlib.crc32(data) != row["crc32"]:
+                    raise ValueError(f"block {row['block']} of part {row['part']} is damaged")
+                for number, doc, n in zip(row["rows"], row["docs"], row["lengths"]):
+                    out.append((row["part"], number, doc, row["block"], row["first"] + at, n, zlib.crc32(data[4 * at : 4 * (at + n)])))
                     at += n
-            types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(types)], names=["part", "row", "doc_id", "block", "at", "n", "crc"])
 
 
@@ -137,7 +134,7 @@ def read_token_blocks(spark: SparkSession, where: str) -> DataFrame:
     # start of a part: one row a partition, not a document
     sizes = blocks.groupBy("part").agg(F.sum(F.col("n_ids").cast("long")).alias("n"))
     before = sizes.select("part", F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    pieces = blocks.mapInArrow(_read, "part int, row long, doc_id long, block long, at long, n long, crc long")
+    pieces = blocks.mapInArrow(lean(_read), "part int, row long, doc_id long, block long, at long, n long, crc long")
     docs = pieces.groupBy("part", "row").agg(F.first("doc_id").alias("doc_id"), F.min("at").alias("at"), F.sum("n").alias("n_tokens"), F.array_sort(F.collect_list(F.struct("block", "n", "crc"))).alias("parts"))
     docs = docs.join(before, "part").select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "parts")
 
