@@ -99,15 +99,16 @@ class _Model:
         size = np.floor(often * (((1 << self.bits0) - n) / max(often.sum(), 1.0))).astype(np.int64) + 1
         size[np.argmax(size)] += (1 << self.bits0) - size.sum()
         self.size0, self.start0 = size, np.cumsum(size) - size
-        self.p0 = size / float(1 << self.bits0)
+        self.p0 = (size / float(1 << self.bits0))[self.nexts]
+        self.p1 = 0.75 * 0.5**self.share
+        self.m = np.where(self.k > 0, 1 << np.maximum(np.minimum(_bits(self.k) + 4, 12), _bits(self.k) + 1), 1)
 
     def shares(self, w1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """What successors get by weights (a class), and what is left for order 0 after each id."""
-        w, n, k = w1[self.classes()][self.heads] / _GRID, len(self.ids), self.k
-        mixed = w * 0.75 * 0.5**self.share + (1 - w) * self.p0[self.nexts]
+        w, n, m = w1[self.classes()][self.heads] / _GRID, len(self.ids), self.m
+        mixed = w * self.p1 + (1 - w) * self.p0
         total = np.bincount(self.heads, mixed, minlength=n)
-        m = np.where(k > 0, 1 << np.maximum(np.minimum(_bits(k) + 5, 12), _bits(k) + 1), 1)
-        size = np.floor(mixed * ((m - k - 1) / np.maximum(total, 1.0))[self.heads]).astype(np.int64) + 1
+        size = np.floor(mixed * ((m - self.k - 1) / np.maximum(total, 1.0))[self.heads]).astype(np.int64) + 1
         return size, m - np.bincount(self.heads, size, minlength=n).astype(np.int64)
 
     def classes(self) -> np.ndarray:
@@ -178,7 +179,8 @@ def _fit(block: np.ndarray) -> tuple[_Model, np.ndarray, np.ndarray, np.ndarray,
     last = np.full(n, -1, dtype=np.int64)
     last[1:] = pair[:-1]
     last[::LANE] = -1
-    after = np.bincount(last[last >= 0], minlength=pairs)
+    ends = pair[np.append(np.arange(LANE - 1, n - 1, LANE), n - 1)]
+    after = count - np.bincount(ends[ends >= 0], minlength=pairs)
     keys = np.sort((last * pairs + pair)[(last >= 0) & (pair >= 0)])
     at, times = _grouped(keys)
     one, two = np.divmod(keys[at], max(pairs, 1))
@@ -199,11 +201,12 @@ def _fit(block: np.ndarray) -> tuple[_Model, np.ndarray, np.ndarray, np.ndarray,
     second = np.where(chosen == -2, 0, np.where(chosen == pair, 1, 2))
 
     # what is left to orders 1 and 0
-    rest = second != 1
-    left = np.bincount(pair[rest & (pair >= 0)], minlength=pairs)
-    heads = np.bincount(before[rest], minlength=size + 1)[:size]
+    hit = np.flatnonzero(second == 1)
+    left = count - np.bincount(pair[hit], minlength=pairs)
+    heads = (heads - np.bincount(before[hit], minlength=size + 1))[:size]
+    often = _coarse(seen - np.bincount(tail, count, minlength=size).astype(np.int64))
     share = np.minimum(-np.frexp(np.maximum(left, 0.5) / np.maximum(heads[head], 1))[1], 20).astype(np.int64)
-    model = _Model(ids, _coarse(np.bincount(x[pair < 0], minlength=size)), k, tail, np.maximum(share, 0), then, sure, np.full(_CLASSES, _GRID), np.full(_GRID, _GRID))
+    model = _Model(ids, often, k, tail, np.maximum(share, 0), then, sure, np.full(_CLASSES, _GRID), np.full(_GRID, _GRID))
     classes, escapes = model.classes(), heads - np.bincount(head, left, minlength=size)
     costs = []
     for w in _TRIED:
@@ -213,7 +216,7 @@ def _fit(block: np.ndarray) -> tuple[_Model, np.ndarray, np.ndarray, np.ndarray,
         costs.append(np.bincount(classes, cost, minlength=_CLASSES))
     model.w1 = np.take(_TRIED, np.argmin(costs, axis=0))
     model.tables()
-    hits, all2 = (np.bincount(last[v], minlength=pairs)[one] for v in (second == 1, second > 0))
+    hits, all2 = np.bincount(last[hit], minlength=pairs)[one], after[one]
     costs = []
     for w in _TRIED:
         p = model.second(np.full(_GRID, w))[one] / 256
@@ -352,12 +355,12 @@ def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     inverse = np.concatenate([1 / m.total for m in models])
     base = np.concatenate([m.base + s for m, s in zip(models, n_slots)])
     slots = np.concatenate([m.slots + p for m, p in zip(models, n_places)]).astype(np.int32)
-    start, size = (np.concatenate([getattr(m, v) for m in models]).astype(np.float64) for v in ("start", "size"))
+    span = np.concatenate([np.stack([m.start, m.size], axis=1) for m in models]).astype(np.float64)
     tail = np.concatenate([np.concatenate([m.nexts + i, np.full(len(m.ids) + 1, -1)]) for m, i in zip(models, n_ids)])
     two = np.concatenate([np.concatenate([m.two, np.zeros(len(m.ids) + 1)]) for m in models]).astype(np.float64)
     target = np.concatenate([np.concatenate([m.target + p, np.zeros(len(m.ids) + 1, dtype=np.int64)]) for m, p in zip(models, n_places)])
     zero = np.concatenate([np.repeat(np.arange(len(m.ids)) + i, m.size0) for m, i in zip(models, n_ids)]).astype(np.int32)
-    start0, size0 = (np.concatenate([np.append(getattr(m, v), 0) for m in models]).astype(np.float64) for v in ("start0", "size0"))
+    span0 = np.concatenate([np.stack([np.append(m.start0, 0), np.append(m.size0, 0)], axis=1) for m in models]).astype(np.float64)
 
     lanes_of = [len(v) for v in lengths]
     lengths = np.concatenate(lengths)
@@ -386,17 +389,20 @@ def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
         now = x[rest]
         share = inverse.take(now)
         part = np.floor(reader.wide[rest] * share)
-        y = np.minimum(np.floor(reader.code[rest] / part), 1 / share - 1).astype(np.int64)
+        code = reader.code[rest]
+        y = np.minimum(np.floor(code / part), 1 / share - 1).astype(np.int64)
         p = slots.take(base.take(now) + y)
-        reader.narrow(rest, reader.code[rest] - part * start.take(p), part * size.take(p))
+        own = span.take(p, axis=0)
+        reader.narrow(rest, code - part * own[:, 0], part * own[:, 1])
         now = tail.take(p)
         k = np.flatnonzero(now < 0)
         if len(k):
             own = rest[k]
             part = np.floor(reader.wide[own] * inverse0[own])
-            y = np.minimum(np.floor(reader.code[own] / part), top0[own]).astype(np.int64)
-            new = zero.take(base0[own] + y)
-            reader.narrow(own, reader.code[own] - part * start0.take(new), part * size0.take(new))
+            code = reader.code[own]
+            new = zero.take(base0[own] + np.minimum(np.floor(code / part), top0[own]).astype(np.int64))
+            of = span0.take(new, axis=0)
+            reader.narrow(own, code - part * of[:, 0], part * of[:, 1])
             now[k] = new
         place[rest], x[rest] = p, now
         found[t, :m] = x[:m]
