@@ -37,10 +37,11 @@ def confidence_rate(facts: DataFrame, threshold: float = 0.9) -> DataFrame:
 
 
 def source_meta_join(facts: DataFrame, documents: DataFrame, prefix: int | None = 200, seq: str = "doc_seq") -> DataFrame:
-    """facts(source_id) with documents' source_url, source_type and page_title by hash of the text, and of its first prefix characters too."""
-    keys = [F.col("text")] + ([F.when(F.length("text") > prefix, preview("text", prefix))] if prefix else [])
-    hashed = documents.where(F.coalesce("text", F.lit("")) != "").select(F.explode(F.array(*[source_id(k) for k in keys])).alias("source_id"), seq, "source_url", "source_type", "page_title").where("source_id is not null")
-    meta = hashed.groupBy("source_id").agg(F.max_by(F.struct("source_url", "source_type", "page_title"), seq).alias("m")).select("source_id", "m.*")
+    """facts(source_id) with documents' source_url, source_type and page_title by hash of the text, or else of the first prefix characters of a longer one; the last wins."""
+    whole = F.struct(source_id("text").alias("source_id"), F.lit(True).alias("_whole"))
+    keys = [whole] + ([F.when(F.length("text") > prefix, F.struct(source_id(preview("text", prefix)).alias("source_id"), F.lit(False).alias("_whole")))] if prefix else [])
+    hashed = documents.where("text is not null").select(F.explode(F.array(*keys)).alias("_k"), seq, "source_url", "source_type", "page_title").where("_k is not null").select("_k.*", seq, "source_url", "source_type", "page_title")
+    meta = hashed.groupBy("source_id").agg(F.max_by(F.struct("source_url", "source_type", "page_title"), F.struct("_whole", seq)).alias("m")).select("source_id", "m.*")
     return facts.join(meta, "source_id", "left")
 
 

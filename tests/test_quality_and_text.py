@@ -189,3 +189,21 @@ def test_provenance(spark):
     got = {r.text: (r.source_type, r.origin_type, r.origin_value) for r in provenance.annotate_origin(c, p).collect()}
     assert got == {"x": ("unknown", "entity", "Mars"), "y": ("web", "topic", "v")}
     assert [r.band for r in provenance.confidence_split(spark.createDataFrame([(0.95,), (None,)], "confidence double")).collect()] == ["high", "low"]
+
+
+def test_a_whole_text_goes_before_the_preview_of_a_longer_one(spark):
+    """A later text that begins with another one doesn't take its place; empty texts are texts; previews stand where no text is equal."""
+    docs = spark.createDataFrame([("a" * 200, "own", 1), ("a" * 200 + "b", "longer", 9), ("", "empty", 3), (None, "none", 10), ("c" * 201, "c1", 4), ("c" * 202, "c2", 5)], "text string, source_url string, doc_seq int")
+    docs = docs.selectExpr("*", "'web' as source_type", "'' as page_title")
+    facts = spark.createDataFrame([("a" * 200,), ("a" * 200 + "b",), ("",), ("c" * 200,), ("d",), (None,)], "text string").select("text", provenance.source_id("text").alias("source_id"))
+    got = {r.text: r.source_url for r in provenance.source_meta_join(facts, docs).collect()}
+    assert got == {"a" * 200: "own", "a" * 200 + "b": "longer", "": "empty", "c" * 200: "c2", "d": None, None: None}
+
+
+def test_sources_of_odd_documents(spark, tmp_path):
+    """Documents without a text have no row; one without a source has that of an earlier equal text."""
+    from tessera.plans import catalog
+
+    spark.createDataFrame([(1, "x", "s1"), (2, "x", None), (3, None, "s3"), (4, "", "s4"), (5, "y", None)], "doc_id long, text string, source string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.source_url for r in catalog.queries()["enrich_for_conflicts"](spark, f"file://{tmp_path}").collect()}
+    assert got == {1: "https://s1.org", 2: "https://s1.org", 4: "https://s4.org", 5: None}
