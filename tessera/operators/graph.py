@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -258,26 +259,18 @@ def split_touched(edges: DataFrame, claims: DataFrame, limit: int = 200_000) ->
     return edges.join(keys, ["src", "predicate"], "left_semi"), edges.join(keys, ["src", "predicate"], "left_anti")
 
 
-def resolve_conflicts(claims: DataFrame, existing: DataFrame | None = None, seq: str = "seq", tolerance: float = 0.03, close: float = 0.08, run: int = 100_000) -> DataFrame:
-    """Versioned edges of claims(src, predicate, dst, cs, ts, seq), folded in order of seq as its type orders it (ties by dst, cs, ts), over existing edges.
+def begun(existing: DataFrame) -> DataFrame:
+    """Edges by their key: (src, predicate, cur, ev), the current ones and an event before all others for each."""
+    current = F.col("status") == "Current"
+    contested = F.coalesce("is_contested", F.lit(False)).alias("is_contested")
+    event = F.struct(F.lit(-1).cast("bigint").alias("at"), "dst", current.alias("is_current"), contested, "cs", "ts", "valid_from", "valid_to")
+    return existing.groupBy("src", "predicate").agg(F.collect_list(F.when(current, F.struct("dst", number_in("dst").alias("num"), contested, "cs", "ts"))).alias("cur"), F.collect_list(event).alias("ev"))
 
-    The rule is that of fold_edge. A claim is weighed against the current edges of its key, so these alone
-    are carried along an ordered array of the key's claims, in the JVM; each claim leaves events, of which
-    the last for an edge, with its last begin and end, are the result. A key of over `run` claims is folded
-    a run at a time. Existing edges of keys without a claim pass through, without a shuffle if the keys of
-    the claims are few enough to be broadcast.
-    """
+
+def fold_claims(claims: DataFrame, carried: DataFrame | None = None, seq: str = "seq", tolerance: float = 0.03, close: float = 0.08, run: int = 100_000) -> list[DataFrame]:
+    """(src, predicate, cur, ev) for each run of claims(src, predicate, dst, cs, ts, seq) over carried(src, predicate, cur): the current edges after it, and its events in order of at."""
     rows = claims.select("src", "predicate", F.col(seq).alias("seq"), "dst", F.coalesce("cs", F.lit(0.0)).cast("double").alias("cs"), F.coalesce("ts", F.lit(0.0)).cast("double").alias("ts"))
-    key = ["src", "predicate"]
-    untouched = events = carried = earlier = None
-    none = F.lit(None).cast("double")
-    if existing is not None:
-        old, untouched = split_touched(existing, claims)
-        current = F.col("status") == "Current"
-        contested = F.coalesce("is_contested", F.lit(False)).alias("is_contested")
-        event = F.struct(F.lit(-1).cast("bigint").alias("at"), "dst", current.alias("is_current"), contested, "cs", "ts", "valid_from", "valid_to")
-        old = old.groupBy(*key).agg(F.collect_list(F.when(current, F.struct("dst", number_in("dst").alias("num"), contested, "cs", "ts"))).alias("cur"), F.collect_list(event).alias("ev"))
-        carried, earlier = old.select(*key, "cur"), old
+    key, none, out = ["src", "predicate"], F.lit(None).cast("double"), []
     longest = rows.groupBy(*key).count().agg(F.max("count")).first()[0] or 0
     rounds = max(1, -(-longest // run))
     if rounds > 1:
@@ -296,15 +289,37 @@ def resolve_conflicts(claims: DataFrame, existing: DataFrame | None = None, seq:
         # a current edge may have become contested since the claim that set it
         last = F.lit(2 * ((r + 1) * run - 1) + 1).cast("bigint")
         now = F.transform("cur", lambda e: F.struct(last.alias("at"), e.dst.alias("dst"), F.lit(True).alias("is_current"), e.is_contested.alias("is_contested"), e.cs.alias("cs"), e.ts.alias("ts"), none.alias("valid_from"), none.alias("valid_to")))
-        every = done.withColumn("ev", F.concat("ev", now))
-        if earlier is not None and r == 0:
-            every = every.join(earlier.select(*key, F.col("ev").alias("_old")), key, "left").withColumn("ev", F.concat(F.coalesce("_old", F.expr(f"cast(array() as {_EVENT})")), "ev"))
-        made = every.select(*key, F.inline("ev"))
-        events = made if events is None else events.unionByName(made)
-    state = [F.max_by(c, "at").alias(c) for c in ("is_current", "is_contested", "cs", "ts")]
-    times = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("at"))).alias(c) for c in ("valid_from", "valid_to")]
-    last = events.groupBy(*key, "dst").agg(*state, *times)
-    out = last.select(*key, "dst", F.when(F.col("is_current"), "Current").otherwise("History").alias("status"), "is_contested", "valid_from", "valid_to", "cs", "ts")
+        out.append(done.withColumn("ev", F.concat("ev", now)))
+    return out
+
+
+def edges_of_events(events: DataFrame, at: Column | None = None) -> DataFrame:
+    """Edges of events(src, predicate, dst, at, ...): the last event of each with its last begin and end."""
+    at = F.col("at") if at is None else at
+    state = [F.max_by(c, at).alias(c) for c in ("is_current", "is_contested", "cs", "ts")]
+    times = [F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in ("valid_from", "valid_to")]
+    last = events.groupBy("src", "predicate", "dst").agg(*state, *times)
+    return last.select("src", "predicate", "dst", F.when(F.col("is_current"), "Current").otherwise("History").alias("status"), "is_contested", "valid_from", "valid_to", "cs", "ts")
+
+
+def resolve_conflicts(claims: DataFrame, existing: DataFrame | None = None, seq: str = "seq", tolerance: float = 0.03, close: float = 0.08, run: int = 100_000) -> DataFrame:
+    """Versioned edges of claims(src, predicate, dst, cs, ts, seq), folded in order of seq as its type orders it (ties by dst, cs, ts), over existing edges.
+
+    The rule is that of fold_edge. A claim is weighed against the current edges of its key, so these alone
+    are carried along an ordered array of the key's claims, in the JVM; each claim leaves events, of which
+    the last for an edge, with its last begin and end, are the result. A key of over `run` claims is folded
+    a run at a time. Existing edges of keys without a claim pass through, without a shuffle if the keys of
+    the claims are few enough to be broadcast.
+    """
+    key, untouched, old = ["src", "predicate"], None, None
+    if existing is not None:
+        touched, untouched = split_touched(existing, claims)
+        old = begun(touched)
+    runs = fold_claims(claims, None if old is None else old.select(*key, "cur"), seq, tolerance, close, run)
+    if old is not None:
+        runs[0] = runs[0].join(old.select(*key, F.col("ev").alias("_old")), key, "left").withColumn("ev", F.concat(F.coalesce("_old", F.expr(f"cast(array() as {_EVENT})")), "ev"))
+    events = reduce(DataFrame.unionByName, [r.select(*key, F.inline("ev")) for r in runs])
+    out = edges_of_events(events)
     return out.unionByName(untouched.select(*out.columns)) if untouched is not None else out
 
 

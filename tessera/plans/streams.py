@@ -7,9 +7,9 @@ import uuid
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators import buckets, vectors
+from ..operators import buckets, edge_log, vectors
 from ..operators.quality import TERMS, signature
-from ..operators.stage import stage_root, staged
+from ..operators.stage import delete_path, stage, stage_root
 from ..streaming import jobs
 from . import sql as D
 from .registry import oracle_sql, query
@@ -17,16 +17,15 @@ from .structured import _FOLD
 from .tables import TRIPLES, derive, plain, price_claims, table, triples
 
 
-_FILES = 4  # of a batch
-
-
 def _stream(df, name: str, parts: int = 3, part=None):
     """(stream over df's rows as files, a batch for each of `parts` parts, in order; folder). part is an int column, a hash of the row by default."""
     spark, root = df.sparkSession, f"{stage_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    dealt = staged(df.withColumn("_part", part if part is not None else F.pmod(F.xxhash64(*[F.to_json(F.struct(*df.columns))]), F.lit(parts)).cast("int")), name)
+    files = max(4, spark.sparkContext.defaultParallelism)  # of a batch
+    dealt, path = stage(df.withColumn("_part", part if part is not None else F.pmod(F.xxhash64(*[F.to_json(F.struct(*df.columns))]), F.lit(parts)).cast("int")), name)
     for i in range(parts):  # files are read by age
-        dealt.where(F.col("_part") == i).drop("_part").repartition(_FILES).write.mode("append").parquet(f"{root}/in")
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", _FILES).parquet(f"{root}/in"), root
+        dealt.where(F.col("_part") == i).drop("_part").repartition(files).write.mode("append").parquet(f"{root}/in")
+    delete_path(spark, path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/in"), root
 
 
 def _run(stream, root: str, mode: str, key: list[str] | None = None):
@@ -56,14 +55,9 @@ def stream_quality_gate(spark, sf_dir):
 @query(f"WITH RECURSIVE {_FOLD} SELECT * FROM edges")
 def stream_versioned_edges(spark, sf_dir):
     """Three batches in order of time: those of one batch are folded by seq, those of the next over their edges."""
-    claims = price_claims(spark, sf_dir)
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", jobs.ROCKSDB)
-    try:
-        stream, root = _stream(claims, "claims", part=F.when(F.col("ts") < 1.02e9, 0).when(F.col("ts") < 1.06e9, 1).otherwise(2))
-        return _run(jobs.stream_versioned_edges(stream), root, "update", ["src", "predicate", "dst"])
-    finally:
-        spark.conf.unset("spark.sql.streaming.stateStore.providerClass") if before is None else spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    stream, root = _stream(price_claims(spark, sf_dir), "claims", part=F.when(F.col("ts") < 1.02e9, 0).when(F.col("ts") < 1.06e9, 1).otherwise(2))
+    jobs.stream_edge_log(stream, f"{root}/edges", f"{root}/checkpoint").awaitTermination()
+    return edge_log.read_edges(spark, f"{root}/edges")
 
 
 @query("SELECT s_name AS id, s_name AS name, CAST(max(l_orderkey) AS varchar) AS last_order, CAST(max(CASE WHEN l_returnflag = 'R' THEN l_orderkey END) AS varchar) AS last_return FROM supplier JOIN lineitem ON l_suppkey = s_suppkey GROUP BY 1, 2")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import scores as S
+from ..operators import edge_log
 from ..operators.buckets import upsert
 from ..operators.graph import EDGE, fold_edge
 from ..operators.quality import signature
@@ -73,13 +74,26 @@ class EdgeFold(StatefulProcessor):
 def stream_versioned_edges(claims: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """The edges that each batch of claims(src, predicate, dst, cs, ts, seq) changes, folded in order of seq within it over existing edges.
 
-    The last row of a (src, predicate, dst) is that edge's state. Needs the state store ROCKSDB.
+    The last row of a (src, predicate, dst) is that edge's state. Needs the state store ROCKSDB. Each edge
+    that a claim meets is asked from the store by Python: for batches of many claims take stream_edge_log.
     """
     rows = claims.select("src", "predicate", "dst", F.col("cs").cast("double").alias("cs"), F.col("ts").cast("double").alias("ts"), "seq")
     first = {} if existing is None else {"initialState": existing.groupBy("src", "predicate")}
     return rows.groupBy("src", "predicate").transformWithStateInPandas(EdgeFold(), EDGE, "Update", "None", **first)
 
 
+def stream_edge_log(claims: DataFrame, folder: str, checkpoint: str, existing: DataFrame | None = None, **fold):
+    """Starts a query that folds each batch of claims(src, predicate, dst, cs, ts, seq) into the log of edges in folder (operators.edge_log).
+
+    The edges are those of stream_versioned_edges, folded in the JVM; edge_log.read_edges has them after any
+    batch, keys without a claim among them. A batch done twice gives the same.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        edge_log.append(batch, folder, number, existing, **fold)
+
+    return claims.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def stream_upsert_graph(nodes: DataFrame, folder: str, checkpoint: str, buckets: int = 64):
     """Starts a query that upserts each batch of nodes(id, attributes, seq) into the bucketed table in folder (operators.buckets).
 
