@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from . import nearest
+from .stage import staged
+
 DIM = 384
 
 
@@ -81,19 +85,34 @@ def cosine(a: Column, b: Column) -> Column:
 def vector_topk(queries: DataFrame, vectors: DataFrame, k: int = 5, equal: str | None = None, max_queries: int = 10_000) -> DataFrame:
     """(query_id, vec_id, score, rank): the k nearest of vectors(vec_id, embedding) for a stated set of queries(query_id, embedding).
 
-    The queries are broadcast in blocks of about max_queries; every task keeps its own best k of each query
-    before the shuffle. With equal, only vectors with the same value of that column count.
+    The queries are broadcast in blocks of about max_queries, each of which is done before the next; every
+    task keeps its own best k of each query before the shuffle. Vectors of numbers, as long as most of a
+    block's queries, are compared as matrices (nearest), odd ones as columns. With equal, only vectors with
+    the same value of that column count.
     """
-    q = queries.select("query_id", F.col("embedding").alias("_q"), *([F.col(equal).alias("_e")] if equal else []))
-    blocks = -(-queries.count() // max_queries)
-    best = None
-    for i in range(max(blocks, 1)):
+    keep = [equal] if equal else []
+    q, rows = queries.select("query_id", "embedding", *keep), vectors.select("vec_id", "embedding", *keep)
+    rows = rows.repartition(max(rows.rdd.getNumPartitions(), rows.sparkSession.sparkContext.defaultParallelism))  # few files, costly work
+    blocks, out = max(1, -(-queries.count() // max_queries)), None
+    for i in range(blocks):
         some = q.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i) if blocks > 1 else q
-        pairs = vectors.join(F.broadcast(some), F.col(equal) == F.col("_e") if equal else F.lit(True))
-        scored = pairs.select("query_id", "vec_id", F.round(cosine(F.col("embedding"), F.col("_q")), 6).alias("score"))
-        ranked = scored.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).where(F.col("rank") <= k)
-        best = ranked if best is None else best.union(ranked)
-    return best
+        some, all_, groups = nearest.grouped(some, rows, tuple(keep))
+        sizes = some.groupBy(F.coalesce(F.size("embedding"), F.lit(-1)).alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size").collect()  # one row a length
+        size = next((r["size"] for r in sizes if r["size"] > 0), 1)
+        names, m = nearest.collected(some, size)
+        plain = nearest.regular("embedding", size)
+        scored = lambda v, s: v.join(F.broadcast(s.select("query_id", F.col("embedding").alias("_q"), F.col("_g").alias("_h"))), F.col("_g") == F.col("_h")).select("query_id", "vec_id", F.round(cosine(F.col("embedding"), F.col("_q")), 6).alias("score"))
+        pairs = scored(all_.where(~plain), some)
+        if len(m) < sum(r["n"] for r in sizes):
+            pairs = pairs.unionAll(scored(all_.where(plain), some.where(~plain)))
+        if len(m):
+            number = names.column("_g").to_numpy()
+            of = [np.flatnonzero(number == g) for g in range(groups)] if keep else None
+            pairs = pairs.unionAll(nearest.best_rows(all_.where(plain), F.col("_g"), q.schema["query_id"], names.column("query_id"), m, k, lambda g, of=of: None if of is None else of[g]))
+        best = nearest.ranked(pairs, k)
+        best = staged(best, "nearest") if blocks > 1 else best
+        out = best if out is None else out.union(best)
+    return out
 
 
 def index_rows(staged: DataFrame, seq: str = "seq") -> DataFrame:

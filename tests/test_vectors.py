@@ -1,10 +1,12 @@
 import random
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from tessera.operators import ivf, vectors
+from tessera.operators import ivf, nearest, vectors
 
 from .conftest import SMALL
 
@@ -106,3 +108,38 @@ def test_an_index_of_odd_rows(spark):
     q = spark.createDataFrame([(1, same), (2, None), (3, [0.0] * 4)], "query_id long, embedding array<double>")
     assert [(x.query_id, x.vec_id) for x in ivf.index_topk(q, index, 3, exact=True).orderBy("query_id", "rank").collect()] == [(1, 0), (1, 1), (1, 2)]
     assert ivf.index_topk(q, ivf.build_index(df.limit(0)), 3, exact=True).count() == 0
+
+
+def by_columns(queries, vecs, k, equal=None):
+    """All pairs, scored by columns."""
+    q = queries.select("query_id", F.col("embedding").alias("_q"), *([F.col(equal).alias("_e")] if equal else []))
+    pairs = vecs.join(q, F.col(equal) == F.col("_e") if equal else F.lit(True)).select("query_id", "vec_id", F.round(vectors.cosine(F.col("embedding"), F.col("_q")), 6).alias("score"))
+    return sorted((r.query_id, r.rank, r.vec_id, str(r.score)) for r in pairs.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).where(F.col("rank") <= k).collect())
+
+
+@pytest.mark.parametrize("kind, equal, blocks", [("long", None, 1000), ("string", None, 7), ("long", "label", 1000)])
+def test_nearest_of_odd_vectors(spark, kind, equal, blocks):
+    """Null, zero, short, long, huge and tiny vectors, ones with null and NaN, many equal ones, ids that are null: as columns score and rank them."""
+    rng = random.Random(5)
+    same = [rng.gauss(0, 1) for _ in range(8)]
+    make = lambda i: [None, [0.0] * 8, same, same, [x * 1e-3 for x in same], [1.0] * 5, [1.0] * 9, [1e160] * 8, [1e-160] * 8, [None] + [1.0] * 7, [float("nan")] + [1.0] * 7, []][i % 40] if i % 40 < 12 else [float(rng.randint(-2, 2)) if i % 3 else rng.gauss(0, 1) for _ in range(8)]
+    rows = [(i if i != 77 else None, make(i), rng.choice(["x", "y", None])) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string").withColumn("vec_id", F.col("vec_id").cast(kind))
+    q = df.where("vec_id % 3 = 0").select(F.col("vec_id").alias("query_id"), "embedding", "label")
+    got = vectors.vector_topk(q, df, 4, equal, max_queries=blocks)
+    assert sorted((r.query_id, r.rank, r.vec_id, str(r.score)) for r in got.collect()) == by_columns(q, df, 4, equal)
+
+
+def test_rounding_is_that_of_columns(spark):
+    x = np.array([0.1234565, -0.1234565, 0.0000005, 0.4999995, 1.0, 0.9999994999999, 2.5e-7])
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)], "i int, v double")
+    assert list(nearest.rounded(x)) == [r.v for r in df.select("i", F.round("v", 6).alias("v")).orderBy("i").collect()]
+
+
+def test_forty_million_pairs(spark):
+    """Pair by pair, as columns, they take minutes."""
+    v = spark.range(20_000).select(F.col("id").alias("vec_id"), F.transform(F.sequence(F.lit(1), F.lit(64)), lambda j: (F.pmod(F.xxhash64("id", j), F.lit(2001)) - 1000).cast("float")).alias("embedding"))
+    q = v.where("vec_id % 10 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    began = time.time()
+    got = vectors.vector_topk(q, v).where("rank = 1").collect()
+    assert time.time() - began < 40 and len(got) == 2000 and all(r.query_id == r.vec_id and r.score == 1 for r in got)
