@@ -160,8 +160,15 @@ def event_gate(events: DataFrame, mapping: DataFrame, least: float = 0.9) -> Dat
     return out.withColumn("anchor_entity", F.coalesce("_c", "anchor_entity")).select(*events.columns)
 
 
-def edge_endpoints(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Edges whose two ends are nodes(id)."""
+def edge_endpoints(edges: DataFrame, nodes: DataFrame, limit: int | None = None) -> DataFrame:
+    """Edges whose two ends are nodes(id). With limit, ends that are none are looked for first: at most so many are broadcast, and edges are not shuffled."""
+    if limit is not None:
+        lost = staged(edges.select(F.explode(F.array("src", "dst")).alias("id")).where("id is not null").distinct().join(nodes.select("id"), "id", "left_anti"), "lost-ends")
+        if lost.limit(limit + 1).count() <= limit:
+            known = edges.where("src is not null and dst is not null")
+            for end in ("src", "dst"):
+                known = known.join(F.broadcast(lost.withColumnRenamed("id", f"_{end}")), F.col(end) == F.col(f"_{end}"), "left_anti")
+            return known
     return edges.join(nodes.select(F.col("id").alias("src")), "src", "left_semi").join(nodes.select(F.col("id").alias("dst")), "dst", "left_semi")
 
 
@@ -239,57 +246,98 @@ def _step(tolerance: float, close: float) -> str:
     return _let(best, "b", _let(how, "h", f"named_struct('cur', {cur}, 'ev', concat(acc.ev, {events}))"))
 
 
-def _folded(runs: DataFrame, tolerance: float, close: float) -> DataFrame:
-    """runs(src, predicate, claims in order, cur) with cur after them and events ev."""
+def _folded(runs: DataFrame, tolerance: float, close: float, keep: list[str]) -> DataFrame:
+    """runs(src, predicate, claims in order, cur, keep) with cur after them and events ev."""
     block = f"aggregate(part, named_struct('cur', whole.cur, 'ev', cast(array() as {_EVENT})), (acc, c) -> {_step(tolerance, close)})"
     merged = _let(block, "r", "named_struct('cur', r.cur, 'ev', array_append(whole.ev, r.ev))")
     parts = f"transform(sequence(0, (size(claims) - 1) div {_BLOCK}), j -> slice(claims, cast(j * {_BLOCK} + 1 as int), {_BLOCK}))"
     out = runs.withColumn("_f", F.expr(f"aggregate({parts}, named_struct('cur', coalesce(cur, cast(array() as {_CURRENT})), 'ev', cast(array() as array<{_EVENT}>)), (whole, part) -> {merged})"))
-    return out.select("src", "predicate", F.col("_f.cur").alias("cur"), F.flatten("_f.ev").alias("ev"))
+    return out.select("src", "predicate", F.col("_f.cur").alias("cur"), F.flatten("_f.ev").alias("ev"), *keep)
 
 
 def number_in(text: str) -> Column:
     return F.nullif(F.regexp_extract(text, _NUMBER.pattern, 0), F.lit("")).cast("double")
 
 
+def _few_keys(claims: DataFrame, limit: int) -> bool:
+    """Whether claims have at most limit keys; an estimate tells where they are far from it."""
+    about = claims.agg(F.approx_count_distinct(F.xxhash64("src", "predicate"))).first()[0]
+    return about <= 2 * limit and claims.select("src", "predicate").distinct().limit(limit + 1).count() <= limit
+
+
 def split_touched(edges: DataFrame, claims: DataFrame, limit: int = 200_000) -> tuple[DataFrame, DataFrame]:
     """edges of a (src, predicate) that claims have, and the others; without a shuffle of edges if the keys are at most limit, which are broadcast then."""
     keys = claims.select("src", "predicate").distinct()
-    keys = F.broadcast(keys) if keys.limit(limit + 1).count() <= limit else keys
+    keys = F.broadcast(keys) if _few_keys(claims, limit) else keys
     return edges.join(keys, ["src", "predicate"], "left_semi"), edges.join(keys, ["src", "predicate"], "left_anti")
 
 
+def _old(existing: DataFrame) -> Column:
+    return F.struct("dst", F.col("status").cast("string").alias("status"), F.col("is_contested").alias("is_contested"), *[F.col(c).cast("double").alias(c) for c in ("cs", "ts", "valid_from", "valid_to")])
+
+
+def _current_of(old: str) -> Column:
+    return F.transform(F.filter(old, lambda e: F.coalesce(e.status == "Current", F.lit(False))), lambda e: F.struct(e.dst.alias("dst"), number_in(e.dst).alias("num"), F.coalesce(e.is_contested, F.lit(False)).alias("is_contested"), e.cs.alias("cs"), e.ts.alias("ts")))
+
+
+def _events_of(old: str) -> Column:
+    return F.transform(old, lambda e: F.struct(F.lit(-1).cast("bigint").alias("at"), e.dst.alias("dst"), (e.status == "Current").alias("is_current"), F.coalesce(e.is_contested, F.lit(False)).alias("is_contested"), e.cs.alias("cs"), e.ts.alias("ts"), e.valid_from.alias("valid_from"), e.valid_to.alias("valid_to")))
+
+
 def begun(existing: DataFrame) -> DataFrame:
     """Edges by their key: (src, predicate, cur, ev), the current ones and an event before all others for each."""
-    current = F.col("status") == "Current"
-    contested = F.coalesce("is_contested", F.lit(False)).alias("is_contested")
-    event = F.struct(F.lit(-1).cast("bigint").alias("at"), "dst", current.alias("is_current"), contested, "cs", "ts", "valid_from", "valid_to")
-    return existing.groupBy("src", "predicate").agg(F.collect_list(F.when(current, F.struct("dst", number_in("dst").alias("num"), contested, "cs", "ts"))).alias("cur"), F.collect_list(event).alias("ev"))
+    old = existing.groupBy("src", "predicate").agg(F.collect_list(_old(existing)).alias("_old"))
+    return old.select("src", "predicate", _current_of("_old").alias("cur"), _events_of("_old").alias("ev"))
+
+
+def _longest(rows: DataFrame, run: int) -> int:
+    """How many claims a key has at most; more than it has, but not over run, by a count of 65,536 buckets of keys where that is enough."""
+    most = lambda *by: rows.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+    bound = most(F.pmod(F.xxhash64("src", "predicate"), F.lit(65_536)))
+    return bound if bound <= run else most("src", "predicate")
+
 
+def fold_claims(claims: DataFrame, carried: DataFrame | None = None, seq: str = "seq", tolerance: float = 0.03, close: float = 0.08, run: int = 100_000, existing: DataFrame | None = None) -> list[DataFrame]:
+    """(src, predicate, cur, ev) for each run of claims(src, predicate, dst, cs, ts, seq) over carried(src, predicate, cur, ev): the current edges after it, and its events in order of at.
 
-def fold_claims(claims: DataFrame, carried: DataFrame | None = None, seq: str = "seq", tolerance: float = 0.03, close: float = 0.08, run: int = 100_000) -> list[DataFrame]:
-    """(src, predicate, cur, ev) for each run of claims(src, predicate, dst, cs, ts, seq) over carried(src, predicate, cur): the current edges after it, and its events in order of at."""
+    With existing edges instead of carried, these meet the claims in one shuffle of both, and all come out:
+    the first run has a row of each key, those without a claim with untouched edges and no events.
+    """
     rows = claims.select("src", "predicate", F.col(seq).alias("seq"), "dst", F.coalesce("cs", F.lit(0.0)).cast("double").alias("cs"), F.coalesce("ts", F.lit(0.0)).cast("double").alias("ts"))
     key, none, out = ["src", "predicate"], F.lit(None).cast("double"), []
-    longest = rows.groupBy(*key).count().agg(F.max("count")).first()[0] or 0
-    rounds = max(1, -(-longest // run))
+    no_events, claim = F.expr(f"cast(array() as {_EVENT})"), F.struct("seq", "dst", "cs", "ts")
+    rounds = max(1, -(-_longest(rows, run) // run))
     if rounds > 1:
         rows = staged(rows.withColumn("_run", F.floor((F.row_number().over(W.partitionBy(*key).orderBy("seq", "dst", "cs", "ts")) - 1) / run).cast("int")), "claim-runs")
     for r in range(rounds):
         some = rows.where(F.col("_run") == r) if rounds > 1 else rows
-        lists = some.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("seq", "dst", "cs", "ts"))).alias("_l"))
+        whole = existing is not None and r == 0
+        if whole:
+            given = some.select(*key, claim.alias("_c"))
+            both = given.unionByName(existing.select(*key, _old(existing).alias("_o")), allowMissingColumns=True)
+            lists = both.groupBy(*key).agg(F.array_sort(F.collect_list("_c")).alias("_l"), F.collect_list("_o").alias("_old")).withColumn("cur", _current_of("_old"))
+        else:
+            lists = some.groupBy(*key).agg(F.array_sort(F.collect_list(claim)).alias("_l"))
         claims_of = F.transform("_l", lambda c, j: F.struct((F.lit(r * run) + j).cast("bigint").alias("i"), c.dst.alias("dst"), number_in(c.dst).alias("num"), c.cs.alias("cs"), c.ts.alias("ts")))
-        runs = lists.select(*key, claims_of.alias("claims"))
-        runs = runs.join(carried, key, "left") if carried is not None else runs.withColumn("cur", F.lit(None).cast(_CURRENT))
-        done = _folded(runs, tolerance, close)
-        if rounds > 1:
-            done = staged(done, "folded-run")
-            after = done.select(*key, "cur")
-            carried = after if carried is None else staged(carried.join(after.select(*key), key, "left_anti").unionByName(after), "carried")
+        runs = lists.withColumn("claims", claims_of).drop("_l")
+        if not whole:
+            runs = runs.join(carried, key, "left") if carried is not None else runs.withColumn("cur", F.lit(None).cast(_CURRENT))
+        runs = runs.withColumn("_before", _events_of("_old") if whole else F.coalesce("ev", no_events) if "ev" in runs.columns else no_events)
+        done = _folded(runs, tolerance, close, ["_before", *(["_old"] if whole else [])])
         # a current edge may have become contested since the claim that set it
         last = F.lit(2 * ((r + 1) * run - 1) + 1).cast("bigint")
         now = F.transform("cur", lambda e: F.struct(last.alias("at"), e.dst.alias("dst"), F.lit(True).alias("is_current"), e.is_contested.alias("is_contested"), e.cs.alias("cs"), e.ts.alias("ts"), none.alias("valid_from"), none.alias("valid_to")))
-        out.append(done.withColumn("ev", F.concat("ev", now)))
+        events = F.concat("_before", "ev", now)
+        if whole:
+            idle = F.size("ev") == 0
+            done = done.select(*key, "cur", F.when(~idle, events).otherwise(no_events).alias("ev"), F.when(idle, F.col("_old")).alias("untouched"))
+        else:
+            done = done.select(*key, "cur", events.alias("ev"))
+        if rounds > 1:
+            done = staged(done, "folded-run")
+            after = done.select(*key, "cur")
+            carried = after if carried is None else staged(carried.select(*key, "cur").join(after.select(*key), key, "left_anti").unionByName(after), "carried")
+        out.append(done)
     return out
 
 
@@ -302,24 +350,37 @@ def edges_of_events(events: DataFrame, at: Column | None = None) -> DataFrame:
     return last.select("src", "predicate", "dst", F.when(F.col("is_current"), "Current").otherwise("History").alias("status"), "is_contested", "valid_from", "valid_to", "cs", "ts")
 
 
-def resolve_conflicts(claims: DataFrame, existing: DataFrame | None = None, seq: str = "seq", tolerance: float = 0.03, close: float = 0.08, run: int = 100_000) -> DataFrame:
+def _edges_of_all(runs: list[DataFrame]) -> DataFrame:
+    """edges_of_events of runs whose first one has untouched edges too, which come out as they are: each is a group of its own in the same pass."""
+    key = ["src", "predicate"]
+    plain = "e -> named_struct('_n', 0, 'status', cast(null as string), 'at', e.at, 'dst', e.dst, 'is_current', e.is_current, 'is_contested', e.is_contested, 'cs', e.cs, 'ts', e.ts, 'valid_from', e.valid_from, 'valid_to', e.valid_to)"
+    still = "(e, i) -> named_struct('_n', i + 1, 'status', e.status, 'at', -1L, 'dst', e.dst, 'is_current', false, 'is_contested', e.is_contested, 'cs', e.cs, 'ts', e.ts, 'valid_from', e.valid_from, 'valid_to', e.valid_to)"
+    rows = [r.select(*key, F.inline(F.expr(f"if(untouched is null, transform(ev, {plain}), transform(untouched, {still}))" if i == 0 else f"transform(ev, {plain})"))) for i, r in enumerate(runs)]
+    events = reduce(DataFrame.unionByName, rows)
+    state = [F.max_by(c, "at").alias(c) for c in ("status", "is_current", "is_contested", "cs", "ts")]
+    times = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("at"))).alias(c) for c in ("valid_from", "valid_to")]
+    last = events.groupBy(*key, "dst", "_n").agg(*state, *times)
+    status = F.when(F.col("_n") > 0, F.col("status")).when(F.col("is_current"), "Current").otherwise("History").alias("status")
+    return last.select(*key, "dst", status, "is_contested", "valid_from", "valid_to", "cs", "ts")
+
+
+def resolve_conflicts(claims: DataFrame, existing: DataFrame | None = None, seq: str = "seq", tolerance: float = 0.03, close: float = 0.08, run: int = 100_000, few: int = 200_000) -> DataFrame:
     """Versioned edges of claims(src, predicate, dst, cs, ts, seq), folded in order of seq as its type orders it (ties by dst, cs, ts), over existing edges.
 
     The rule is that of fold_edge. A claim is weighed against the current edges of its key, so these alone
     are carried along an ordered array of the key's claims, in the JVM; each claim leaves events, of which
     the last for an edge, with its last begin and end, are the result. A key of over `run` claims is folded
     a run at a time. Existing edges of keys without a claim pass through, without a shuffle if the keys of
-    the claims are few enough to be broadcast.
+    the claims are at most `few`, which are broadcast; else existing edges and claims meet in one shuffle.
     """
-    key, untouched, old = ["src", "predicate"], None, None
-    if existing is not None:
-        touched, untouched = split_touched(existing, claims)
-        old = begun(touched)
-    runs = fold_claims(claims, None if old is None else old.select(*key, "cur"), seq, tolerance, close, run)
-    if old is not None:
-        runs[0] = runs[0].join(old.select(*key, F.col("ev").alias("_old")), key, "left").withColumn("ev", F.concat(F.coalesce("_old", F.expr(f"cast(array() as {_EVENT})")), "ev"))
-    events = reduce(DataFrame.unionByName, [r.select(*key, F.inline("ev")) for r in runs])
-    out = edges_of_events(events)
+    how = {"seq": seq, "tolerance": tolerance, "close": close, "run": run}
+    if existing is not None and not _few_keys(claims, few):
+        unnamed = F.col("src").isNull() | F.col("predicate").isNull()  # keys that no claim meets
+        out = _edges_of_all(fold_claims(claims, existing=existing.where(~unnamed), **how))
+        return out.unionByName(existing.where(unnamed).select(*out.columns))
+    touched, untouched = split_touched(existing, claims, few) if existing is not None else (None, None)
+    runs = fold_claims(claims, None if touched is None else begun(touched), **how)
+    out = edges_of_events(reduce(DataFrame.unionByName, [r.select("src", "predicate", F.inline("ev")) for r in runs]))
     return out.unionByName(untouched.select(*out.columns)) if untouched is not None else out
 
 
@@ -338,7 +399,7 @@ def contested_view(edges: DataFrame) -> DataFrame:
 def incremental_graph_update(nodes: DataFrame, edges: DataFrame, new_nodes: DataFrame, claims: DataFrame) -> tuple[DataFrame, DataFrame]:
     """A batch over persisted nodes and edges; claims need both ends."""
     merged = upsert_nodes(nodes, new_nodes)
-    return merged, resolve_conflicts(edge_endpoints(claims, merged), edges)
+    return merged, resolve_conflicts(edge_endpoints(claims, merged, limit=200_000), edges)
 
 
 def subgraph(edges: DataFrame, start: DataFrame, depth: int, hub: int = 100_000) -> DataFrame:

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local: dict[str, str] = {}
 
 
@@ -26,11 +27,18 @@ def delete_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def stage(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """(df written to the shared folder and read again, its folder)."""
+def stage(df: DataFrame, label: str, clean: bool = False) -> tuple[DataFrame, str]:
+    """(df written to the shared folder and read again, its folder). With clean, what was shuffled for it is deleted once it is written."""
     spark = df.sparkSession
     path = f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN, None)
+    if clean:
+        spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if clean:
+            spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
     return spark.read.schema(df.schema).parquet(path), path
 
 

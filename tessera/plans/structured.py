@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed, html, text as T
 from ..functions.text import any_of
 from ..operators import canon, claims, evaluate, graph, links, provenance, quality, vectors
-from ..operators.stage import staged
+from ..operators.stage import delete_path, stage
 from ..sources import io
 from . import sql as D
 from .registry import query
@@ -282,11 +282,14 @@ def current_contested_counts(spark, sf_dir):
 def incremental_graph_views(spark, sf_dir):
     """The claims in two batches, the second over the first one's edges; then the three views."""
     c = price_claims(spark, sf_dir)
-    ends = c.select(F.explode(F.array("src", "dst")).alias("id")).distinct().withColumn("attributes", F.expr("map()").cast("map<string,string>"))
+    ends, at = stage(c.select(F.explode(F.array("src", "dst")).alias("id")).distinct().withColumn("attributes", F.expr("map()").cast("map<string,string>")), "nodes", clean=True)
     none = ends.limit(0)
     nodes, edges = graph.incremental_graph_update(none, graph.resolve_conflicts(c.limit(0)), ends, c.where("ts < 1e9"))
-    _, edges = graph.incremental_graph_update(nodes, staged(edges, "edges"), none, c.where("ts >= 1e9"))
-    edges = staged(edges, "edges")
+    first, before = stage(edges, "edges", clean=True)
+    _, edges = graph.incremental_graph_update(nodes, first, none, c.where("ts >= 1e9"))
+    edges, _ = stage(edges, "edges", clean=True)
+    for path in (at, before):
+        delete_path(spark, path)
     views = [("current", graph.current_view), ("history", graph.history_view), ("contested", graph.contested_view)]
     parts = [f(edges).select(F.lit(k).alias("kind"), "src", "dst", "valid_from", "valid_to") for k, f in views]
     return parts[0].union(parts[1]).union(parts[2])

@@ -1,4 +1,6 @@
+import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -285,3 +287,41 @@ def test_sources(spark, tmp_path):
     facts = io.ingest_ie_results(ie)
     assert {r.kind for r in facts.collect()} == {"entity", "relation", "event", "triple"}
     assert io.constraint_filter(facts, heads=["H"], relations=["r"]).count() == 1
+
+
+@pytest.mark.parametrize("run", [9, 300])
+def test_many_keys_meet_existing_edges_in_one_shuffle(spark, tmp_path, run):
+    """Without a broadcast of keys: the same edges, untouched ones as they are, repeated, without status or key."""
+    rng = random.Random(run)
+    claims = spark.createDataFrame([(f"s{rng.randint(0, 2)}" if i else None, "p", rng.choice(["1 m", "1.01 m", "2 m", "red"]), rng.choice([0.5, 0.55, 0.9]), float(rng.randint(0, 9)), i) for i in range(60)], CLAIM)
+    old = [("s0", "p", "1 m", "Current", None, 4.0, None, 0.8, 4.0), ("s0", "p", "gone", "History", True, 1.0, 2.0, 0.1, 1.0), ("s1", "p", "red", None, None, None, None, None, None)]
+    old += [("lone", "p", "x", "Current", None, 1.0, None, 0.5, 1.0)] * 2 + [("lone", "p", "y", None, None, None, 3.0, None, None), (None, "p", "2 m", "Current", False, 1.0, None, 0.99, 9.0)]
+    spark.createDataFrame(old, graph.EDGE).write.parquet(f"file://{tmp_path}/old")
+    edges = spark.read.parquet(f"file://{tmp_path}/old")
+    got = graph.resolve_conflicts(claims, edges, run=run, few=0)
+    assert sorted(map(str, got.collect())) == sorted(map(str, graph.resolve_conflicts(claims, edges, run=run).collect()))
+    if run == 300:
+        plan = graph.resolve_conflicts(claims, edges, run=run, few=0)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1, plan
+
+
+def test_ends_that_are_lost(spark):
+    """Claims aren't shuffled for the few ends that are no nodes."""
+    nodes = spark.createDataFrame([("a",), ("b",)], "id string")
+    edges = spark.createDataFrame([("a", "p", "b"), ("a", "p", "c"), ("d", "p", "b"), (None, "p", "b"), ("b", "p", None), ("b", "p", "a")], "src string, predicate string, dst string")
+    for limit in (None, 0, 10):
+        assert sorted(map(tuple, graph.edge_endpoints(edges, nodes, limit).select("src", "predicate", "dst").collect())) == [("a", "p", "b"), ("b", "p", "a")]
+    assert "hashpartitioning" not in graph.edge_endpoints(edges, nodes, 10)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_clean_stage_keeps_no_shuffle_files(spark):
+    from tessera.operators.stage import stage
+
+    files = lambda: {f for d, _, names in os.walk(spark.conf.get("spark.local.dir")) for f in names if f.startswith("shuffle_")}
+    before = files()
+    staged, _ = stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "clean", clean=True)
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before and staged.count() == 7 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
